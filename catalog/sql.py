@@ -195,7 +195,10 @@ def with_(names: list[str], body: str, extra: str = "") -> str:
 
 
 def meta_select(raw: str) -> str:
-    return ", ".join(f"{META[f].replace('raw', raw)} AS {f}" for f in META_FEATURES)
+    kind = {"mean_word_len": "DOUBLE"}
+    return ", ".join(
+        f"({META[f].replace('raw', raw)})::{kind.get(f, 'INT')} AS {f}" for f in META_FEATURES
+    )
 
 
 FEATURES = f"""
@@ -235,8 +238,8 @@ def vocabulary(source: str, by: list[str], n: int, key: str) -> str:
     return f"""
     per_row AS (SELECT {group}{key}, term, count(*)::INT AS cnt FROM (
         SELECT {group}{key}, unnest({vocabulary_tokens('body')}) AS term FROM {source}) GROUP BY ALL),
-    vocab AS (SELECT *, row_number() OVER ({over} ORDER BY term) AS position FROM (
-        SELECT * EXCLUDE (n), row_number() OVER ({over} ORDER BY total DESC, term) AS rank FROM (
+    vocab AS (SELECT *, row_number() OVER ({over} ORDER BY term)::INT AS position FROM (
+        SELECT * EXCLUDE (n), row_number() OVER ({over} ORDER BY total DESC, term)::INT AS rank FROM (
           SELECT {group}term, sum(cnt)::BIGINT AS total, count(*) AS docs FROM per_row GROUP BY ALL) {using}
         WHERE docs <= 0.95::DOUBLE * n) WHERE rank <= {n})"""
 
@@ -298,7 +301,7 @@ def gram_window(n: int, over: str) -> str:
 def word_grams(n: int) -> str:
     over = "PARTITION BY doc_id ORDER BY i"
     return f"""SELECT lang, term, count, rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY count DESC, term) AS rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY count DESC, term)::INT AS rank FROM (
         SELECT lang, term, count(*) AS count FROM (
           SELECT lang, {gram_window(n, over)} AS term FROM (
             SELECT doc_id, lang, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM (
@@ -313,7 +316,7 @@ def spaced(x: str) -> str:
 
 def char_grams(n: int) -> str:
     return f"""SELECT lang, {spaced('term')} AS term, count, rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY count DESC, term) AS rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY count DESC, term)::INT AS rank FROM (
         SELECT lang, term, sum(times)::BIGINT AS count FROM (
           SELECT lang, times, substr(w, i, {n}) AS term FROM (
             SELECT lang, w, times, unnest(generate_series(1, length(w) - {n} + 1)) AS i FROM (
@@ -339,7 +342,7 @@ def trends() -> str:
         ["counters"],
         f"""SELECT popular, unit, n, CASE WHEN unit = 'char' THEN {spaced('term')} ELSE term END AS term,
           count, rank FROM (
-        SELECT *, row_number() OVER (PARTITION BY popular, unit, n ORDER BY count DESC, term) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY popular, unit, n ORDER BY count DESC, term)::INT AS rank FROM (
           SELECT popular, unit, n, term, sum(times)::BIGINT AS count FROM grams WHERE term IS NOT NULL
           GROUP BY ALL)) WHERE rank <= 15""",
         f"""
@@ -502,7 +505,7 @@ ORACLES: dict[str, str] = {
     "meta_features": f"SELECT doc_id AS tweet_id, {meta_select('text')} "
     f"FROM (SELECT doc_id, text, {words('text')} AS words FROM documents)",
     "clean_body": with_(["clean_texts"], "SELECT * FROM clean_texts"),
-    "word_count": f"SELECT doc_id AS tweet_id, len({words('text')}) AS word_count FROM documents",
+    "word_count": f"SELECT doc_id AS tweet_id, len({words('text')})::INT AS word_count FROM documents",
     "word_list_upper": f"SELECT doc_id AS tweet_id, array_to_string({word_tokens(UPPER)}, ' ') "
     "AS word_list FROM documents",
     "word_tokens": f"SELECT doc_id AS tweet_id, array_to_string({word_tokens('text')}, ' ') AS tokens "
@@ -552,7 +555,7 @@ ORACLES: dict[str, str] = {
     "word_frequencies": f"""WITH counted AS (SELECT term, count(*) AS count FROM (
         SELECT unnest({word_tokens('lower(text)')}) AS term FROM documents)
       WHERE NOT list_contains({STOP}, term) GROUP BY 1)
-    SELECT term, count, row_number() OVER (ORDER BY count DESC, term) AS rank,
+    SELECT term, count, row_number() OVER (ORDER BY count DESC, term)::INT AS rank,
       count::DOUBLE / max(count) OVER () AS weight FROM counted
     QUALIFY rank <= 200""",
     "vocabulary": with_(
@@ -582,8 +585,8 @@ ORACLES: dict[str, str] = {
     + f" FROM (SELECT doc_id AS tweet_id, {vocabulary_tokens('text')} AS toks FROM documents)",
     "term_rank": with_(
         ["clean_texts"],
-        """SELECT *, row_number() OVER (PARTITION BY lang ORDER BY max_cnt, term) AS rank,
-        row_number() OVER (PARTITION BY lang ORDER BY max_cnt DESC, term DESC) AS rank_high
+        """SELECT *, row_number() OVER (PARTITION BY lang ORDER BY max_cnt, term)::INT AS rank,
+        row_number() OVER (PARTITION BY lang ORDER BY max_cnt DESC, term DESC)::INT AS rank_high
       FROM (SELECT lang, term, max(cnt) AS max_cnt FROM per_row JOIN vocab USING (lang, term) GROUP BY ALL)
       QUALIFY rank <= 100 OR rank_high <= 100""",
         vocabulary("clean_texts", ["lang"], WORDS, "tweet_id"),

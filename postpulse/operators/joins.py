@@ -73,20 +73,32 @@ def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) ->
     )
 
 
+def slice_of(column: str) -> Column:
+    """Which of `SALTS` slices a value falls in."""
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+
+
 def top_k(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, spread_by: str
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    k: int,
+    spread_by: str,
+    sliced: bool = False,
 ) -> DataFrame:
     """The first `k` rows of each group by `order`, numbered in `rank`.
 
     Two levels: the first `k` of each of many slices of a group, then the first
-    `k` of what is left. A group's full rows never meet in one task.
+    `k` of what is left. A group's full rows never meet in one task. With
+    `sliced`, `df` brings its slices along in `_slice`.
     """
     by = list(by)
     slices = Window.partitionBy(*by, "_slice").orderBy(*order)
     whole = Window.partitionBy(*by).orderBy(*order)
+    if not sliced:
+        df = df.withColumn("_slice", slice_of(spread_by))
     return (
-        df.withColumn("_slice", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-        .withColumn("_rank", F.row_number().over(slices))
+        df.withColumn("_rank", F.row_number().over(slices))
         .where(F.col("_rank") <= k)
         .drop("_rank", "_slice")
         .withColumn("rank", F.row_number().over(whole))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postpulse.functions.text import (
@@ -189,11 +189,6 @@ def word_frequencies(
         .agg(F.count(F.lit(1)).alias("count"))
     )
     best = top_k(counted, by, [F.desc("count"), F.asc("term")], k, "term")
-    first = best.where(F.col("rank") == 1).select(*by, F.col("count").alias("_most"))
-    if by:
-        joined = best.join(first, list(by))
-    else:
-        joined = best.withColumn("_most", first.select("_most").scalar())
-    return joined.select(
-        *by, "term", "count", "rank", (F.col("count") / F.col("_most")).alias("weight")
-    )
+    # Over the kept rows only, so at most k per group.
+    most = F.max("count").over(Window.partitionBy(*by))
+    return best.withColumn("weight", F.col("count") / most)

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 # A group's wanted ranks are worked out on the driver, for up to this many groups.
 MOST_GROUPS = 100_000
-PREFIX_DIGITS = 3
+# Hash prefixes are made as long as keeps about this many rows of a group in each.
+PREFIX_ROWS = 1_000_000
 
 
 def hash_order(key: str, seed: int | str) -> Column:
@@ -27,9 +28,18 @@ def hash_order(key: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _with_order(df: DataFrame, key: str, seed: int | str) -> DataFrame:
+def prefix_digits(rows: int) -> int:
+    """Hex digits of the prefix that cuts a group of `rows` into even buckets."""
+    digits = 2
+    while rows > PREFIX_ROWS * 16**digits:
+        digits += 1
+    return digits
+
+
+def _with_order(df: DataFrame, key: str, seed: int | str, rows: int) -> DataFrame:
+    """Add the hash `_h` and its prefix `_bucket`; `rows` is the largest group's size."""
     hashed = df.withColumn("_h", hash_order(key, seed))
-    return hashed.withColumn("_bucket", F.substring("_h", 1, PREFIX_DIGITS))
+    return hashed.withColumn("_bucket", F.substring("_h", 1, prefix_digits(rows)))
 
 
 def _groups(df: DataFrame, by: Sequence[str], *extra: Column) -> list[Row]:
@@ -101,8 +111,9 @@ def sample_keys(
     whole. `key` is unique within a group.
     """
     by = list(by)
-    wanted, short = [], []
+    wanted, short, largest = [], [], 0
     for row in _groups(df, by):
+        largest = max(largest, row["_rows"])
         group = tuple(row[name] for name in by)
         size = n if isinstance(n, int) else n[group]
         if size > row["_rows"]:
@@ -112,7 +123,7 @@ def sample_keys(
             wanted.append((*group, rank))
     if strict and short:
         raise ValueError(f"groups smaller than the sample, as (group, rows, size): {short[:20]}")
-    ordered = _with_order(df, key, seed)
+    ordered = _with_order(df, key, seed, largest)
     cuts = rank_cuts(
         ordered, by, "_bucket", ["_h", key], _local(df, by, wanted, rank="long")
     ).select(*by, F.struct("_h", key).alias("_cut"))
@@ -141,7 +152,7 @@ def split_exact(
     size = ceil(round(test_share * rows, 9))
     if size == 0:
         return df.withColumn("is_test", F.lit(False))
-    ordered = _with_order(df, key, seed).withColumn("_all", F.lit(0))
+    ordered = _with_order(df, key, seed, rows).withColumn("_all", F.lit(0))
     wanted = _local(ordered, ["_all"], [(0, size)], rank="long")
     cut = rank_cuts(ordered, ["_all"], "_bucket", ["_h", key], wanted)
     first = cut.select(F.struct("_h", key).alias("_cut"))
@@ -150,11 +161,11 @@ def split_exact(
 
 
 def _folds(
-    df: DataFrame, by: Sequence[str], key: str, seed: int | str, ends: list[tuple], k: int
+    df: DataFrame, by: Sequence[str], key: str, seed: int | str, ends: list[tuple], largest: int
 ) -> DataFrame:
     """Fold per row from (group, last rank of fold f) pairs for f < k - 1."""
     by = list(by)
-    ordered = _with_order(df, key, seed)
+    ordered = _with_order(df, key, seed, largest)
     empty = {}
     for *group, rank in ends:
         empty[tuple(group)] = empty.get(tuple(group), 0) + (rank == 0)
@@ -202,7 +213,7 @@ def plain_folds(
     size, longer = divmod(rows, k)
     ends = [(0, (f + 1) * size + min(f + 1, longer)) for f in range(k - 1)]
     whole = df.withColumn("_all", F.lit(0))
-    return _folds(whole, ["_all"], key, seed, ends, k).drop("_all")
+    return _folds(whole, ["_all"], key, seed, ends, rows).drop("_all")
 
 
 def stratified_folds(
@@ -214,8 +225,8 @@ def stratified_folds(
     fold sizes round-robin; each label then fills its share of fold 0, 1, … in
     order. Fold sizes and label shares differ by at most one.
     """
-    ordered = _with_order(df, key, seed)
-    classes = _groups(ordered, [label], F.min(F.struct("_h", key)).alias("_first"))
+    hashed = df.withColumn("_h", hash_order(key, seed))
+    classes = _groups(hashed, [label], F.min(F.struct("_h", key)).alias("_first"))
     classes.sort(key=lambda row: tuple(row["_first"]))
     ends, start = [], 0
     for row in classes:
@@ -227,7 +238,8 @@ def stratified_folds(
         start = stop
     if start < k:
         raise ValueError(f"{k} folds need at least {k} rows, got {start}")
-    return _folds(df, [label], key, seed, ends, k)
+    largest = max(row["_rows"] for row in classes)
+    return _folds(df, [label], key, seed, ends, largest)
 
 
 def renumber(
@@ -243,7 +255,8 @@ def renumber(
     prefix) and the prefix's offset is added; no window spans a group.
     """
     by = list(by)
-    ordered = _with_order(df, key, seed)
+    largest = max((row["_rows"] for row in _groups(df, by)), default=0)
+    ordered = _with_order(df, key, seed, largest)
     counted = ordered.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_bucket")) - F.col("_n")
     offsets = counted.select(*by, "_bucket", before.alias("_before"))
