@@ -24,6 +24,7 @@ from postpulse.sources import (
     read_posts,
     read_terms,
     scratch_dir,
+    spread,
     unpivot_prices,
     write_table,
 )
@@ -220,7 +221,8 @@ def describe_numeric(spark, d):
 @query()
 def describe_prices(spark, d):
     described = sampling.describe_numeric(
-        s.table(spark, d, "lineitem"), ["l_extendedprice", "l_discount", "l_quantity"]
+        spread(s.table(spark, d, "lineitem"), "l_orderkey"),
+        ["l_extendedprice", "l_discount", "l_quantity"],
     )
     names = [c for c in described.columns if c not in ("column", "count")]
     return described.select("column", "count", *[F.round(c, 4).alias(c) for c in names])

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postpulse.functions.text import vocabulary_tokens
-from postpulse.operators.joins import SALTS, join_by_size, slice_of, top_k
+from postpulse.operators.joins import few_groups, join_by_size, most_frequent
 
 # A wide result has one column per vocabulary entry.
 MOST_WIDE_TERMS = 1000
@@ -27,44 +27,36 @@ def vocabulary(
     Terms in more than `max_df` of the group's rows are left out. `rank` goes
     by total count, then term; `position` is the alphabetical place from 1.
 
-    One pass over the text: each row sends its tokens once for the total, its
-    distinct tokens once for the document count and itself once for the number of
-    rows, all folded in the reading task. Every slice of a group is told the
-    group's number of rows, so nothing is joined and no group is gathered.
+    One pass over the text and one shuffle: each row sends its tokens once for
+    the total and its distinct tokens once for the document count, both folded in
+    the reading task.
     """
     by = list(by)
-    tokens = df.where(F.col(body).isNotNull()).select(
-        *by, vocabulary_tokens(F.col(body)).alias("_tokens")
-    )
-
-    def entry(term: Column, kind: str) -> Column:
-        return F.struct(term.alias("term"), F.lit(kind).alias("kind"))
-
+    tokens = df.select(*by, vocabulary_tokens(F.col(body)).alias("_tokens"))
+    # A NULL body has no tokens array and so sends nothing.
     sent = F.concat(
-        F.transform("_tokens", lambda t: entry(t, "token")),
-        F.transform(F.array_distinct("_tokens"), lambda t: entry(t, "doc")),
-        F.array(entry(F.lit(None).cast("string"), "row")),
+        F.transform("_tokens", lambda t: F.struct(t.alias("term"), F.lit(0).alias("doc"))),
+        F.transform(
+            F.array_distinct("_tokens"),
+            lambda t: F.struct(t.alias("term"), F.lit(1).alias("doc")),
+        ),
     )
     stats = (
         tokens.select(*by, F.explode(sent).alias("s"))
         .groupBy(*by, F.col("s.term").alias("term"))
         .agg(
-            F.count_if(F.col("s.kind") == "token").alias("total"),
-            F.count_if(F.col("s.kind") == "doc").alias("docs"),
-            F.count_if(F.col("s.kind") == "row").alias("_rows"),
+            F.count_if(F.col("s.doc") == 0).alias("total"),
+            F.count_if(F.col("s.doc") == 1).alias("docs"),
         )
     )
-    everywhere = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    slices = F.when(F.col("term").isNull(), everywhere).otherwise(F.array(slice_of("term")))
-    rows = F.max("_rows").over(Window.partitionBy(*by, "_slice"))
-    kept = (
-        stats.withColumn("_slice", F.explode(slices))
-        .withColumn("_rows", rows)
-        .where(F.col("term").isNotNull() & (F.col("docs") <= F.lit(max_df) * F.col("_rows")))
-        .drop("_rows")
-    )
-    order = [F.desc("total"), F.asc("term")]
-    best = top_k(kept, by, order, n, "term", sliced=True)
+    rows = F.count(F.lit(1)).alias("_rows")
+    few = few_groups(df, by)
+    if by:
+        sized = join_by_size(stats, df.groupBy(*by).agg(rows), by, "inner", ["term"], small=few)
+    else:
+        sized = stats.withColumn("_rows", df.agg(rows).scalar())
+    kept = sized.where(F.col("docs") <= F.lit(max_df) * F.col("_rows")).drop("_rows")
+    best = most_frequent(kept, by, "total", n, "term", few)
     position = F.row_number().over(Window.partitionBy(*by).orderBy("term"))
     return best.withColumn("position", position)
 

@@ -12,6 +12,7 @@ from postpulse.functions.text import (
     clean_text,
     count_tokens,
     meta_feature_columns,
+    positions,
     word_tokens,
     words,
 )
@@ -174,9 +175,7 @@ def lexicon_polarity(
     to one (sum, count) pair before the shuffle.
     """
     tokens = df.select(key, word_tokens(F.lower(body)).alias("_tokens"))
-    placed = tokens.where(F.size("_tokens") > 0).select(
-        key, "_tokens", F.explode(F.sequence(F.lit(0), F.size("_tokens") - 1)).alias("_i")
-    )
+    placed = tokens.select(key, "_tokens", positions(F.col("_tokens")).alias("_i"))
 
     def at(offset: int) -> Column:
         return F.get("_tokens", F.col("_i") - F.lit(offset))

@@ -73,32 +73,25 @@ def dedupe_first(df: DataFrame, subset: Sequence[str], order: Sequence[str]) ->
     )
 
 
-def slice_of(column: str) -> Column:
-    """Which of `SALTS` slices a value falls in."""
-    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+def few_groups(df: DataFrame, by: Sequence[str]) -> bool:
+    """Whether one row per group of `by` is small enough to broadcast."""
+    return not by or fits_broadcast(df.select(*by).distinct())
 
 
 def top_k(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[Column],
-    k: int,
-    spread_by: str,
-    sliced: bool = False,
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, spread_by: str
 ) -> DataFrame:
     """The first `k` rows of each group by `order`, numbered in `rank`.
 
     Two levels: the first `k` of each of many slices of a group, then the first
-    `k` of what is left. A group's full rows never meet in one task. With
-    `sliced`, `df` brings its slices along in `_slice`.
+    `k` of what is left. A group's full rows never meet in one task.
     """
     by = list(by)
     slices = Window.partitionBy(*by, "_slice").orderBy(*order)
     whole = Window.partitionBy(*by).orderBy(*order)
-    if not sliced:
-        df = df.withColumn("_slice", slice_of(spread_by))
     return (
-        df.withColumn("_rank", F.row_number().over(slices))
+        df.withColumn("_slice", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+        .withColumn("_rank", F.row_number().over(slices))
         .where(F.col("_rank") <= k)
         .drop("_rank", "_slice")
         .withColumn("rank", F.row_number().over(whole))
@@ -106,6 +99,31 @@ def top_k(
     )
 
 
+def most_frequent(
+    df: DataFrame, by: Sequence[str], count: str, k: int, term: str, few: bool
+) -> DataFrame:
+    """`top_k` of already counted terms: highest `count` first, then by `term`.
+
+    How many terms have each count says which count the k-th term has. Only terms
+    with at least that count are ranked, so the long tail of rare terms is never
+    sorted. `few` says whether one row per group can be broadcast.
+    """
+    by = list(by)
+    tally = df.groupBy(*by, count).agg(F.count(F.lit(1)).alias("_terms"))
+    reached = F.sum("_terms").over(Window.partitionBy(*by).orderBy(F.desc(count)))
+    # A group of fewer than k terms has no such count and keeps them all.
+    enough = F.max(F.when(F.col("_reached") >= k, F.col(count)))
+    least = tally.withColumn("_reached", reached).groupBy(*by).agg(
+        F.coalesce(enough, F.lit(0)).alias("_least")
+    )
+    if by:
+        marked = join_by_size(df, least, by, "inner", [term], small=few)
+    else:
+        marked = df.withColumn("_least", least.scalar())
+    kept = marked.where(F.col(count) >= F.col("_least")).drop("_least")
+    return top_k(kept, by, [F.desc(count), F.asc(term)], k, term)
+
+
 def pair_posts(posts: DataFrame, ticker_map: DataFrame) -> DataFrame:
     """Every (post, ticker) pair: inner join on the post id, N:M."""
     return posts.join(ticker_map, "tweet_id", "inner")

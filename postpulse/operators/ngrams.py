@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window
@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from postpulse.functions.text import (
     clean_reviews_text,
     clean_reviews_words,
+    exploded,
     letters_only,
+    positions,
     word_tokens,
     words,
 )
-from postpulse.operators.joins import top_k
+from postpulse.operators.joins import few_groups, most_frequent
 
 # Stop words of the domain, added to the English list. `qqqstks`
 # is one entry.
@@ -49,8 +51,19 @@ def normalise_letters(df: DataFrame, body: str = "body") -> DataFrame:
     return df.where(F.col(body).isNotNull()).withColumn(body, letters_only(F.col(body)))
 
 
-def _gram_at(tokens: str, start: str, n: int) -> Column:
-    return F.concat_ws(" ", *[F.get(tokens, F.col(start) + F.lit(j)) for j in range(n)])
+def _sized(
+    placed: DataFrame, keep: Sequence[str], sizes: Sequence[int], gram: Callable[[int], Column]
+) -> DataFrame:
+    """(keep, n, term) of the n-grams of every size that start at a position.
+
+    `gram(n)` is NULL where no n-gram of that size starts.
+    """
+    if len(sizes) == 1:
+        return placed.select(*keep, F.lit(sizes[0]).alias("n"), gram(sizes[0]).alias("term"))
+    listed = F.posexplode(F.array(*[gram(n) for n in sizes])).alias("_at", "term")
+    found = placed.select(*keep, listed).where(F.col("term").isNotNull())
+    n = F.get(F.array(*[F.lit(n) for n in sizes]), F.col("_at"))
+    return found.select(*keep, n.alias("n"), "term")
 
 
 def _word_grams(tokens: DataFrame, by: Sequence[str], sizes: Sequence[int]) -> DataFrame:
@@ -58,24 +71,22 @@ def _word_grams(tokens: DataFrame, by: Sequence[str], sizes: Sequence[int]) -> D
 
     Starting positions are exploded and the n-gram read out of the array beside
     them, so generating and the first count run in one stage of generated code.
+    A row of no more than n words adds nothing, also when it has exactly n.
     """
+    least = min(sizes)
+    starts = positions(F.col("_tokens"), least + 1, least)
+    placed = tokens.select(*by, "_tokens", starts.alias("_i"))
     total = F.size("_tokens")
-    placed = tokens.where(total > 1).select(
-        *by, "_tokens", F.explode(F.sequence(F.lit(0), total - 1)).alias("_i")
-    )
-    # A row with no more than n words adds nothing, also when it has exactly n.
-    options = F.array(
-        *[
-            F.when(
-                (total > n) & (F.col("_i") + n <= total),
-                F.struct(F.lit(n).alias("n"), _gram_at("_tokens", "_i", n).alias("term")),
-            )
-            for n in sizes
-        ]
-    )
-    grams = placed.select(*by, F.explode(options).alias("g")).where(F.col("g").isNotNull())
+
+    def gram(n: int) -> Column:
+        words_from = [F.get("_tokens", F.col("_i") + F.lit(j)) for j in range(n)]
+        text = F.concat_ws(" ", *words_from) if n > 1 else words_from[0]
+        if n == least:
+            return text
+        return F.when((total > n) & (F.col("_i") + n <= total), text)
+
     return (
-        grams.select(*by, "g.n", "g.term")
+        _sized(placed, by, sizes, gram)
         .groupBy(*by, "n", "term")
         .agg(F.count(F.lit(1)).alias("count"))
     )
@@ -85,33 +96,26 @@ def _char_grams(tokens: DataFrame, by: Sequence[str], sizes: Sequence[int]) -> D
     """(by, n, term, count): counted per distinct word, weighted by its count.
 
     A corpus has far fewer distinct words than words, so the words are counted
-    first and cut up once each.
+    first and cut up once each. A word of no more than n characters adds nothing.
     """
     counted = (
-        tokens.select(*by, F.explode("_tokens").alias("_word"))
+        tokens.select(*by, exploded(F.col("_tokens")).alias("_word"))
         .groupBy(*by, "_word")
         .agg(F.count(F.lit(1)).alias("_times"))
     )
+    least = min(sizes)
     length = F.length("_word")
-    placed = counted.where(length > 1).select(
-        *by, "_times", "_word", F.explode(F.sequence(F.lit(1), length)).alias("_i")
-    )
-    # A word of no more than n characters adds nothing.
-    options = F.array(
-        *[
-            F.when(
-                (length > n) & (F.col("_i") + (n - 1) <= length),
-                F.struct(
-                    F.lit(n).alias("n"), F.substring("_word", F.col("_i"), F.lit(n)).alias("term")
-                ),
-            )
-            for n in sizes
-        ]
-    )
-    grams = placed.select(*by, "_times", F.explode(options).alias("g"))
+    starts = F.explode(F.when(length > least, F.sequence(F.lit(1), length - (least - 1))))
+    placed = counted.select(*by, "_times", "_word", starts.alias("_i"))
+
+    def gram(n: int) -> Column:
+        text = F.substring("_word", F.col("_i"), F.lit(n))
+        if n == least:
+            return text
+        return F.when((length > n) & (F.col("_i") + (n - 1) <= length), text)
+
     return (
-        grams.where(F.col("g").isNotNull())
-        .select(*by, "_times", "g.n", "g.term")
+        _sized(placed, [*by, "_times"], sizes, gram)
         .groupBy(*by, "n", "term")
         .agg(F.sum("_times").alias("count"))
     )
@@ -122,7 +126,7 @@ def _spaced(gram: Column) -> Column:
 
 
 def _token_rows(df: DataFrame, by: Sequence[str], body: str) -> DataFrame:
-    return df.where(F.col(body).isNotNull()).select(*by, words(F.col(body)).alias("_tokens"))
+    return df.select(*by, words(F.col(body)).alias("_tokens"))
 
 
 def ngram_counts(
@@ -130,7 +134,7 @@ def ngram_counts(
 ) -> DataFrame:
     """The `k` most frequent word n-grams per group; ties go by term."""
     grams = _word_grams(_token_rows(df, by, body), by, [n])
-    best = top_k(grams, by, [F.desc("count"), F.asc("term")], k, "term")
+    best = most_frequent(grams, by, "count", k, "term", few_groups(df, by))
     return best.select(*by, "term", "count", "rank")
 
 
@@ -143,7 +147,7 @@ def char_ngram_counts(
     spaces between them.
     """
     grams = _char_grams(_token_rows(df, by, body), by, [n])
-    best = top_k(grams, by, [F.desc("count"), F.asc("term")], k, "term")
+    best = most_frequent(grams, by, "count", k, "term", few_groups(df, by))
     return best.select(*by, _spaced(F.col("term")).alias("term"), "count", "rank")
 
 
@@ -161,12 +165,14 @@ def text_trends(
     """
     stop = stop_words() if stop is None else stop
     cleaned = clean_reviews_words(letters_only(F.col(body)), stop)
-    tokens = df.where(F.col(body).isNotNull()).select(group_col, cleaned.alias("_tokens"))
+    tokens = df.select(group_col, cleaned.alias("_tokens"))
     by = [group_col, "unit", "n"]
-    order = [F.desc("count"), F.asc("term")]
+    few = few_groups(df, [group_col])
     whole = _word_grams(tokens, [group_col], sizes).withColumn("unit", F.lit("word"))
     chars = _char_grams(tokens, [group_col], sizes).withColumn("unit", F.lit("char"))
-    best = top_k(whole.unionByName(chars), by, order, k, "term")
+    best = most_frequent(whole, by, "count", k, "term", few).unionByName(
+        most_frequent(chars, by, "count", k, "term", few)
+    )
     shown = F.when(F.col("unit") == "char", _spaced(F.col("term"))).otherwise(F.col("term"))
     return best.select(*by, shown.alias("term"), "count", "rank")
 
@@ -188,7 +194,7 @@ def word_frequencies(
         .groupBy(*by, "term")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    best = top_k(counted, by, [F.desc("count"), F.asc("term")], k, "term")
+    best = most_frequent(counted, by, "count", k, "term", few_groups(df, by))
     # Over the kept rows only, so at most k per group.
     most = F.max("count").over(Window.partitionBy(*by))
     return best.withColumn("weight", F.col("count") / most)
