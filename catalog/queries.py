@@ -19,6 +19,7 @@ from postpulse.operators import bow, evaluate, features, labels, ngrams, samplin
 from postpulse.operators.joins import dedupe_first, pair_first_posts, pair_posts
 from postpulse.plans import training
 from postpulse.sources import (
+    local_frame,
     materialise,
     price_range,
     read_posts,
@@ -276,7 +277,7 @@ def clean_reviews(spark, d):
 
 @query()
 def stop_word_table(spark, d):
-    own = spark.createDataFrame([(w,) for w in ngrams.DOMAIN_STOP_WORDS], "term string")
+    own = local_frame(spark, [(w,) for w in ngrams.DOMAIN_STOP_WORDS], "term string")
     return ngrams.stop_word_table(s.dictionary(spark, d), own)
 
 
@@ -604,29 +605,29 @@ def score_rules(spark, d):
 DEPTH = 6
 
 
-def _prepared(spark, d):
-    """Meta-features of the given texts against their engagement level."""
+NAMES = ["high", "low", "medium", "none"]
+
+
+def _matrix_rows(spark, d):
+    """Meta-features of the given texts and their engagement level, stored."""
     levelled = labels.add_interaction_level(s.posts(spark, d))
     rows = features.add_meta_features(levelled)
-    kept = rows.select("tweet_id", "interaction_level", *META_FEATURES)
-    stored = materialise(kept, "matrix")
-    return trees.prepare(stored, META_FEATURES, "interaction_level")
+    return materialise(rows.select("tweet_id", "interaction_level", *META_FEATURES), "matrix")
+
+
+def _prepared(spark, d):
+    return trees.prepare(_matrix_rows(spark, d), META_FEATURES, "interaction_level")
 
 
 def _split(spark, d, folds=None):
-    """The matrix with its test flag, and with `folds` on the training rows."""
-    levelled = labels.add_interaction_level(s.posts(spark, d))
-    rows = features.add_meta_features(levelled)
-    kept = rows.select("tweet_id", "interaction_level", *META_FEATURES)
-    marked = materialise(sampling.split_exact(materialise(kept, "matrix")), "split")
+    """Training rows, with `folds` if asked for, and test rows of the matrix."""
+    marked = sampling.split_exact(_matrix_rows(spark, d))
     train, test = marked.where(~F.col("is_test")), marked.where("is_test")
     if folds:
-        folded = sampling.stratified_folds(train, "interaction_level", folds)
-        train = materialise(folded, "folds")
-    names = ["high", "low", "medium", "none"]
-    fitted = trees.prepare(train, META_FEATURES, "interaction_level", names)
-    held = trees.prepare(test, META_FEATURES, "interaction_level", names)
-    return fitted, held
+        train = sampling.stratified_folds(train, "interaction_level", folds)
+    return tuple(
+        trees.prepare(part, META_FEATURES, "interaction_level", NAMES) for part in (train, test)
+    )
 
 
 @query()
@@ -708,9 +709,7 @@ def alpha_sweep(spark, d):
 @query()
 def alpha_sweep_regression(spark, d):
     train, _ = _split(spark, d)
-    folded = materialise(
-        sampling.plain_folds(train.rows.drop("features", "label_index"), 10), "folds"
-    )
+    folded = sampling.plain_folds(train.rows.drop("features", "label_index"), 10)
     data = trees.prepare(folded, META_FEATURES, "interaction_level", train.labels)
     return trees.alpha_sweep(data, 10, "gini", max_depth=DEPTH)
 

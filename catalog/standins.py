@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postpulse.sources import spread
+from postpulse.sources import local_frame, spread
 
 # Role tables that the given data has no table for.
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -105,12 +105,12 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explicit_terms(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in EXPLICIT_TERMS], "term string")
+    return local_frame(spark, [(t,) for t in EXPLICIT_TERMS], "term string")
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(LEXICON), "term string, polarity double, intensity double, negator boolean"
+    return local_frame(
+        spark, LEXICON, "term string, polarity double, intensity double, negator boolean"
     )
 
 

@@ -140,14 +140,14 @@ def combined_interactions(likes_to_comments: Column, likes_to_retweets: Column)
 def add_interaction_level(df: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """Add `interaction_level`.
 
-    The weights, by default those of `df` itself, enter as one-row scalar
-    subqueries: nothing is joined and nothing passes through the driver. They
-    read three columns of `df`, so materialise an expensive `df` first.
+    The weights, by default those of `df` itself, enter as a one-row scalar
+    subquery: nothing is joined and nothing passes through the driver. It reads
+    three columns of `df`, so materialise an expensive `df` first.
     """
     weights = engagement_weights(df) if weights is None else weights
+    ratios = weights.select(F.struct("likes_to_comments", "likes_to_retweets")).scalar()
     combined = combined_interactions(
-        weights.select("likes_to_comments").scalar(),
-        weights.select("likes_to_retweets").scalar(),
+        ratios.getField("likes_to_comments"), ratios.getField("likes_to_retweets")
     )
     return df.withColumn("interaction_level", interaction_level(combined))
 

@@ -3,13 +3,15 @@
 Rows are ordered by a hash of a seed and their key. The row at a wanted rank of
 a group is found from a histogram over hash prefixes: counts per (group,
 prefix) say which prefix the rank falls in, and only that prefix's rows are
-ranked. Sampling is then a comparison with that row, so wide rows are neither
-sorted nor shuffled and a group of any size is spread over its prefixes. Three
-passes read the group and key columns only; the last also reads the rest.
+ranked. These passes read the group and key columns only, and bring a few rows
+per group to the driver. A sample, a split or a fold is then a comparison of each
+row with those: wide rows are neither sorted nor shuffled, a group of any size is
+spread over its prefixes, and using the result twice repeats no work.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from math import ceil
 
@@ -17,6 +19,8 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postpulse.sources import local_frame
+
 # A group's wanted ranks are worked out on the driver, for up to this many groups.
 MOST_GROUPS = 100_000
 # Hash prefixes are made as long as keeps about this many rows of a group in each.
@@ -51,49 +55,56 @@ def _groups(df: DataFrame, by: Sequence[str], *extra: Column) -> list[Row]:
     return [row for row in rows if all(row[name] is not None for name in by)]
 
 
-def _local(df: DataFrame, by: Sequence[str], rows: list[tuple], **added: str) -> DataFrame:
-    kinds = [df.schema[name] for name in by]
+def _local(df: DataFrame, names: Sequence[str], rows: Sequence, **added: str) -> DataFrame:
+    """Driver rows as a table: columns `names` typed as in `df`, then `added`."""
+    kinds = [T.StructField(name, df.schema[name].dataType) for name in names]
     kinds += [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in added.items()]
-    return df.sparkSession.createDataFrame(rows, T.StructType(kinds))
+    return local_frame(df.sparkSession, rows, T.StructType(kinds))
 
 
 def rank_cuts(
-    df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[str], wanted: DataFrame
-) -> DataFrame:
-    """The `order` values of the row at each wanted rank of each group.
+    df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[str], wanted: Sequence[tuple]
+) -> dict[tuple, tuple]:
+    """For each wanted (group, rank), from 1: the `order` values of the row there.
 
-    `wanted` holds (by, rank), from 1; `bucket` must grow with `order`. Result:
-    (by, rank, order). Equal values are folded before they are ranked, so a
-    value a third of the rows share costs one row.
+    `bucket` must grow with `order`. Equal values are folded before they are
+    ranked, so a value a third of the rows share costs one row. Two jobs, each
+    of which returns one row per wanted rank.
     """
     by, order = list(by), list(order)
+    if not by:
+        cuts = rank_cuts(
+            df.withColumn("_all", F.lit(0)), ["_all"], bucket, order, [(0, *w) for w in wanted]
+        )
+        return {end[1:]: cut for end, cut in cuts.items()}
     counted = df.groupBy(*by, bucket).agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(bucket))
     histogram = counted.withColumn("_upto", upto)
-    inside = (F.col("rank") > F.col("_upto") - F.col("_n")) & (F.col("rank") <= F.col("_upto"))
-    # `wanted` comes from the driver, a bounded number of rows per group.
-    targets = (
-        histogram.join(F.broadcast(wanted), by)
-        .where(inside)
-        .select(*by, bucket, "rank", (F.col("rank") - F.col("_upto") + F.col("_n")).alias("_at"))
-    )
-    near = F.broadcast(targets.select(*by, bucket).distinct())
+    ranks = F.broadcast(_local(df, by, wanted, _rank="long"))
+    inside = (F.col("_rank") > F.col("_upto") - F.col("_n")) & (F.col("_rank") <= F.col("_upto"))
+    at = F.col("_rank") - F.col("_upto") + F.col("_n")
+    found = histogram.join(ranks, by)
+    places = found.where(inside).select(*by, bucket, "_rank", at.alias("_at")).collect()
+    targets = _local(df, [*by, bucket], places, _rank="long", _at="long")
     values = (
         df.select(*by, bucket, *order)
-        .join(near, [*by, bucket], "left_semi")
+        .join(F.broadcast(targets.select(*by, bucket).distinct()), [*by, bucket], "left_semi")
         .groupBy(*by, bucket, *order)
         .agg(F.count(F.lit(1)).alias("_times"))
     )
     up = F.sum("_times").over(Window.partitionBy(*by, bucket).orderBy(*order))
-    ranked = values.withColumn("_up", up)
     hit = (F.col("_at") > F.col("_up") - F.col("_times")) & (F.col("_at") <= F.col("_up"))
-    return ranked.join(F.broadcast(targets), [*by, bucket]).where(hit).select(*by, "rank", *order)
+    cuts = values.withColumn("_up", up).join(F.broadcast(targets), [*by, bucket]).where(hit)
+    return {
+        (*[row[name] for name in by], row["_rank"]): tuple(row[name] for name in order)
+        for row in cuts.select(*by, "_rank", *order).collect()
+    }
 
 
-def _not_after(key: str) -> Column:
-    return (F.col("_h") < F.col("_cut._h")) | (
-        (F.col("_h") == F.col("_cut._h")) & (F.col(key) <= F.col(f"_cut.{key}"))
-    )
+def _after(key: str, cut_hash: Column, cut_key: Column) -> Column:
+    """Whether a row comes after the one with the given hash and key."""
+    same = F.col("_h") == cut_hash
+    return (F.col("_h") > cut_hash) | (same & (F.col(key) > cut_key))
 
 
 def sample_keys(
@@ -124,11 +135,13 @@ def sample_keys(
     if strict and short:
         raise ValueError(f"groups smaller than the sample, as (group, rows, size): {short[:20]}")
     ordered = _with_order(df, key, seed, largest)
-    cuts = rank_cuts(
-        ordered, by, "_bucket", ["_h", key], _local(df, by, wanted, rank="long")
-    ).select(*by, F.struct("_h", key).alias("_cut"))
+    found = rank_cuts(ordered, by, "_bucket", ["_h", key], wanted)
+    rows = [(*group[:-1], *cut) for group, cut in found.items()]
+    cuts = _local(ordered, [*by, "_h", key], rows)
+    cuts = cuts.withColumnsRenamed({"_h": "_cut_h", key: "_cut_key"})
     # One row per group, and the number of groups was checked above.
-    return ordered.join(F.broadcast(cuts), by).where(_not_after(key)).select(*df.columns)
+    late = _after(key, F.col("_cut_h"), F.col("_cut_key"))
+    return ordered.join(F.broadcast(cuts), by).where(~late).select(*df.columns)
 
 
 def balanced_sample(
@@ -148,58 +161,23 @@ def split_exact(
     df: DataFrame, test_share: float = 0.2, key: str = "tweet_id", seed: int | str = 42
 ) -> DataFrame:
     """Add `is_test`, true on exactly ceil(`test_share` of all rows), at random."""
-    rows = _groups(df, [])[0]["_rows"]
+    rows = df.count()
     size = ceil(round(test_share * rows, 9))
     if size == 0:
         return df.withColumn("is_test", F.lit(False))
-    ordered = _with_order(df, key, seed, rows).withColumn("_all", F.lit(0))
-    wanted = _local(ordered, ["_all"], [(0, size)], rank="long")
-    cut = rank_cuts(ordered, ["_all"], "_bucket", ["_h", key], wanted)
-    first = cut.select(F.struct("_h", key).alias("_cut"))
-    compared = ordered.withColumn("_cut", first.scalar())
-    return compared.select(*df.columns, _not_after(key).alias("is_test"))
+    ordered = _with_order(df, key, seed, rows)
+    (cut,) = rank_cuts(ordered, [], "_bucket", ["_h", key], [(size,)]).values()
+    late = _after(key, *map(F.lit, cut))
+    return ordered.select(*df.columns, (~late).alias("is_test"))
 
 
-def _folds(
-    df: DataFrame, by: Sequence[str], key: str, seed: int | str, ends: list[tuple], largest: int
-) -> DataFrame:
-    """Fold per row from (group, last rank of fold f) pairs for f < k - 1."""
-    by = list(by)
-    ordered = _with_order(df, key, seed, largest)
-    empty = {}
-    for *group, rank in ends:
-        empty[tuple(group)] = empty.get(tuple(group), 0) + (rank == 0)
-    wanted = sorted({end for end in ends if end[-1] > 0})
-    cuts = rank_cuts(
-        ordered, by, "_bucket", ["_h", key], _local(ordered, by, wanted, rank="long")
-    )
-    # Folds of a tiny class may share an end: count each end as often as it is used.
-    uses = {}
-    for end in ends:
-        uses[end] = uses.get(end, 0) + 1
-    used = _local(
-        ordered, by, [(*end, uses[end]) for end in wanted], rank="long", uses="int"
-    )
-    lists = (
-        cuts.join(F.broadcast(used), [*by, "rank"])
-        .groupBy(*by)
-        .agg(F.collect_list(F.struct("_h", key, "uses")).alias("_cuts"))
-    )
-    offsets = _local(ordered, by, [(*g, c) for g, c in empty.items()], _skipped="int")
-    after = F.aggregate(
-        "_cuts",
+def _fold_number(key: str, ends: Column) -> Column:
+    """How many of the folds' last rows, given as (hash, key, uses), a row comes after."""
+    return F.aggregate(
+        ends,
         F.lit(0),
-        lambda acc, c: acc
-        + F.when(
-            (c["_h"] < F.col("_h")) | ((c["_h"] == F.col("_h")) & (c[key] < F.col(key))),
-            c["uses"],
-        ).otherwise(0),
-    )
-    # At most k - 1 cuts for each of a checked number of groups.
-    return (
-        ordered.join(F.broadcast(offsets), by)
-        .join(F.broadcast(lists), by, "left")
-        .select(*df.columns, (F.coalesce(after, F.lit(0)) + F.col("_skipped")).alias("fold"))
+        lambda passed, end: passed
+        + F.when(_after(key, end["_h"], end[key]), end["_uses"]).otherwise(0),
     )
 
 
@@ -207,13 +185,15 @@ def plain_folds(
     df: DataFrame, k: int = 10, key: str = "tweet_id", seed: int | str = 42
 ) -> DataFrame:
     """Add `fold`: k contiguous runs of the random order, the first ones longer by one."""
-    rows = _groups(df, [])[0]["_rows"]
+    rows = df.count()
     if rows < k:
         raise ValueError(f"{k} folds need at least {k} rows, got {rows}")
     size, longer = divmod(rows, k)
-    ends = [(0, (f + 1) * size + min(f + 1, longer)) for f in range(k - 1)]
-    whole = df.withColumn("_all", F.lit(0))
-    return _folds(whole, ["_all"], key, seed, ends, rows).drop("_all")
+    ends = [((f + 1) * size + min(f + 1, longer),) for f in range(k - 1)]
+    ordered = _with_order(df, key, seed, rows)
+    cuts = rank_cuts(ordered, [], "_bucket", ["_h", key], ends)
+    passed = [_after(key, *map(F.lit, cut)).cast("int") for cut in cuts.values()]
+    return ordered.select(*df.columns, sum(passed, F.lit(0)).alias("fold"))
 
 
 def stratified_folds(
@@ -228,18 +208,36 @@ def stratified_folds(
     hashed = df.withColumn("_h", hash_order(key, seed))
     classes = _groups(hashed, [label], F.min(F.struct("_h", key)).alias("_first"))
     classes.sort(key=lambda row: tuple(row["_first"]))
-    ends, start = [], 0
+    uses: Counter = Counter()
+    start = 0
     for row in classes:
         stop, upto = start + row["_rows"], 0
         for f in range(k - 1):
             # Positions p in [start, stop) with p % k == f.
             upto += len(range(start + (f - start) % k, stop, k))
-            ends.append((row[label], upto))
+            uses[row[label], upto] += 1
         start = stop
     if start < k:
         raise ValueError(f"{k} folds need at least {k} rows, got {start}")
     largest = max(row["_rows"] for row in classes)
-    return _folds(df, [label], key, seed, ends, largest)
+    ordered = _with_order(df, key, seed, largest)
+    wanted = [end for end in uses if end[1] > 0]
+    cuts = rank_cuts(ordered, [label], "_bucket", ["_h", key], wanted)
+    # Folds of a tiny class may share an end, or have none: count each use.
+    lists = [
+        (
+            row[label],
+            uses[row[label], 0],
+            [(*cut, uses[end]) for end, cut in cuts.items() if end[0] == row[label]],
+        )
+        for row in classes
+    ]
+    kind = f"array<struct<_h:string,{key}:{df.schema[key].dataType.simpleString()},_uses:int>>"
+    ends = _local(ordered, [label], lists, _skipped="int", _ends=kind)
+    # At most k - 1 ends for each of a checked number of labels.
+    return ordered.join(F.broadcast(ends), label).select(
+        *df.columns, (F.col("_skipped") + _fold_number(key, F.col("_ends"))).alias("fold")
+    )
 
 
 def renumber(
@@ -297,48 +295,38 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.percentile_approx("value", shares, F.lit(10_000)).alias("_borders"),
     )
     # One row per named column comes to the driver, to work out the wanted ranks.
-    known = stats.collect()
-    spark = df.sparkSession
-    borders = spark.createDataFrame(known, stats.schema)
-    wanted = sorted(
-        {
-            (row["column"], int(rank))
-            for row in known
-            for share in (0.25, 0.5, 0.75)
-            for rank in (share * (row["count"] - 1) // 1 + 1, -(-share * (row["count"] - 1) // 1) + 1)
-        }
-    )
-    placed = values.join(F.broadcast(borders.select("column", "_borders")), "column").select(
+    known = {row["column"]: row for row in stats.collect()}
+    quartiles = (0.25, 0.5, 0.75)
+
+    def around(row: Row, share: float) -> tuple[int, int, float]:
+        """Ranks on both sides of a quartile, from 1, and how far between them it is."""
+        place = share * (row["count"] - 1)
+        return int(place) + 1, ceil(place) + 1, place - int(place)
+
+    wanted = {
+        (name, rank)
+        for name, row in known.items()
+        for share in quartiles
+        for rank in around(row, share)[:2]
+    }
+    borders = _local(stats, ["column", "_borders"], [(r["column"], r["_borders"]) for r in known.values()])
+    placed = values.join(F.broadcast(borders), "column").select(
         "column",
         "value",
         F.size(F.filter("_borders", lambda b: b < F.col("value"))).alias("_bucket"),
     )
-    cuts = rank_cuts(
-        placed,
-        ["column"],
-        "_bucket",
-        ["value"],
-        spark.createDataFrame(wanted, "column string, rank long"),
-    )
-    picked = cuts.groupBy("column").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_at")
-    )
-
-    def quartile(share: float, name: str) -> Column:
-        place = F.lit(share) * (F.col("count") - 1)
-        low = F.floor(place)
-        below = F.element_at("_at", low + 1)
-        above = F.element_at("_at", F.ceil(place) + 1)
-        return (below + (above - below) * (place - low)).alias(name)
-
-    return borders.join(F.broadcast(picked), "column").select(
-        "column",
-        "count",
-        "mean",
-        "std",
-        "min",
-        quartile(0.25, "p25"),
-        quartile(0.5, "p50"),
-        quartile(0.75, "p75"),
-        "max",
+    at = rank_cuts(placed, ["column"], "_bucket", ["value"], sorted(wanted))
+    rows = []
+    for name, row in known.items():
+        cells = []
+        for share in quartiles:
+            low, high, part = around(row, share)
+            (below,), (above,) = at[name, low], at[name, high]
+            cells.append(below + (above - below) * part)
+        rows.append((name, row["count"], row["mean"], row["std"], row["min"], *cells, row["max"]))
+    return local_frame(
+        df.sparkSession,
+        rows,
+        "column string, count long, mean double, std double, min double, "
+        "p25 double, p50 double, p75 double, max double",
     )

@@ -11,23 +11,19 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import keyword_only
-from pyspark.ml import Estimator, Model
+from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postpulse.sources import scratch_dir
+from postpulse.sources import local_frame, scratch_dir
 
 # Spark's learners stop at this depth.
 DEEPEST = 30
@@ -56,16 +52,15 @@ def prepare(
         indexer = StringIndexer(
             inputCol=label, outputCol="label_index", stringOrderType="alphabetAsc"
         ).fit(complete)
-        labels = indexer.labels
-        indexed = indexer.transform(complete)
     else:
-        labels = sorted(labels)
-        place = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(label))
-        indexed = complete.withColumn("label_index", (place - 1).cast("double"))
+        indexer = StringIndexerModel.from_labels(
+            sorted(labels), inputCol=label, outputCol="label_index", handleInvalid="skip"
+        )
+    indexed = indexer.transform(complete)
     assembler = VectorAssembler(
         inputCols=list(features), outputCol="features", handleInvalid="skip"
     )
-    return Prepared(assembler.transform(indexed), list(features), list(labels))
+    return Prepared(assembler.transform(indexed), list(features), list(indexer.labels))
 
 
 # ---- node tables -----------------------------------------------------------
@@ -370,15 +365,18 @@ class FittedForest:
     labels: list[str]
     min_split: int = 2
 
-    def score(self, rows: DataFrame) -> DataFrame:
-        """Add `probability` (mean of the trees' shares) and `predicted`."""
+    def shares(self) -> Column:
+        """Class shares of a transformed row: the mean over its leaves."""
         table = [
             [t.shares(node).tolist() for node in collapse_small(t, self.min_split)]
             for t in self.trees
         ]
-        leaves = vector_to_array("leaf")
+        return _mean_shares(vector_to_array("leaf"), table)
+
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Add `probability` (mean of the trees' shares) and `predicted`."""
         scored = self.model.transform(rows).drop("rawPrediction", "probability", "prediction")
-        return _with_prediction(scored, _mean_shares(leaves, table), self.labels).drop("leaf")
+        return _with_prediction(scored, self.shares(), self.labels).drop("leaf")
 
     def first_tree(self) -> Tree:
         """The first tree, for printing."""
@@ -451,7 +449,7 @@ def tree_text(
 def write_tree_text(spark: SparkSession, text: str, path: str) -> None:
     """Write rule text to a folder as one text file."""
     lines = list(enumerate(text.split("\n")))
-    rows = spark.createDataFrame(lines, "line int, value string").coalesce(1)
+    rows = local_frame(spark, lines, "line int, value string").coalesce(1)
     rows.sortWithinPartitions("line").select("value").write.mode("overwrite").text(path)
 
 
@@ -467,7 +465,7 @@ def tree_rules(spark: SparkSession, tree: Tree, labels: Sequence[str], names: Se
             node = above
         label = labels[int(np.argmax(tree.counts[leaf]))]
         out.append((number, " AND ".join(reversed(parts)), label, int(tree.rows[leaf])))
-    return spark.createDataFrame(out, "leaf_id int, rule string, prediction string, rows long")
+    return local_frame(spark, out, "leaf_id int, rule string, prediction string, rows long")
 
 
 def rule_expression(rules: tuple | str, columns: Sequence[Column]) -> Column:
@@ -504,7 +502,7 @@ def pruning_path(spark: SparkSession, tree: Tree, keep_root: bool = False) -> Da
     steps = pruning_steps(tree)
     steps = steps if keep_root else steps[:-1]
     rows = [(i, *step) for i, step in enumerate(steps)]
-    return spark.createDataFrame(rows, "step int, alpha double, leaves int, risk double")
+    return local_frame(spark, rows, "step int, alpha double, leaves int, risk double")
 
 
 def _leaf_label_counts(fit: FittedTree, rows: DataFrame) -> np.ndarray:
@@ -566,8 +564,8 @@ def fold_scores(
 
     with ThreadPool(min(parallelism, folds)) as pool:
         scored = [row for part in pool.map(one, range(folds)) for row in part]
-    return data.rows.sparkSession.createDataFrame(
-        scored, "alpha double, fold int, score double"
+    return local_frame(
+        data.rows.sparkSession, scored, "alpha double, fold int, score double"
     )
 
 
@@ -588,122 +586,6 @@ def alpha_sweep(
     return summarise_folds(fold_scores(data, alphas, folds, impurity, fold_col, **options))
 
 
-class MinSplitForestModel(Model):
-    """A fitted forest whose nodes below the least split size count as leaves."""
-
-    def __init__(self, forest: FittedForest):
-        super().__init__()
-        self.forest = forest
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        scored = self.forest.score(dataset)
-        names = F.array(*[F.lit(label) for label in self.forest.labels])
-        place = F.array_position(names, F.col("predicted")) - 1
-        return scored.withColumn("prediction", place.cast("double"))
-
-
-class MinSplitForest(Estimator):
-    """Random forest learner with the parameters the grid search varies.
-
-    Points of a grid that differ only in `minSplit`, or in the two names `auto`
-    and `sqrt` of one feature rule, share a fit.
-    """
-
-    numTrees = Param(Params._dummy(), "numTrees", "trees", TypeConverters.toInt)
-    maxDepth = Param(Params._dummy(), "maxDepth", "depth", TypeConverters.toInt)
-    minLeaf = Param(Params._dummy(), "minLeaf", "least leaf size", TypeConverters.toInt)
-    minSplit = Param(Params._dummy(), "minSplit", "least split size", TypeConverters.toInt)
-    bootstrap = Param(Params._dummy(), "bootstrap", "bootstrap", TypeConverters.toBoolean)
-    maxFeatures = Param(Params._dummy(), "maxFeatures", "features", TypeConverters.toString)
-
-    @keyword_only
-    def __init__(self, *, features=None, labels=None, seed=42):
-        super().__init__()
-        self._setDefault(
-            numTrees=17, maxDepth=4, minLeaf=2, minSplit=2, bootstrap=False, maxFeatures="sqrt"
-        )
-        self.features, self.labels, self.seed = features, labels, seed
-
-    def _values(self, params: Mapping) -> dict:
-        names = ("numTrees", "maxDepth", "minLeaf", "minSplit", "bootstrap", "maxFeatures")
-        return {
-            name: params.get(getattr(self, name), self.getOrDefault(name)) for name in names
-        }
-
-    def _fit_values(self, dataset: DataFrame, values: dict) -> FittedForest:
-        data = Prepared(dataset, self.features, self.labels)
-        rule = "sqrt" if values["maxFeatures"] == "auto" else values["maxFeatures"]
-        return fit_forest(
-            data,
-            trees=values["numTrees"],
-            max_depth=values["maxDepth"],
-            min_leaf=values["minLeaf"],
-            min_split=values["minSplit"],
-            bootstrap=values["bootstrap"],
-            features_per_split=rule,
-            seed=self.seed,
-        )
-
-    def _fit(self, dataset: DataFrame) -> MinSplitForestModel:
-        return MinSplitForestModel(self._fit_values(dataset, self._values({})))
-
-    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[Mapping]):
-        """Models for a grid, one fit per set of points that can share it."""
-        shared: dict[tuple, list[tuple[int, int]]] = {}
-        for index, params in enumerate(paramMaps):
-            values = self._values(params)
-            rule = "sqrt" if values["maxFeatures"] == "auto" else values["maxFeatures"]
-            point = (
-                values["numTrees"], values["maxDepth"], values["minLeaf"],
-                values["bootstrap"], rule,
-            )
-            shared.setdefault(point, []).append((index, values["minSplit"]))
-        return _SharedFits(self, dataset, shared)
-
-
-class _SharedFits:
-    """Iterator over (index, model) that several threads may draw from."""
-
-    def __init__(self, learner: MinSplitForest, dataset: DataFrame, shared: dict):
-        from threading import Lock
-
-        self.learner, self.dataset = learner, dataset
-        self.todo = [
-            (point, index, split, members)
-            for point, members in shared.items()
-            for index, split in members
-        ]
-        self.locks = {point: Lock() for point in shared}
-        self.fits: dict[tuple, FittedForest] = {}
-        self.lock = Lock()
-
-    def __iter__(self):
-        return self
-
-    def __next__(self):
-        with self.lock:
-            if not self.todo:
-                raise StopIteration
-            point, index, split, _ = self.todo.pop(0)
-        with self.locks[point]:
-            if point not in self.fits:
-                trees, depth, leaf, bootstrap, rule = point
-                self.fits[point] = self.learner._fit_values(
-                    self.dataset,
-                    {
-                        "numTrees": trees,
-                        "maxDepth": depth,
-                        "minLeaf": leaf,
-                        "minSplit": 2,
-                        "bootstrap": bootstrap,
-                        "maxFeatures": rule,
-                    },
-                )
-        fit = self.fits[point]
-        forest = FittedForest(fit.model, fit.trees, fit.features, fit.labels, split)
-        return index, MinSplitForestModel(forest)
-
-
 def forest_sizes(start: int = 10, stop: int = 80, num: int = 10) -> list[int]:
     """Evenly spaced forest sizes, cut to whole numbers."""
     return [int(x) for x in np.linspace(start, stop, num)]
@@ -734,6 +616,23 @@ class Search:
     best_params: dict
 
 
+def _fit_point(params: Mapping) -> tuple:
+    """What of a grid point the learner sees; `auto` is another name for `sqrt`."""
+    rule = params.get("maxFeatures", "sqrt")
+    return (
+        params.get("numTrees", 17),
+        params.get("maxDepth", 4),
+        params.get("minLeaf", 2),
+        params.get("bootstrap", False),
+        "sqrt" if rule == "auto" else rule,
+    )
+
+
+def _fit_forest_at(data: Prepared, point: tuple, min_split: int, seed: int) -> FittedForest:
+    count, depth, leaf, bootstrap, rule = point
+    return fit_forest(data, count, depth, leaf, min_split, bootstrap, rule, seed)
+
+
 def grid_search(
     data: Prepared,
     grid: Mapping[str, Sequence] = FULL_GRID,
@@ -742,44 +641,55 @@ def grid_search(
     parallelism: int = 4,
     seed: int = 42,
 ) -> Search:
-    """Cross-validated accuracy of every grid point, best one refitted on all rows."""
-    learner = MinSplitForest(features=data.features, labels=data.labels, seed=seed)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(getattr(learner, name), list(values))
-    points = builder.build()
-    search = CrossValidator(
-        estimator=learner,
-        estimatorParamMaps=points,
-        evaluator=MulticlassClassificationEvaluator(
-            labelCol="label_index", metricName="accuracy"
-        ),
-        numFolds=folds,
-        foldCol=fold_col,
-        parallelism=parallelism,
+    """Cross-validated accuracy of every grid point, best one refitted on all rows.
+
+    `grid` lists values of numTrees, maxFeatures, maxDepth, minSplit, minLeaf and
+    bootstrap. Points that differ only in `minSplit`, or in the two names of one
+    feature rule, share a fit, and its held-out rows are scored for all of them in
+    one pass. Of equally good points the first wins.
+    """
+    points = grid_points(grid)
+    splits: dict[tuple, set[int]] = {}
+    for params in points:
+        splits.setdefault(_fit_point(params), set()).add(params.get("minSplit", 2))
+    rows = data.rows.persist()
+
+    def one(task: tuple[int, tuple]) -> dict[tuple, float]:
+        fold, point = task
+        part = Prepared(rows.where(F.col(fold_col) != fold), data.features, data.labels)
+        fit = _fit_forest_at(part, point, 2, seed)
+        held = fit.model.transform(rows.where(F.col(fold_col) == fold))
+        right = []
+        for least in sorted(splits[point]):
+            shares = replace(fit, min_split=least).shares()
+            best = F.array_position(shares, F.array_max(shares)) - 1
+            right.append(F.avg((best == F.col("label_index")).cast("double")).alias(f"at_{least}"))
+        scores = held.agg(*right).first()
+        return {(point, least, fold): scores[f"at_{least}"] for least in splits[point]}
+
+    scores: dict[tuple, float] = {}
+    with ThreadPool(parallelism) as pool:
+        for part in pool.imap_unordered(one, list(product(range(folds), splits))):
+            scores.update(part)
+    summary = []
+    for params in points:
+        least, point = params.get("minSplit", 2), _fit_point(params)
+        found = [scores[point, least, fold] for fold in range(folds)]
+        summary.append((json.dumps(params), float(np.mean(found)), float(np.std(found))))
+    chosen = points[int(np.argmax([mean for _, mean, _ in summary]))]
+    whole = Prepared(rows, data.features, data.labels)
+    best = _fit_forest_at(whole, _fit_point(chosen), chosen.get("minSplit", 2), seed)
+    rows.unpersist()
+    results = local_frame(
+        data.rows.sparkSession, summary, "params string, mean_accuracy double, std double"
     )
-    fitted: CrossValidatorModel = search.fit(data.rows)
-    rows = []
-    for i, point in enumerate(points):
-        named = {param.name: value for param, value in point.items()}
-        rows.append(
-            (
-                json.dumps(named, sort_keys=True),
-                float(fitted.avgMetrics[i]),
-                float(fitted.stdMetrics[i]),
-            )
-        )
-    best = int(np.argmax(fitted.avgMetrics))
-    spark = data.rows.sparkSession
-    results = spark.createDataFrame(rows, "params string, mean_accuracy double, std double")
-    chosen = {param.name: value for param, value in points[best].items()}
-    return Search(results, fitted.bestModel.forest, chosen)
+    return Search(results, best, chosen)
 
 
 def params_table(spark: SparkSession, params: Mapping) -> DataFrame:
     """(param, value) rows of a parameter set."""
     rows = [(name, str(value)) for name, value in sorted(params.items())]
-    return spark.createDataFrame(rows, "param string, value string")
+    return local_frame(spark, rows, "param string, value string")
 
 
 def resolved_params(spark: SparkSession, model: Model) -> DataFrame:

@@ -3,6 +3,7 @@
 from postpulse.sources.tables import (
     POST_SCHEMA,
     TICKER_MAP_SCHEMA,
+    local_frame,
     materialise,
     price_range,
     read_posts,
@@ -17,6 +18,7 @@ from postpulse.sources.tables import (
 __all__ = [
     "POST_SCHEMA",
     "TICKER_MAP_SCHEMA",
+    "local_frame",
     "materialise",
     "price_range",
     "read_posts",

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 POST_SCHEMA = T.StructType(
     [
@@ -106,6 +109,18 @@ def write_table(
         writer.format(fmt).save(path)
 
 
+def local_frame(
+    spark: SparkSession, rows: Sequence[Sequence], schema: T.StructType | str
+) -> DataFrame:
+    """A small table the driver holds, as part of the plan rather than as a job's input."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    arrow = to_arrow_schema(schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(arrow)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's `spark.checkpoint.dir`.
 
