@@ -17,7 +17,7 @@ from postpulse.functions import (
 )
 from postpulse.operators import bow, evaluate, features, labels, ngrams, sampling, trees
 from postpulse.operators.joins import dedupe_first, pair_first_posts, pair_posts
-from postpulse.plans import training
+from postpulse.plans import Exploration, training
 from postpulse.sources import (
     local_frame,
     materialise,
@@ -547,6 +547,36 @@ def write_training_sets(spark, d):
     )
 
 
+def _explored(spark, d, words):
+    total = F.col("comment_num") + F.col("retweet_num") + F.col("like_num")
+    flagged = s.posts(spark, d).select("tweet_id", "body", (total >= 4).alias("popular"))
+    return Exploration(materialise(flagged, "flagged"), "popular", 400, words, strict=False)
+
+
+@query()
+def explore_matrix(spark, d):
+    matrix = _explored(spark, d, 100).matrix(
+        s.explicit_terms(spark), s.dictionary(spark, d), s.lexicon(spark), ["the", "best"]
+    )
+    rounded = matrix.withColumn("polarity", F.round("polarity", 9))
+    return rounded.drop("body", "original_text")
+
+
+@query()
+def explore_vocabulary_500(spark, d):
+    return _explored(spark, d, 500).vocabulary
+
+
+@query()
+def explore_trends(spark, d):
+    return _explored(spark, d, 100).trends()
+
+
+@query()
+def explore_frequencies(spark, d):
+    return _explored(spark, d, 100).frequencies()
+
+
 # ---- scores of fixed predictions -------------------------------------------
 
 
@@ -600,6 +630,16 @@ def score_rules(spark, d):
     return scored.select("tweet_id", "ticker_symbol", "interaction_level", "predicted")
 
 
+@query()
+def fold_summary(spark, d):
+    """Accuracy of the fixed predictions per fold, then its mean and deviation."""
+    folded = sampling.stratified_folds(_predicted(spark, d), "quality", 10, "doc_id")
+    right = F.avg((F.col("quality") == F.col("guess").cast("string")).cast("double"))
+    scores = folded.groupBy("fold").agg(right.alias("score")).withColumn("alpha", F.lit(0.0))
+    summary = trees.summarise_folds(scores)
+    return summary.select(*[F.round(c, 9).alias(c) for c in summary.columns])
+
+
 # ---- learned models --------------------------------------------------------
 
 DEPTH = 6

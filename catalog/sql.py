@@ -326,7 +326,10 @@ def char_grams(n: int) -> str:
         GROUP BY 1, 2)) WHERE rank <= 15"""
 
 
-def trends() -> str:
+def trends(source: str | None = None, ctes: str = "") -> str:
+    """Trends of `source` (doc_id, text, popular), by default of all documents."""
+    source = source or """SELECT doc_id, text, coalesce(comment_num + retweet_num + like_num >= 4, false)
+        AS popular FROM documents LEFT JOIN counters ON doc_id = tweet_id"""
     over = "PARTITION BY doc_id ORDER BY i"
     whole = " UNION ALL ".join(
         f"SELECT popular, 'word' AS unit, {n} AS n, {gram_window(n, over)} AS term, 1 AS times "
@@ -339,16 +342,14 @@ def trends() -> str:
         for n in (1, 2, 3, 4)
     )
     return with_(
-        ["counters"],
+        ["counters", "posts"],
         f"""SELECT popular, unit, n, CASE WHEN unit = 'char' THEN {spaced('term')} ELSE term END AS term,
           count, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY popular, unit, n ORDER BY count DESC, term)::INT AS rank FROM (
           SELECT popular, unit, n, term, sum(times)::BIGINT AS count FROM grams WHERE term IS NOT NULL
           GROUP BY ALL)) WHERE rank <= 15""",
-        f"""
-    flagged AS (SELECT doc_id, coalesce(comment_num + retweet_num + like_num >= 4, false) AS popular,
-        {review_words(letters('text'))} AS ws
-      FROM documents LEFT JOIN counters ON doc_id = tweet_id),
+        f"""{ctes}
+    flagged AS (SELECT doc_id, popular, {review_words(letters('text'))} AS ws FROM ({source})),
     spoken AS (SELECT doc_id, popular, len(ws) AS total, unnest(ws) AS w,
         generate_subscripts(ws, 1) AS i FROM flagged),
     counted AS (SELECT popular, w, count(*) AS times FROM spoken GROUP BY ALL),
@@ -379,6 +380,20 @@ def describe(source: str, columns: list[str], digits: dict[str, int], names: lis
     return " UNION ALL ".join(one(c) for c in columns)
 
 
+def frequencies(source: str) -> str:
+    return f"""counted AS (SELECT term, count(*) AS count FROM (
+        SELECT unnest({word_tokens('lower(body)')}) AS term FROM {source})
+      WHERE NOT list_contains({STOP}, term) GROUP BY 1)
+    SELECT term, count, row_number() OVER (ORDER BY count DESC, term)::INT AS rank,
+      count::DOUBLE / max(count) OVER () AS weight FROM counted
+    QUALIFY rank <= 200"""
+
+
+EXPLORED = """explored AS (SELECT tweet_id, body, comment_num + retweet_num + like_num >= 4 AS popular
+      FROM posts QUALIFY row_number() OVER (PARTITION BY comment_num + retweet_num + like_num >= 4
+        ORDER BY md5('42:' || tweet_id), tweet_id) <= 200)"""
+
+
 STATS = ["mean", "std", "min", "p25", "p50", "p75", "max"]
 PREDICTED = """predicted AS (SELECT doc_id, quality::VARCHAR AS truth,
       CASE WHEN n_chars >= 800 THEN '1' ELSE '0' END AS guess,
@@ -415,11 +430,11 @@ def sampled(source: str, columns: str, by: str, key: str, n: int) -> str:
     )
 
 
-def folds(k: int) -> str:
+def folds(k: int, source: str = "SELECT doc_id, lang FROM documents") -> str:
     """Stratified folds: labels laid end to end, positions dealt round-robin."""
-    return f"""WITH ranked AS (SELECT doc_id AS tweet_id, lang,
+    return f"""WITH source AS ({source}), ranked AS (SELECT doc_id AS tweet_id, lang,
         row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) - 1 AS r,
-        row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS g FROM documents),
+        row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS g FROM source),
     classes AS (SELECT lang, count(*) AS m, min(g) AS seen FROM ranked GROUP BY 1),
     starts AS (SELECT lang, m, sum(m) OVER (ORDER BY seen) - m AS start FROM classes),
     shares AS (SELECT lang, p % {k} AS fold, count(*) AS share FROM (
@@ -552,12 +567,7 @@ ORACLES: dict[str, str] = {
     **{f"word_ngrams_{n}": word_grams(n) for n in (1, 2, 3, 4)},
     **{f"char_ngrams_{n}": char_grams(n) for n in (1, 2, 3, 4)},
     "text_trends": trends(),
-    "word_frequencies": f"""WITH counted AS (SELECT term, count(*) AS count FROM (
-        SELECT unnest({word_tokens('lower(text)')}) AS term FROM documents)
-      WHERE NOT list_contains({STOP}, term) GROUP BY 1)
-    SELECT term, count, row_number() OVER (ORDER BY count DESC, term)::INT AS rank,
-      count::DOUBLE / max(count) OVER () AS weight FROM counted
-    QUALIFY rank <= 200""",
+    "word_frequencies": f"WITH texts AS ({CTES['texts']}), {frequencies('texts')}",
     "vocabulary": with_(
         ["clean_texts"], "SELECT * FROM vocab", vocabulary("clean_texts", ["lang"], WORDS, "tweet_id")
     ),
@@ -621,6 +631,35 @@ ORACLES: dict[str, str] = {
     "training_matrix_price": matrix("price_change"),
     "training_matrix_interaction": matrix("interaction_level"),
     "training_matrix_sentiment": matrix("sentiment"),
+    "explore_matrix": with_(
+        ["counters", "posts", "dictionary"],
+        f"""SELECT tweet_id, popular, {', '.join(META_FEATURES)},
+        {EXPLICIT.format(word_tokens('body'))} AS "isExplicit", coalesce(typo, 0)::INT AS typo,
+        list_contains({word_tokens('body')}, 'the')::INT AS "has_The",
+        list_contains({word_tokens('body')}, 'best')::INT AS "has_Best",
+        round(polarity, 9) AS polarity, wide.* EXCLUDE (tweet_id)
+      FROM (SELECT *, {meta_select('body')} FROM (SELECT *, {words('body')} AS words FROM explored))
+      LEFT JOIN typos USING (tweet_id) JOIN polarity USING (tweet_id) JOIN wide USING (tweet_id)""",
+        f"""{EXPLORED}, {polarity_ctes('explored')},
+    typos AS (SELECT tweet_id, count(*)::INT AS typo FROM ({unknown('explored')}) GROUP BY 1),
+    {vocabulary('explored', [], WORDS, 'tweet_id')},
+    wide AS (SELECT tweet_id, {wide_columns(WORDS)} FROM explored
+      LEFT JOIN per_row USING (tweet_id) LEFT JOIN vocab USING (term) GROUP BY 1)""",
+    ),
+    "explore_vocabulary_500": with_(
+        ["counters", "posts"],
+        "SELECT * FROM vocab",
+        f"{EXPLORED}, {vocabulary('explored', [], 500, 'tweet_id')}",
+    ),
+    "explore_trends": trends(
+        "SELECT tweet_id AS doc_id, body AS text, popular FROM explored", EXPLORED + ","
+    ),
+    "explore_frequencies": with_(["counters", "posts"], "", EXPLORED + "," + frequencies("explored")),
+    "fold_summary": f"""WITH {PREDICTED}, folded AS ({folds(10, "SELECT doc_id, truth AS lang FROM predicted")}),
+      per_fold AS (SELECT fold, avg((truth = guess)::INT::DOUBLE) AS score
+        FROM predicted JOIN folded ON doc_id = tweet_id GROUP BY 1)
+      SELECT 0.0::DOUBLE AS alpha, round(avg(score), 9) AS mean_accuracy, round(stddev_pop(score), 9) AS std
+      FROM per_fold""",
     "one_hot": with_(
         ["counters"],
         "SELECT tweet_id, comment_num, retweet_num, like_num, "

@@ -133,16 +133,17 @@ def pair_first_posts(posts: DataFrame, ticker_map: DataFrame) -> DataFrame:
     """Pairs kept when each distinct body stays once, under its first pair.
 
     Equal to `dedupe_first(pair_posts(...), ["body"], ["tweet_id",
-    "ticker_symbol"])`, but which pairs win is settled on (id, digest of the
-    body) alone, so the bodies cross the network once, in the final join.
-    A NULL body counts as one body.
+    "ticker_symbol"])` where a post has one row, but which pairs win is settled on
+    (id, digest of the body) alone, so the bodies cross the network once, in the
+    final join. A NULL body counts as one body.
     """
     tickers = ticker_map.groupBy("tweet_id").agg(F.min("ticker_symbol").alias("ticker_symbol"))
-    digests = posts.select("tweet_id", F.sha2("body", 256).alias("_digest"))
+    digested = posts.withColumn("_digest", F.coalesce(F.sha2("body", 256), F.lit("")))
     winners = (
-        digests.join(tickers, "tweet_id")
+        digested.select("tweet_id", "_digest")
+        .join(tickers, "tweet_id")
         .groupBy("_digest")
         .agg(F.min(F.struct("tweet_id", "ticker_symbol")).alias("_first"))
-        .select("_first.*")
+        .select("_digest", "_first.*")
     )
-    return posts.join(winners, "tweet_id", "inner")
+    return digested.join(winners, ["tweet_id", "_digest"], "inner").drop("_digest")

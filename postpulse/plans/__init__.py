@@ -1,5 +1,6 @@
 """End-to-end plans: feature table, training sets, training matrices."""
 
+from postpulse.plans.exploration import Exploration
 from postpulse.plans.training import (
     TARGETS,
     feature_columns,
@@ -13,6 +14,7 @@ from postpulse.plans.training import (
 
 __all__ = [
     "TARGETS",
+    "Exploration",
     "feature_columns",
     "feature_table",
     "label_posts",

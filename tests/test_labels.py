@@ -110,6 +110,13 @@ def test_dedupe_keeps_the_first_pair_of_a_body(spark):
     assert {(r["tweet_id"], r["ticker_symbol"]) for r in fused.collect()} == want
 
 
+def test_two_bodies_under_one_id_both_stay(spark):
+    posts = spark.createDataFrame([(1, "x"), (1, "y"), (2, "y")], POSTS)
+    pairs = spark.createDataFrame([(1, "B"), (1, "A"), (2, "A")], PAIRS)
+    got = {tuple(r) for r in pair_first_posts(posts, pairs).collect()}
+    assert got == {(1, "x", "A"), (1, "y", "A")}
+
+
 def test_dedupe_of_a_body_shared_by_a_third_of_the_rows(spark):
     posts = spark.range(3000).select(
         F.col("id").alias("tweet_id"),
