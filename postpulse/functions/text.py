@@ -3,8 +3,8 @@
 Everything here is a built-in expression over one row: no Python worker and no
 shuffle. Counting is done by deleting (`length` before minus after) or by
 `regexp_count`, which stay in generated code, instead of a lambda per token.
-The quantifiers on token parts are possessive, so a very long token without
-any whitespace is still matched in linear time.
+The quantifiers on word parts are possessive, so a very long word is still matched
+in linear time.
 """
 
 from __future__ import annotations
@@ -23,12 +23,11 @@ WORD_CHARS = r"\p{L}\p{N}_"
 # Characters that cleaning turns into spaces.
 CLEANED_AWAY = "!\"#%&'()*+,-./:;<=>?@[\\]^_`{|}~–"
 
-_TOKEN = f"[^{SPACE}]"
-_START = f"(?<!{_TOKEN})"
-_END = f"(?!{_TOKEN})"
-_UNCASED = rf"[^{SPACE}\p{{Lu}}\p{{Ll}}\p{{Lt}}]"
-_UPPER_WORD = rf"{_START}{_UNCASED}*+\p{{Lu}}[^{SPACE}\p{{Ll}}\p{{Lt}}]*+{_END}"
-_LOWER_WORD = rf"{_START}{_UNCASED}*+\p{{Ll}}[^{SPACE}\p{{Lu}}\p{{Lt}}]*+{_END}"
+# Whole words of one case, in words joined by single spaces.
+_START, _END = "(?<![^ ])", "(?![^ ])"
+_UNCASED = r"[^ \p{Lu}\p{Ll}\p{Lt}]"
+_UPPER_WORD = rf"{_START}{_UNCASED}*+\p{{Lu}}[^ \p{{Ll}}\p{{Lt}}]*+{_END}"
+_LOWER_WORD = rf"{_START}{_UNCASED}*+\p{{Ll}}[^ \p{{Lu}}\p{{Lt}}]*+{_END}"
 _TITLE_WORD = (
     rf"{_START}{_UNCASED}*+"
     rf"(?:[\p{{Lu}}\p{{Lt}}]\p{{Ll}}*+(?:{_UNCASED}++|{_END}))++{_END}"
@@ -51,7 +50,7 @@ META_FEATURES = (
 
 def words(text: Column) -> Column:
     """Words between runs of whitespace, without empty entries."""
-    return F.regexp_extract_all(text, F.lit(f"({_TOKEN}+)"), F.lit(1))
+    return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
 
 
 def word_tokens(text: Column) -> Column:
@@ -69,33 +68,39 @@ def upper_word_list(text: Column) -> Column:
     return word_tokens(F.upper(text))
 
 
-def _count_chars(text: Column, char_class: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, f"[{char_class}]+", ""))
-
-
 def count_tokens(text: Column) -> Column:
     """Number of words."""
-    return F.regexp_count(text, F.lit(f"{_TOKEN}+"))
+    return F.size(words(text))
 
 
 def meta_feature_columns(text: Column) -> dict[str, Column]:
-    """The eleven counts and means taken from the raw text."""
+    """The eleven counts and means taken from the raw text.
+
+    The words, and the text without plain letters and spaces, are each worked out
+    once per row and shared; most character counts then look at a short rest.
+    """
     split = words(text)
     num_words = F.size(split)
-    upper = F.regexp_count(text, F.lit(_UPPER_WORD))
-    word_chars = F.length(F.regexp_replace(text, f"[{SPACE}]+", ""))
+    joined = F.array_join(split, " ")
+    word_chars = F.length(F.array_join(split, ""))
+    rest = F.regexp_replace(text, "[a-zA-Z ]+", "")
+
+    def among_rest(char_class: str) -> Column:
+        return F.length(rest) - F.length(F.regexp_replace(rest, f"[{char_class}]+", ""))
+
+    upper = F.regexp_count(joined, F.lit(_UPPER_WORD))
     return {
         "num_words": num_words,
         "num_unique_words": F.size(F.array_distinct(split)),
         "num_chars": F.length(text),
-        "num_punctuations": _count_chars(text, PUNCTUATION),
+        "num_punctuations": among_rest(PUNCTUATION),
         "num_words_upper": upper,
-        "num_words_title": F.regexp_count(text, F.lit(_TITLE_WORD)),
+        "num_words_title": F.regexp_count(joined, F.lit(_TITLE_WORD)),
         "mean_word_len": F.try_divide(word_chars.cast("double"), num_words.cast("double")),
-        "num_special_char": F.length(F.regexp_replace(text, "[a-zA-Z0-9 ]+", "")),
-        "num_numerics": _count_chars(text, DIGITS),
+        "num_special_char": F.length(F.regexp_replace(rest, "[0-9]+", "")),
+        "num_numerics": among_rest(DIGITS),
         "num_uppercase": upper,
-        "num_lowercase": F.regexp_count(text, F.lit(_LOWER_WORD)),
+        "num_lowercase": F.regexp_count(joined, F.lit(_LOWER_WORD)),
     }
 
 

@@ -60,7 +60,9 @@ class Exploration:
         """The sample with all text features and one count column per term."""
         described = add_slow_features(add_meta_features(self.sample), terms, dictionary)
         scored = lexicon_polarity(token_flags(described, list(watched)), lexicon)
-        return bag_of_words_wide(scored, self.vocabulary, self.words)
+        texts = self.sample.select("tweet_id", "body")
+        counts = bag_of_words_wide(texts, self.vocabulary, self.words).drop("body")
+        return scored.join(counts, "tweet_id")
 
     def trends(self, stop: Iterable[str] | None = None) -> DataFrame:
         """Top word and character n-grams per value of the flag."""
