@@ -127,12 +127,13 @@ def scratch_dir(spark: SparkSession) -> str:
     A local-mode session without the setting gets a temporary folder; on a
     cluster the setting is required, since executors share no local disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="postpulse-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="postpulse-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
@@ -153,7 +154,8 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-repartition an input that came in fewer pieces than there are cores.
 
     One unsplittable file would otherwise keep a whole text job on one core. An
-    input with enough pieces is returned as it is, without a shuffle.
+    input with enough pieces is returned as it is, without a shuffle. Meant for a
+    table just read: counting the pieces of a plan with joins would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
