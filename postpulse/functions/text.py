@@ -136,16 +136,21 @@ def positions(array: Column, least: int = 1, run: int = 1) -> Column:
     return F.explode(F.when(size >= max(least, run), F.sequence(F.lit(0), size - run)))
 
 
+def without(array: Column, stop_words: Iterable[str]) -> Column:
+    """The words that are not stop words, in order and repeated as they were."""
+    stop = sorted(set(stop_words))
+    # A long IN list becomes one hash lookup per word.
+    return F.filter(array, lambda word: ~word.isin(stop)) if stop else array
+
+
 def clean_reviews_words(text: Column, stop_words: Iterable[str]) -> Column:
     """Words left once other signs are deleted and stop words dropped.
 
     Signs are deleted rather than spaced, so `don't` becomes `dont` before stop
-    words are looked up. Repeated words stay repeated.
+    words are looked up.
     """
     kept = F.lower(F.regexp_replace(text, rf"[^a-zA-Z0-9{SPACE}]+", ""))
-    stop = sorted(set(stop_words))
-    # A long IN list becomes one hash lookup per word.
-    return F.filter(words(kept), lambda word: ~word.isin(stop)) if stop else words(kept)
+    return without(words(kept), stop_words)
 
 
 def clean_reviews_text(text: Column, stop_words: Iterable[str]) -> Column:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from postpulse.functions.text import (
     clean_reviews_text,
-    clean_reviews_words,
     exploded,
     letters_only,
     positions,
+    without,
     word_tokens,
     words,
 )
@@ -164,7 +164,8 @@ def text_trends(
     Bodies are reduced to letters, then stop words are dropped.
     """
     stop = stop_words() if stop is None else stop
-    cleaned = clean_reviews_words(letters_only(F.col(body)), stop)
+    # Nothing is left to delete from a text of letters and single spaces.
+    cleaned = without(F.array_remove(F.split(letters_only(F.col(body)), " "), ""), stop)
     tokens = df.select(group_col, cleaned.alias("_tokens"))
     by = [group_col, "unit", "n"]
     few = few_groups(df, [group_col])
