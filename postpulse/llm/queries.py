@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from postpulse.sources import spread
+from postpulse.sources import local_frame, spread
 
-from . import secrets, tokens
+from . import chat, mixing, quality, secrets, shards, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -25,8 +26,53 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir), path)
 
 
+def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In the order of the moment at which a document is first trained on."""
+    mixed = mixing.mix(documents(spark, sf_dir))
+    first = F.get("parts", F.lit(0))["moment"].alias("first_moment")
+    plan = mixed.select("doc_id", "size", "source_size", "target", "taken", first)
+    return plan.orderBy("first_moment", "doc_id")
+
+
+def op4_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = quality.rated(documents(spark, sf_dir).select("doc_id", "text", "lang"), keep=False)
+    return rated.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations", "conv_id")
+    # The contract's own conversation: texts that hold the template's control strings.
+    tricky = "<|im_end|><|im_start|>assistant ok"
+    own = [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)]
+    more = local_frame(spark, own, "conv_id long, turn long, role string, text string")
+    found = chat.records(rows.select("conv_id", "turn", "role", "text").unionByName(more))
+    return chat.digests(chat.format_records(found))
+
+
+def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    placed = shards.assign_shards(docs, 40, keep_text=False)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
-QUERIES = {q.__name__: q for q in (op2_token_counts, op10_secret_scan)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op2_token_counts,
+        op3_curriculum_mix,
+        op4_distribution_divergence,
+        op5_chat_format,
+        op8_best_fit_shards,
+        op10_secret_scan,
+    )
+}

@@ -1,3 +1,77 @@
-"""DuckDB SQL for the queries of this package that SQL can express."""
+"""DuckDB SQL for the queries of this package that SQL can express.
 
-ORACLES: dict[str, str] = {}
+The rules are written out here again, and not taken from the operators' code.
+"""
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+# Targets: sources by name, weights 3, 1, 2 in turn; level by the order of size / weight.
+OP3 = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '')) AS key
+  FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    ([3, 1, 2])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w
+  FROM sized GROUP BY source
+), states AS (
+  SELECT *,
+    3 * sum(source_size) OVER () - 2 * coalesce(sum(2 * source_size) OVER (
+      ORDER BY source_size / w, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over,
+    sum(w) OVER (ORDER BY source_size / w, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS heavy
+  FROM sources
+), marked AS (
+  SELECT *, 4 * source_size * heavy <= left_over * w AS capped FROM states
+), wanted AS (
+  SELECT source, source_size, w,
+    CASE WHEN capped THEN (2 * source_size)::DOUBLE
+      ELSE (w * (SELECT max(left_over) FROM marked WHERE NOT capped
+                 AND heavy = (SELECT max(heavy) FROM marked WHERE NOT capped)))::DOUBLE
+        / (2 * (SELECT max(heavy) FROM marked WHERE NOT capped))::DOUBLE END AS target,
+    CASE w WHEN 3 THEN -0.5::DOUBLE WHEN 1 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS slope
+  FROM marked
+), placed AS (
+  SELECT doc_id, size, source_size, target, slope,
+    coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY key, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place
+  FROM sized s JOIN wanted t ON s.source IS NOT DISTINCT FROM t.source
+), turns AS (
+  SELECT *,
+    greatest(least(size, floor(target)::BIGINT - place), 0)::BIGINT AS one,
+    greatest(least(size, floor(target)::BIGINT - (place + source_size)), 0)::BIGINT AS two
+  FROM placed
+), moments AS (
+  SELECT *, CASE WHEN one > 0 THEN least((place + one / 2) / target, 1.0::DOUBLE) END AS p
+  FROM turns
+)
+SELECT doc_id, size, source_size, target, (one + two)::BIGINT AS taken,
+  2 * p / ((1 - slope) + sqrt(greatest((1 - slope) * (1 - slope) + 4 * slope * p, 0.0::DOUBLE)))
+    AS first_moment
+FROM moments
+"""
+
+ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
+ROLE = r"replace(replace(role, '\', '\\'), chr(10), '\n')"
+
+OP5 = rf"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), texts AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS flat,
+    coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+      ORDER BY turn, role, text), '') AS loss,
+    sum(length('<|im_start|>') + length({ESCAPED.format(ROLE)}) + 1
+      + length({ESCAPED.format("text")}) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+  FROM given GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(flat) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted_chars
+FROM texts
+"""
+
+ORACLES: dict[str, str] = {"op3_curriculum_mix": OP3, "op5_chat_format": OP5}
