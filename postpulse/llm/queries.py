@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postpulse.sources import local_frame, spread
 
-from . import chat, mixing, quality, secrets, shards, tokens
+from . import chat, mixing, quality, secrets, shards, substrings, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -61,6 +61,12 @@ def op8_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(documents(spark, sf_dir).select("doc_id", "text"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
@@ -73,6 +79,7 @@ QUERIES = {
         op4_distribution_divergence,
         op5_chat_format,
         op8_best_fit_shards,
+        op9_count_min_substrings,
         op10_secret_scan,
     )
 }

@@ -49,6 +49,24 @@ def window_hashes(hashes: np.ndarray, offsets: list[int]) -> np.ndarray:
     return total
 
 
+def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
+    """One hash per window of `length` neighbouring words, by doubling the length."""
+    factor = np.uint64(0x9E3779B97F4A7C15)
+    whole, done, power, size = None, 0, hashes, 1
+    while True:
+        if length & size:
+            if whole is None:
+                whole = power
+            else:
+                tail = power[done:]
+                whole = mixed(whole[: len(tail)] * factor + tail)
+            done += size
+        if done == length:
+            return whole
+        power = mixed(power[: len(power) - size] * factor + power[size:])
+        size *= 2
+
+
 def map_batches(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
