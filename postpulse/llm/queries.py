@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postpulse.sources import local_frame, spread
 
-from . import chat, mixing, quality, secrets, shards, substrings, tokens
+from . import chat, decontaminate, mixing, quality, secrets, shards, substrings, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -19,6 +19,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", "doc_id")
 
 
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contamination(documents(spark, sf_dir), benchmark)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -74,6 +79,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_spaced_seeds,
         op2_token_counts,
         op3_curriculum_mix,
         op4_distribution_divergence,
