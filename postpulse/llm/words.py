@@ -67,6 +67,39 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
         size *= 2
 
 
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+TAKEN = np.array([(1 << 8 * n) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word of all texts, and the number of the text that it is in.
+
+    Words are runs of anything but ASCII white space. They are hashed eight bytes at
+    a time over the whole list, without a Python object for each.
+    """
+    joined = b"\n".join([*texts, b"\0" * 8])
+    raw = np.frombuffer(joined, np.uint8)
+    used = len(raw) - 8
+    blank = BLANK[raw[:used]]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if used and not blank[0]:
+        edge = np.concatenate([[0], edge])
+    starts, ends = edge[::2], edge[1::2]  # the line end before the padding ends the last word
+    length = ends - starts
+    eight = np.ndarray(used + 1, "<u8", joined, strides=(1,))
+    hashes = mixed(length.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    left, at, which = length, starts, slice(None)
+    while len(left):
+        part = eight[at] & TAKEN[np.minimum(left, 8)]
+        hashes[which] = mixed(hashes[which] * np.uint64(0x9E3779B97F4A7C15) + part)
+        more = np.flatnonzero(left > 8)
+        which = more if isinstance(which, slice) else which[more]
+        at, left = at[more] + 8, left[more] - 8
+    first = np.cumsum([0, *(len(text) + 1 for text in texts)])
+    return hashes, np.searchsorted(first, starts, "right") - 1
+
+
 def map_batches(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
