@@ -1,13 +1,61 @@
-"""From raw documents to training shards: the stages in the order in which they run."""
+"""From raw documents to training shards: the stages in the order in which they run.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept.
+All but the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from postpulse.llm import decontaminate, jaccard, mixing, quality, shards
+from postpulse.sources import materialise
+
+SHARDS = 40
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality.rated(docs).where("kept").select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one of smallest id."""
+    return jaccard.one_of_each(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.without_contaminated(docs, benchmark)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are brought to their targets: documents repeat, stay, are cut or go."""
+    return mixing.mixed_documents(docs)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each row gets its shard and its slot in it."""
+    return shards.assign_shards(docs, SHARDS)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("source mix", mixed),
+    ("shards", sharded),
+]
+
+# Shingle components and best-fit packing have no SQL form; tests hold the rows of
+# run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other over `documents`."""
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after the other over `documents`, each written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -90,41 +90,45 @@ def mix(
     text: str = "text",
     source: str = "source",
     bucket_rows: int = BUCKET_ROWS,
+    carry: bool = False,
 ) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken, moments.
+    """One row per input row: id, source, size, source_size, target, taken and parts.
 
     Within a source documents stand in the order of the MD5 of their id (then of
-    size and text), once for each repeat. A document's words count as taken as far as
-    they come before the target; the last document of a source may be taken in part.
-    `moments` has the time of each time it is taken, `words` the words of each.
+    size and a hash of the text), once for each repeat. A document's words count as
+    taken as far as they come before the target; the last one of a source may be taken
+    in part. `parts` has the moment and the words of each time that it is taken.
     A null text has size 0, and a document without words is never taken. Null source
-    is a source. Rows that agree in id, size and text are interchangeable.
+    is a source. Rows that agree in id, size and text are interchangeable. `carry`
+    adds all input columns as the struct `row`, whatever their names.
 
     Places in a source are found in two levels, so that a source with a third of
     all rows is worked on by many tasks: buckets by the leading digits of the MD5,
-    their running sums, and sums within each bucket.
+    their running sums, and sums within each bucket. Targets need a row per source,
+    which one task sorts.
     """
-    size = F.size(word_list(F.col(text))).cast("long")
-    narrow = materialise(
-        docs.select(
-            F.col(id_col).alias(id_col),
-            F.col(source).alias("source"),
-            size.alias("size"),
-            F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("_key"),
-            F.xxhash64(text).alias("_text"),
-        ),
-        "sized",
-    )
-    return _places(narrow, id_col, bucket_rows)
+    key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    own = [
+        F.col(id_col).alias("id"),
+        F.col(source).alias("source"),
+        F.size(word_list(F.col(text))).cast("long").alias("size"),
+        key.alias("_key"),
+        F.xxhash64(text).alias("_text"),
+    ]
+    narrow = materialise(docs.select(*own), "sized")
+    rows = docs.select(*own, F.struct("*").alias("row")) if carry else narrow
+    found = _places(narrow, rows, bucket_rows)
+    return found.withColumnRenamed("id", id_col)
 
 
-def _places(narrow: DataFrame, id_col: str, bucket_rows: int) -> DataFrame:
+def _places(narrow: DataFrame, rows: DataFrame, bucket_rows: int) -> DataFrame:
     # Enough buckets for the largest source; the key's digits deal rows out evenly.
-    rows = narrow.count()
+    n = narrow.count()
     digits = 1
-    while bucket_rows * 16**digits < rows:
+    while bucket_rows * 16**digits < n:
         digits += 1
-    cells = narrow.withColumn("_bucket", F.substring("_key", 1, digits))
+    bucket = F.substring("_key", 1, digits)
+    cells = narrow.withColumn("_bucket", bucket)
     sums = cells.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     so_far = Window.partitionBy("source").orderBy("_bucket")
     starts = sums.withColumn("_before", F.sum("_sum").over(so_far) - F.col("_sum"))
@@ -140,7 +144,8 @@ def _places(narrow: DataFrame, id_col: str, bucket_rows: int) -> DataFrame:
     )
     inside = Window.partitionBy("source", "_bucket").orderBy("_key", "size", "_text")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    local = cells.withColumn("_local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    local = rows.withColumn("_bucket", bucket)
+    local = local.withColumn("_local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = local.join(
         plan, (F.col("_bucket") == F.col("_b")) & F.col("source").eqNullSafe(F.col("_s"))
     )
@@ -166,17 +171,41 @@ def _places(narrow: DataFrame, id_col: str, bucket_rows: int) -> DataFrame:
         F.array(*[F.struct(m.alias("moment"), w.alias("words")) for m, w in zip(middles, turns)]),  # noqa: B905
         lambda part: part["words"] > 0,
     )
+    carried = [c for c in ("row",) if c in rows.columns]
     return joined.select(
-        id_col, "source", "size", "source_size", "target", taken.alias("taken"),
-        parts.alias("parts"), "_text",
+        "id", "source", "size", "source_size", "target", taken.alias("taken"),
+        parts.alias("parts"), "_text", *carried,
     )
 
 
 def training_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Each taken part of each document as a row, range-sorted by its moment."""
-    parts = mixed.withColumn("_part", F.explode("parts")).select(
-        "*", F.col("_part.moment").alias("moment"), F.col("_part.words").alias("words")
-    )
+    """A row for each time that a document is taken, range-sorted by its moment.
+
+    `moment` and `words` (how many are taken, from the start) stand for `parts`.
+    """
+    rest = [c for c in mixed.columns if c != "parts"]
+    taken = mixed.select(*rest, F.inline("parts"))
     n = partitions or int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["moment", "_text"]
-    return parts.drop("parts", "_part").repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return taken.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_text")
+
+
+def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+    """The documents of the mix, in training order, with the columns of `docs`.
+
+    A document that is taken twice is there twice. One that is taken in part has its
+    first words, joined by a space, and their length in `n_chars`, if there is one.
+    """
+    ordered = training_order(mix(docs, text=text, carry=True))
+    cut = F.col("words") < F.col("size")
+    first = F.array_join(F.slice(word_list(F.col("row")[text]), 1, F.col("words").cast("int")), " ")
+    whole = F.when(cut, first).otherwise(F.col("row")[text])
+    columns = []
+    for field in docs.schema.fields:
+        value = F.col("row")[field.name]
+        if field.name == text:
+            value = whole
+        elif field.name == n_chars:
+            value = F.when(cut, F.char_length(first)).otherwise(value).cast(field.dataType)
+        columns.append(value.alias(field.name))
+    return ordered.select(*columns)
