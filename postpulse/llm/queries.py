@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postpulse.sources import local_frame, spread
 
-from . import chat, decontaminate, jaccard, mixing, quality, secrets, shards, substrings, tokens
+from . import chat, decontaminate, jaccard, lines, mixing, quality, secrets, shards, substrings, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_records(found))
 
 
+def op6_segment_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedupe_lines(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op7_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -88,6 +92,7 @@ QUERIES = {
         op3_curriculum_mix,
         op4_distribution_divergence,
         op5_chat_format,
+        op6_segment_edit_join,
         op7_signature_trees,
         op8_best_fit_shards,
         op9_count_min_substrings,

@@ -74,4 +74,48 @@ SELECT conv_id, n_turns, sha256(flat) AS turns_sha256, length(loss)::BIGINT AS l
 FROM texts
 """
 
-ORACLES: dict[str, str] = {"op3_curriculum_mix": OP3, "op5_chat_format": OP5}
+# One edit leaves the first 8 or the last 8 of 16 or more characters as they are.
+OP6 = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw,
+    unnest(range(len(string_split(text, chr(10))))) AS no
+  FROM documents
+), lines AS (
+  SELECT doc_id, no, regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS line
+  FROM split
+), words AS (SELECT * FROM lines WHERE line <> ''),
+firsts AS (
+  SELECT line, arg_min(doc_id, (doc_id, no)) AS doc_id, arg_min(no, (doc_id, no)) AS no
+  FROM words GROUP BY line
+), long_lines AS (SELECT * FROM firsts WHERE length(line) >= 16),
+pairs AS (
+  SELECT a.line AS one, b.line AS two FROM long_lines a JOIN long_lines b
+    ON left(a.line, 8) = left(b.line, 8) AND a.line <> b.line
+    AND abs(length(a.line) - length(b.line)) <= 1
+  UNION
+  SELECT a.line, b.line FROM long_lines a JOIN long_lines b
+    ON right(a.line, 8) = right(b.line, 8) AND a.line <> b.line
+    AND abs(length(a.line) - length(b.line)) <= 1
+), links AS (
+  SELECT p.one, f.doc_id, f.no FROM pairs p JOIN firsts f ON f.line = p.two
+  WHERE levenshtein(p.one, p.two) <= 1
+), around AS (
+  SELECT one, count(*) AS links, arg_min(doc_id, (doc_id, no)) AS doc_id,
+    arg_min(no, (doc_id, no)) AS no
+  FROM links GROUP BY one
+), judged AS (
+  SELECT f.doc_id, coalesce(links, 0) AS links,
+    a.one IS NULL OR (f.doc_id, f.no) < (a.doc_id, a.no) AS kept
+  FROM firsts f LEFT JOIN around a ON a.one = f.line
+), figures AS (
+  SELECT doc_id, count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS near,
+    sum(links) AS links
+  FROM judged GROUP BY doc_id
+), counts AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_lines,
+  (coalesce(n, 0) - coalesce(kept, 0))::BIGINT AS n_removed,
+  coalesce(near, 0)::BIGINT AS n_near, coalesce(links, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN figures USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_curriculum_mix": OP3, "op5_chat_format": OP5, "op6_segment_edit_join": OP6}
