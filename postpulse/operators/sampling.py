@@ -28,8 +28,9 @@ PREFIX_ROWS = 1_000_000
 
 
 def hash_order(key: str, seed: int | str) -> Column:
-    """Reproducible random sort value: the md5 of `<seed>:<key>`."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    """Reproducible random sort value: the md5 of `<seed>:<key>`; a NULL key counts as empty."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}:"), text))
 
 
 def prefix_digits(rows: int) -> int:
@@ -104,7 +105,8 @@ def rank_cuts(
 def _after(key: str, cut_hash: Column, cut_key: Column) -> Column:
     """Whether a row comes after the one with the given hash and key."""
     same = F.col("_h") == cut_hash
-    return (F.col("_h") > cut_hash) | (same & (F.col(key) > cut_key))
+    # Only equal keys share a hash; a NULL key is neither before nor after itself.
+    return (F.col("_h") > cut_hash) | (same & F.coalesce(F.col(key) > cut_key, F.lit(False)))
 
 
 def sample_keys(
@@ -203,10 +205,13 @@ def stratified_folds(
 
     Laid end to end, label after label in order of first appearance, rows deal out
     fold sizes round-robin; each label then fills its share of fold 0, 1, … in
-    order. Fold sizes and label shares differ by at most one.
+    order. Fold sizes and label shares differ by at most one. NULL is a label like
+    any other.
     """
-    hashed = df.withColumn("_h", hash_order(key, seed))
-    classes = _groups(hashed, [label], F.min(F.struct("_h", key)).alias("_first"))
+    named = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
+    marked = df.withColumn("_label", named)
+    hashed = marked.withColumn("_h", hash_order(key, seed))
+    classes = _groups(hashed, ["_label"], F.min(F.struct("_h", key)).alias("_first"))
     classes.sort(key=lambda row: tuple(row["_first"]))
     uses: Counter = Counter()
     start = 0
@@ -215,27 +220,27 @@ def stratified_folds(
         for f in range(k - 1):
             # Positions p in [start, stop) with p % k == f.
             upto += len(range(start + (f - start) % k, stop, k))
-            uses[row[label], upto] += 1
+            uses[row["_label"], upto] += 1
         start = stop
     if start < k:
         raise ValueError(f"{k} folds need at least {k} rows, got {start}")
     largest = max(row["_rows"] for row in classes)
-    ordered = _with_order(df, key, seed, largest)
+    ordered = _with_order(marked, key, seed, largest)
     wanted = [end for end in uses if end[1] > 0]
-    cuts = rank_cuts(ordered, [label], "_bucket", ["_h", key], wanted)
+    cuts = rank_cuts(ordered, ["_label"], "_bucket", ["_h", key], wanted)
     # Folds of a tiny class may share an end, or have none: count each use.
     lists = [
         (
-            row[label],
-            uses[row[label], 0],
-            [(*cut, uses[end]) for end, cut in cuts.items() if end[0] == row[label]],
+            row["_label"],
+            uses[row["_label"], 0],
+            [(*cut, uses[end]) for end, cut in cuts.items() if end[0] == row["_label"]],
         )
         for row in classes
     ]
     kind = f"array<struct<_h:string,{key}:{df.schema[key].dataType.simpleString()},_uses:int>>"
-    ends = _local(ordered, [label], lists, _skipped="int", _ends=kind)
+    ends = _local(ordered, ["_label"], lists, _skipped="int", _ends=kind)
     # At most k - 1 ends for each of a checked number of labels.
-    return ordered.join(F.broadcast(ends), label).select(
+    return ordered.join(F.broadcast(ends), "_label").select(
         *df.columns, (F.col("_skipped") + _fold_number(key, F.col("_ends"))).alias("fold")
     )
 
@@ -253,15 +258,21 @@ def renumber(
     prefix) and the prefix's offset is added; no window spans a group.
     """
     by = list(by)
-    largest = max((row["_rows"] for row in _groups(df, by)), default=0)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    largest = sizes.agg(F.max("_rows")).first()[0] or 0
     ordered = _with_order(df, key, seed, largest)
     counted = ordered.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(*by).orderBy("_bucket")) - F.col("_n")
-    offsets = counted.select(*by, "_bucket", before.alias("_before"))
+    group = [F.col(column).alias(f"_of_{i}") for i, column in enumerate(by)]
+    offsets = counted.select(*group, F.col("_bucket").alias("_in"), before.alias("_before"))
+    # NULL is a group like any other.
+    same = F.col("_bucket") == F.col("_in")
+    for i, column in enumerate(by):
+        same = same & F.col(column).eqNullSafe(F.col(f"_of_{i}"))
     within = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_h", key))
     return (
         ordered.withColumn("_within", within)
-        .join(offsets, [*by, "_bucket"])
+        .join(offsets, same)
         .select(*df.columns, (F.col("_before") + F.col("_within") - 1).alias(name))
     )
 
@@ -269,6 +280,8 @@ def renumber(
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of each column, one row per column.
 
+    A column without values has count 0 and NULL for the rest.
+
     Quartiles are exact and interpolated. Rather than sorting a column in one
     task, approximate percentiles mark a narrow range around each quartile, and
     only the values of the range it falls in are ranked, equal values folded.
@@ -324,6 +337,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             (below,), (above,) = at[name, low], at[name, high]
             cells.append(below + (above - below) * part)
         rows.append((name, row["count"], row["mean"], row["std"], row["min"], *cells, row["max"]))
+    rows += [(name, 0, *[None] * 7) for name in columns if name not in known]
     return local_frame(
         df.sparkSession,
         rows,

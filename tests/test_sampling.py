@@ -148,3 +148,20 @@ def test_sample_never_sorts_or_shuffles_the_wide_rows(spark, tmp_path):
     plan = sample._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert sum("body" in line for line in scans) == 1
+
+
+def test_nulls_are_groups_labels_and_keys_like_others(spark):
+    rows = [(1, "a", 1), (2, None, 2), (3, None, None), (4, "a", 4)]
+    frame = spark.createDataFrame(rows, "id long, g string, tweet_id long")
+    numbered = sampling.renumber(frame, ["g"]).collect()
+    assert sorted((r["g"] or "", r["row_id"]) for r in numbered) == [("", 0), ("", 1), ("a", 0), ("a", 1)]
+    folded = sampling.stratified_folds(frame, "g", 2).collect()
+    assert sorted((r["g"] or "", r["fold"]) for r in folded) == [("", 0), ("", 1), ("a", 0), ("a", 1)]
+    marked = sampling.split_exact(frame, 0.5).collect()
+    assert sorted(r["is_test"] for r in marked) == [False, False, True, True]
+
+
+def test_a_column_without_values_is_described(spark):
+    frame = spark.createDataFrame([(1.0, None), (3.0, None)], "x double, never double")
+    got = {r["column"]: r for r in sampling.describe_numeric(frame, ["x", "never"]).collect()}
+    assert got["x"]["p50"] == 2.0 and got["never"]["count"] == 0 and got["never"]["max"] is None
