@@ -18,8 +18,9 @@ from postpulse.functions.text import (
 )
 from postpulse.operators.joins import fits_broadcast, join_by_size
 
-# Word lists up to this many entries become one literal array in the plan.
-LITERAL_TERMS = 2000
+# Word lists up to this many entries become a literal in the plan. Longer ones are
+# joined, with the same answers.
+LITERAL_TERMS = 10_000
 # Fixed value: a word of this form is a number and is not looked up.
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -78,18 +79,36 @@ def explicit_flag(
             for phrase in (entry for entry in listed if " " in entry):
                 hit = hit | F.contains(padded, F.lit(f" {phrase} "))
         return df.withColumn("isExplicit", F.coalesce(hit, F.lit(False)).cast("int"))
+    looked_up = [tokens]
     if phrases:
-        raise ValueError(f"phrases needs a word list of at most {limit} entries")
-    found = df.select(key, F.explode(F.array_distinct(tokens)).alias("term"))
+        # Runs of as many tokens as some entry has words.
+        sizes = terms.select(F.size(F.split("term", " ")).alias("n")).where("n > 1").distinct()
+        looked_up += [_runs(tokens, row["n"]) for row in sizes.collect()]
+    every = F.array_distinct(F.concat(*looked_up))
+    marked = df.withColumn("_text", F.xxhash64(body))
+    found = marked.select(key, "_text", F.explode(every).alias("term"))
     hits = (
         join_by_size(found, terms.select("term").distinct(), ["term"], "left_semi", [key])
-        .select(key)
+        .select(key, "_text")
         .distinct()
         .withColumn("isExplicit", F.lit(1))
     )
-    return df.join(hits, key, "left").withColumn(
-        "isExplicit", F.coalesce("isExplicit", F.lit(0))
-    )
+    return _rows_with(marked, hits, key, "isExplicit", F.lit(0))
+
+
+def _runs(tokens: Column, size: int) -> Column:
+    """All runs of `size` neighbouring tokens, each joined by a space."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - size + 1, F.lit(1)))
+    runs = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, size), " "))
+    return F.when(F.size(tokens) >= size, runs).otherwise(F.array().cast("array<string>"))
+
+
+def _rows_with(marked: DataFrame, found: DataFrame, key: str, name: str, none: Column) -> DataFrame:
+    """Add a value found by key and text (`_text`) to each row that has both."""
+    other = found.select(F.col(key).alias("_key"), F.col("_text").alias("_same"), name)
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_text") == F.col("_same"))
+    joined = marked.join(other, same, "left").drop("_key", "_same", "_text")
+    return joined.withColumn(name, F.coalesce(name, none))
 
 
 def token_flags(df: DataFrame, tokens: Sequence[str], body: str = "body") -> DataFrame:
@@ -110,6 +129,14 @@ def flag_counts(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(flag) == 1).alias(f"count_{flag}") for flag in flags])
 
 
+def _spelled(body: str) -> Column:
+    """Distinct lower-cased words that are looked up: no numbers, no single signs."""
+    return F.filter(
+        F.array_distinct(words(F.lower(body))),
+        lambda word: ~word.rlike(_NUMBER) & ~word.rlike(f"^[{PUNCTUATION}]$"),
+    )
+
+
 def unknown_terms(
     df: DataFrame, dictionary: DataFrame, body: str = "body", key: str = "tweet_id"
 ) -> DataFrame:
@@ -117,30 +144,37 @@ def unknown_terms(
 
     Numbers and single punctuation signs are not looked up.
     """
-    spelled = F.array_distinct(words(F.lower(body)))
-    looked_up = (
-        df.select(key, F.explode(spelled).alias("term"))
-        .where(~F.col("term").rlike(_NUMBER))
-        .where(~F.col("term").rlike(f"^[{PUNCTUATION}]$"))
-    )
+    looked_up = df.select(key, F.explode(_spelled(body)).alias("term"))
     entries = dictionary.select(F.lower("term").alias("term")).distinct()
     return join_by_size(looked_up, entries, ["term"], "left_anti", [key])
 
 
 def unknown_words(
-    df: DataFrame, dictionary: DataFrame, body: str = "body", key: str = "tweet_id"
+    df: DataFrame,
+    dictionary: DataFrame,
+    body: str = "body",
+    key: str = "tweet_id",
+    limit: int = LITERAL_TERMS,
 ) -> DataFrame:
     """Add `typo`: how many distinct words of the row the dictionary lacks.
 
-    The words of a row lie in one task, so counting them folds to one row per
-    post before anything is shuffled.
+    A dictionary of up to `limit` words is a literal in the plan, and the count a row
+    expression. A longer one is joined to the words: those of a row lie in one task, so
+    counting them folds to one row per post before anything is shuffled.
     """
+    listed = _small_term_list(dictionary.select(F.lower("term").alias("term")), limit)
+    if listed is not None:
+        lacking = F.filter(_spelled(body), lambda word: ~word.isin(listed))
+        return df.withColumn("typo", F.coalesce(F.size(lacking), F.lit(0)))
+    marked = df.withColumn("_text", F.xxhash64(body))
+    entries = dictionary.select(F.lower("term").alias("term")).distinct()
+    looked_up = marked.select(key, "_text", F.explode(_spelled(body)).alias("term")).distinct()
     counts = (
-        unknown_terms(df, dictionary, body, key)
-        .groupBy(key)
+        join_by_size(looked_up, entries, ["term"], "left_anti", [key])
+        .groupBy(key, "_text")
         .agg(F.count(F.lit(1)).cast("int").alias("typo"))
     )
-    return df.join(counts, key, "left").withColumn("typo", F.coalesce("typo", F.lit(0)))
+    return _rows_with(marked, counts, key, "typo", F.lit(0))
 
 
 def add_slow_features(
@@ -160,8 +194,50 @@ def _weighted(polarity: Column, boost: Column, negated: Column) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))
 
 
+def _row_polarity(tokens: Column, lexicon: list) -> Column:
+    """`lexicon_polarity` of a token array, the lexicon's rows as literals."""
+    values = {r["term"]: r["polarity"] for r in lexicon if r["polarity"] is not None}
+    shifts = [r for r in lexicon if r["polarity"] is None]
+    boosts = {r["term"]: r["intensity"] for r in shifts if r["intensity"] is not None}
+    negators = [r["term"] for r in shifts if r["negator"]]
+
+    def table(entries: dict) -> Column:
+        pairs = [F.struct(F.lit(k), F.lit(float(v))) for k, v in entries.items()]
+        none = F.from_json(F.lit("{}"), "map<string,double>")
+        return F.map_from_entries(F.array(*pairs)) if pairs else none
+
+    def negates(word: Column) -> Column:
+        return F.coalesce(word.isin(negators), F.lit(False)) if negators else F.lit(False)
+
+    def value(every: Column, i: Column) -> Column:
+        before, second = F.get(every, i - 1), F.get(every, i - 2)
+        boost = F.when(before.isNotNull(), F.try_element_at(table(boosts), before))
+        negated = negates(before) | (boost.isNotNull() & negates(second))
+        polarity = F.try_element_at(table(values), F.get(every, i))
+        return F.when(polarity.isNotNull(), _weighted(polarity, boost, negated))
+
+    def mean(every: Column) -> Column:
+        found = F.transform(every, lambda word, i: value(every, i))
+        found = F.filter(found, lambda x: x.isNotNull())
+        return F.aggregate(
+            found,
+            F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
+            lambda so_far, x: F.struct(
+                (so_far["sum"] + x).alias("sum"), (so_far["n"] + 1).alias("n")
+            ),
+            lambda so_far: F.when(so_far["n"] > 0, so_far["sum"] / so_far["n"]),
+        )
+
+    # As the element of an array the tokens are split once, not at each look-up.
+    return F.get(F.transform(F.array(tokens), mean), F.lit(0))
+
+
 def lexicon_polarity(
-    df: DataFrame, lexicon: DataFrame, body: str = "body", key: str = "tweet_id"
+    df: DataFrame,
+    lexicon: DataFrame,
+    body: str = "body",
+    key: str = "tweet_id",
+    limit: int = LITERAL_TERMS,
 ) -> DataFrame:
     """Add `polarity`: mean of the lexicon values of a row's words, in [-1, 1].
 
@@ -170,17 +246,24 @@ def lexicon_polarity(
     is multiplied by that intensity; a word after a negator, or after a
     modifier that follows one, by -0.5. A row without lexicon words gets 0.
 
-    Words are looked up with their two predecessors beside them, so no window
-    over a row's words is needed; a row's words lie in one task and fold there
-    to one (sum, count) pair before the shuffle.
+    A lexicon of up to `limit` rows is a literal in the plan, and the value a row
+    expression. A longer one is joined: words are looked up with their two predecessors
+    beside them, so no window over a row's words is needed, and a row's words fold to
+    one (sum, count) pair in their task before the shuffle.
     """
-    tokens = df.select(key, word_tokens(F.lower(body)).alias("_tokens"))
-    placed = tokens.select(key, "_tokens", positions(F.col("_tokens")).alias("_i"))
+    rows = lexicon.select("term", "polarity", "intensity", "negator").limit(limit + 1).collect()
+    if len(rows) <= limit:
+        value = _row_polarity(word_tokens(F.lower(body)), rows)
+        return df.withColumn("polarity", F.coalesce(value, F.lit(0.0)))
+    marked = df.withColumn("_text", F.xxhash64(body))
+    once = marked.select(key, "_text", body).dropDuplicates([key, "_text"])
+    tokens = once.select(key, "_text", word_tokens(F.lower(body)).alias("_tokens"))
+    placed = tokens.select(key, "_text", "_tokens", positions(F.col("_tokens")).alias("_i"))
 
     def at(offset: int) -> Column:
         return F.get("_tokens", F.col("_i") - F.lit(offset))
 
-    near = placed.select(key, at(0).alias("term"), at(1).alias("term1"), at(2).alias("term2"))
+    near = placed.select(key, "_text", at(0).alias("term"), at(1).alias("term1"), at(2).alias("term2"))
     scored = lexicon.where(F.col("polarity").isNotNull()).select("term", "polarity")
     shifts = lexicon.where(F.col("polarity").isNull())
     modifies = shifts.where(F.col("intensity").isNotNull()).select(
@@ -198,9 +281,7 @@ def lexicon_polarity(
     negated = F.coalesce("not1", F.lit(False)) | (
         F.col("boost").isNotNull() & F.coalesce("not2", F.lit(False))
     )
-    means = found.groupBy(key).agg(
+    means = found.groupBy(key, "_text").agg(
         F.avg(_weighted(F.col("polarity"), F.col("boost"), negated)).alias("polarity")
     )
-    return df.join(means, key, "left").withColumn(
-        "polarity", F.coalesce("polarity", F.lit(0.0))
-    )
+    return _rows_with(marked, means, key, "polarity", F.lit(0.0))

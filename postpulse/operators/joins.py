@@ -15,8 +15,12 @@ SALTS = 32
 def _row_bytes(df: DataFrame) -> Column:
     size = F.lit(16)
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, T.StringType | T.BinaryType):
             size = size + F.coalesce(F.octet_length(field.name), F.lit(0)) + F.lit(8)
+        elif isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+            # Every element takes a word at least, and its text is as long as it or longer.
+            text = F.to_json(F.struct(field.name))
+            size = size + F.lit(8) * F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)
         else:
             size = size + F.lit(8)
     return size
@@ -133,17 +137,25 @@ def pair_first_posts(posts: DataFrame, ticker_map: DataFrame) -> DataFrame:
     """Pairs kept when each distinct body stays once, under its first pair.
 
     Equal to `dedupe_first(pair_posts(...), ["body"], ["tweet_id",
-    "ticker_symbol"])` where a post has one row, but which pairs win is settled on
-    (id, digest of the body) alone, so the bodies cross the network once, in the
-    final join. A NULL body counts as one body.
+    "ticker_symbol"])`, but which post wins is settled on (id, digest of the body)
+    alone, so the bodies cross the network once, in the final join. A NULL body
+    counts as one body. Of rows that agree in id and body the least one stays.
     """
     tickers = ticker_map.groupBy("tweet_id").agg(F.min("ticker_symbol").alias("ticker_symbol"))
     digested = posts.withColumn("_digest", F.coalesce(F.sha2("body", 256), F.lit("")))
     winners = (
         digested.select("tweet_id", "_digest")
-        .join(tickers, "tweet_id")
+        .join(tickers.select("tweet_id"), "tweet_id", "left_semi")
         .groupBy("_digest")
-        .agg(F.min(F.struct("tweet_id", "ticker_symbol")).alias("_first"))
-        .select("_digest", "_first.*")
+        .agg(F.min("tweet_id").alias("tweet_id"))
+        .join(tickers, "tweet_id")
+    )
+    chosen = digested.join(winners, ["tweet_id", "_digest"], "inner")
+    # Repeats of a post lie together after the join; their fold moves nothing.
+    rest = [name for name in posts.columns if name != "tweet_id"]
+    folded = chosen.groupBy("tweet_id", "_digest", "ticker_symbol").agg(
+        F.min(F.struct(*rest)).alias("_row")
+    )
+    return folded.select("tweet_id", "_row.*", "ticker_symbol").select(
+        *posts.columns, "ticker_symbol"
     )
-    return digested.join(winners, ["tweet_id", "_digest"], "inner").drop("_digest")

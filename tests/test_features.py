@@ -41,8 +41,27 @@ def test_explicit_flag_is_case_sensitive_and_word_based(posts, terms):
 def test_explicit_flag_options(posts, terms):
     assert flags(features.explicit_flag(posts, terms, case_insensitive=True))[:3] == [1, 1, 0]
     assert flags(features.explicit_flag(posts, terms, phrases=True))[3] == 1
-    with pytest.raises(ValueError, match="phrases"):
-        features.explicit_flag(posts, terms, phrases=True, limit=0)
+    joined = features.explicit_flag(posts, terms, phrases=True, limit=0)
+    assert flags(joined) == flags(features.explicit_flag(posts, terms, phrases=True))
+
+
+def test_rows_that_share_an_id_have_their_own_answers(spark):
+    rows = spark.createDataFrame([(1, "bad day"), (1, "good day"), (2, None)], "tweet_id long, body string")
+    words = spark.createDataFrame([("bad",), ("day",)], "term string")
+    lexicon = spark.createDataFrame(
+        [("bad", -0.5, None, False), ("good", 1.0, None, False)],
+        "term string, polarity double, intensity double, negator boolean",
+    )
+    for limit in (10, 0):
+        hits = features.explicit_flag(rows, words.where("term = 'bad'"), limit=limit)
+        got = {(r["body"], r["isExplicit"]) for r in hits.collect()}
+        assert got == {("bad day", 1), ("good day", 0), (None, 0)}
+        typos = features.unknown_words(rows, words, limit=limit)
+        got = {(r["body"], r["typo"]) for r in typos.collect()}
+        assert got == {("bad day", 0), ("good day", 1), (None, 0)}
+        scored = features.lexicon_polarity(rows, lexicon, limit=limit)
+        got = {(r["body"], r["polarity"]) for r in scored.collect()}
+        assert got == {("bad day", -0.5), ("good day", 1.0), (None, 0.0)}
 
 
 def test_explicit_flag_of_an_empty_list(spark, posts):

@@ -110,6 +110,13 @@ def test_dedupe_keeps_the_first_pair_of_a_body(spark):
     assert {(r["tweet_id"], r["ticker_symbol"]) for r in fused.collect()} == want
 
 
+def test_a_repeated_post_stays_once(spark):
+    posts = spark.createDataFrame([(1, "x"), (1, "x"), (2, "x"), (3, "z")], POSTS)
+    pairs = spark.createDataFrame([(1, "B"), (1, "A"), (2, "A"), (3, "C")], PAIRS)
+    got = sorted(tuple(r) for r in pair_first_posts(posts, pairs).collect())
+    assert got == [(1, "x", "A"), (3, "z", "C")]
+
+
 def test_two_bodies_under_one_id_both_stay(spark):
     posts = spark.createDataFrame([(1, "x"), (1, "y"), (2, "y")], POSTS)
     pairs = spark.createDataFrame([(1, "B"), (1, "A"), (2, "A")], PAIRS)
