@@ -2,12 +2,15 @@
 
 Spark's tree learners do the fitting. What they lack (cost-complexity pruning, a
 least size for a split, leaf-by-leaf scoring) works on the fitted tree's node
-table, which is model-sized, never data-sized. Rows stay in Spark: the learner
-names each row's leaf, and a pruned tree is a look-up from leaf to class shares.
+table on the driver: it is as large as the fitted tree, and a tree grown without a
+depth limit has up to a leaf a row, so the rows to fit on should be a bounded sample.
+All other rows stay in Spark: the learner names each row's leaf, and a pruned tree is
+a look-up from leaf to class shares.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import uuid
 from collections.abc import Mapping, Sequence
@@ -20,6 +23,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,6 +103,15 @@ class Tree:
                 todo += [self.right[node], self.left[node]]
         return out
 
+    def levels(self) -> list[np.ndarray]:
+        """Nodes by depth, the root's level first."""
+        out = [np.array([0])]
+        while True:
+            inner = out[-1][self.left[out[-1]] >= 0]
+            if not len(inner):
+                return out
+            out.append(np.concatenate([self.left[inner], self.right[inner]]))
+
     def shares(self, node: int) -> np.ndarray:
         """Class shares among a node's training rows."""
         total = self.counts[node].sum()
@@ -143,8 +156,23 @@ def tree_nodes(model: Model, features: Sequence[str] | None = None) -> DataFrame
     )
 
 
+def node_impurity(counts: np.ndarray, measure: str) -> np.ndarray:
+    """Impurity of nodes from their class counts, entropy in bits."""
+    shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
+    if measure == "entropy":
+        logs = np.log2(shares, out=np.zeros_like(shares), where=shares > 0)
+        return -(shares * logs).sum(axis=1)
+    return 1 - (shares**2).sum(axis=1)
+
+
 def read_trees(model: Model) -> list[Tree]:
-    """Fitted trees as arrays; the learner itself already holds them on the driver."""
+    """Fitted trees as arrays; the learner itself already holds them on the driver.
+
+    The impurity is worked out from a node's counts: the learner leaves -1 where it
+    looked for a split and found none. A regression tree on 0/1 labels has count, sum
+    and sum of squares of the label, which give the counts of both labels.
+    """
+    measure = model.getOrDefault("impurity")
     nodes = saved_nodes(model).toPandas().sort_values(["tree", "id"])
     trees = []
     for _, part in nodes.groupby("tree", sort=True):
@@ -152,14 +180,17 @@ def read_trees(model: Model) -> list[Tree]:
         thresholds = [
             s["leftCategoriesOrThreshold"][0] if s["featureIndex"] >= 0 else np.nan for s in splits
         ]
+        counts = np.array([list(c) for c in part["impurityStats"]], dtype=float)
+        if measure == "variance":
+            counts = np.column_stack([counts[:, 0] - counts[:, 1], counts[:, 1]])
         trees.append(
             Tree(
                 feature=np.array([s["featureIndex"] for s in splits]),
                 threshold=np.array(thresholds, dtype=float),
                 left=part["leftChild"].to_numpy().copy(),
                 right=part["rightChild"].to_numpy().copy(),
-                impurity=part["impurity"].to_numpy().copy(),
-                counts=np.array([list(c) for c in part["impurityStats"]], dtype=float),
+                impurity=node_impurity(counts, measure),
+                counts=counts,
                 rows=part["rawCount"].to_numpy().copy(),
             )
         )
@@ -174,29 +205,35 @@ def _weakest_links(tree: Tree) -> list[tuple[float, int]]:
 
     A node's strength is the risk its subtree saves per leaf it adds. The node
     with the least is cut, its ancestors' sums are brought up to date, and so on
-    up to the root. Alphas never fall.
+    up to the root. Alphas never fall. A heap holds the strengths; a node has a new
+    entry after each change, and older entries are passed over.
     """
     size = len(tree.left)
     risk = tree.impurity * tree.counts.sum(axis=1) / tree.counts[0].sum()
     subtree, leaves = risk.copy(), np.ones(size)
     inner = tree.inner()
-    for node in inner[::-1]:
-        subtree[node] = subtree[tree.left[node]] + subtree[tree.right[node]]
-        leaves[node] = leaves[tree.left[node]] + leaves[tree.right[node]]
+    for level in tree.levels()[::-1]:
+        split = level[tree.left[level] >= 0]
+        subtree[split] = subtree[tree.left[split]] + subtree[tree.right[split]]
+        leaves[split] = leaves[tree.left[split]] + leaves[tree.right[split]]
     strength = np.full(size, np.inf)
     strength[inner] = (risk[inner] - subtree[inner]) / (leaves[inner] - 1)
+    heap = [(float(strength[node]), int(node)) for node in inner]
+    heapq.heapify(heap)
     cuts, highest = [], 0.0
-    while np.isfinite(strength[0]):
-        node = int(np.argmin(strength))
+    while heap:
+        value, node = heapq.heappop(heap)
+        if value != strength[node]:
+            continue
         # Differences of sums can come out a hair below the alpha before.
-        highest = max(highest, float(strength[node]))
+        highest = max(highest, value)
         cuts.append((highest, node))
         saved, fewer = risk[node] - subtree[node], leaves[node] - 1
         below = [node]
         while below:
             gone = below.pop()
-            strength[gone] = np.inf
-            if tree.left[gone] >= 0:
+            if np.isfinite(strength[gone]):
+                strength[gone] = np.inf
                 below += [tree.left[gone], tree.right[gone]]
         above = tree.parent[node]
         subtree[node], leaves[node] = risk[node], 1
@@ -204,6 +241,7 @@ def _weakest_links(tree: Tree) -> list[tuple[float, int]]:
             subtree[above] += saved
             leaves[above] -= fewer
             strength[above] = (risk[above] - subtree[above]) / (leaves[above] - 1)
+            heapq.heappush(heap, (float(strength[above]), int(above)))
             above = tree.parent[above]
     return cuts
 
@@ -214,34 +252,41 @@ def pruning_steps(tree: Tree) -> list[tuple[float, int, float]]:
     Nodes cut at the same alpha are one step; the last one leaves the root only.
     """
     cuts, steps = _weakest_links(tree), []
-    total = tree.counts[0].sum()
+    risk = tree.impurity * tree.counts.sum(axis=1) / tree.counts[0].sum()
+    stands = _StandIns(tree, cuts)
     for alpha in dict.fromkeys([0.0, *[a for a, _ in cuts]]):
-        kept = set(_stand_ins(tree, {node for cost, node in cuts if cost <= alpha}))
-        risk = sum(tree.impurity[n] * tree.counts[n].sum() / total for n in kept)
-        steps.append((alpha, len(kept), float(risk)))
+        kept = np.unique(stands.at(alpha))
+        steps.append((alpha, len(kept), float(risk[kept].sum())))
     return steps
 
 
 def cut_at(tree: Tree, alpha: float) -> list[int]:
     """For each leaf, left to right, the node that stands for it at `alpha`."""
-    return _stand_ins(tree, {node for cost, node in _weakest_links(tree) if cost <= alpha})
+    return _StandIns(tree, _weakest_links(tree)).at(alpha).tolist()
 
 
 def collapse_small(tree: Tree, least: int) -> list[int]:
     """For each leaf, its topmost ancestor with fewer than `least` rows, or itself."""
-    return _stand_ins(tree, {n for n in tree.inner() if tree.rows[n] < least})
+    small = [(0.0, int(n)) for n in tree.inner() if tree.rows[n] < least]
+    return _StandIns(tree, small).at(0.0).tolist()
 
 
-def _stand_ins(tree: Tree, cut: set[int]) -> list[int]:
-    out = []
-    for leaf in tree.leaves():
-        stand_in, node = leaf, leaf
-        while node >= 0:
-            if node in cut:
-                stand_in = node
-            node = tree.parent[node]
-        out.append(int(stand_in))
-    return out
+class _StandIns:
+    """For any alpha, the topmost node on each leaf's way that is cut by then."""
+
+    def __init__(self, tree: Tree, cuts: list[tuple[float, int]]):
+        self.parent, self.levels = tree.parent, tree.levels()
+        self.leaves = np.array(tree.leaves())
+        self.cut = np.full(len(tree.left), np.inf)
+        for alpha, node in cuts:
+            self.cut[node] = min(self.cut[node], alpha)
+
+    def at(self, alpha: float) -> np.ndarray:
+        stand = np.arange(len(self.cut))
+        for level in self.levels[1:]:
+            above = stand[self.parent[level]]
+            stand[level] = np.where(self.cut[above] <= alpha, above, level)
+        return stand[self.leaves]
 
 
 def prune(tree: Tree, alpha: float) -> Tree:
@@ -346,13 +391,29 @@ def fit_tree(
     return FittedTree(model, tree, data.features, data.labels, cut_at(tree, alpha))
 
 
-def fit_share_tree(data: Prepared, alpha: float = 0.0, **options) -> FittedTree:
+def fit_share_tree(
+    data: Prepared,
+    alpha: float = 0.0,
+    max_depth: int = DEEPEST,
+    max_bins: int = 256,
+    seed: int = 42,
+) -> FittedTree:
     """Regression tree on one-hot labels: predicts the shares of the labels.
 
     The squared error of K one-hot targets, averaged over them, is the Gini
-    impurity divided by K. So this is the Gini tree, pruned at K times `alpha`.
+    impurity divided by K, so a node is pruned at K times `alpha`. For two labels
+    this is Spark's regression tree on one of them. For more it is the Gini tree,
+    in which Spark merges sibling leaves with the same most frequent label: splits that
+    change shares without changing that label are lost.
     """
-    return fit_tree(data, "gini", alpha * len(data.labels), **options)
+    if len(data.labels) != 2:
+        return fit_tree(data, "gini", alpha * len(data.labels), max_depth, max_bins, seed)
+    learner = DecisionTreeRegressor(
+        labelCol="label_index", maxDepth=max_depth, maxBins=max_bins, seed=seed, leafCol="leaf"
+    )
+    model = learner.fit(data.rows)
+    tree = read_trees(model)[0]
+    return FittedTree(model, tree, data.features, data.labels, cut_at(tree, 2 * alpha))
 
 
 @dataclass
@@ -528,6 +589,13 @@ def _mean_r2(counts: np.ndarray, shares: np.ndarray) -> float:
     return float(np.mean(scores))
 
 
+def _grow(data: Prepared, impurity: str, **options) -> FittedTree:
+    """A tree that isn't pruned: of shares for Gini, of classes for entropy."""
+    if impurity == "gini":
+        return fit_share_tree(data, 0.0, **options)
+    return fit_tree(data, impurity, **options)
+
+
 def fold_scores(
     data: Prepared,
     alphas: Sequence[float],
@@ -546,24 +614,25 @@ def fold_scores(
     score R², with alpha on the squared-error scale.
     """
     shares_tree = impurity == "gini"
+    rows = data.rows.persist()
 
     def one(fold: int) -> list[tuple]:
-        training = Prepared(
-            data.rows.where(F.col(fold_col) != fold), data.features, data.labels
-        )
-        fit = fit_tree(training, impurity, **options)
-        counts = _leaf_label_counts(fit, data.rows.where(F.col(fold_col) == fold))
-        cuts, out = _weakest_links(fit.tree), []
+        training = Prepared(rows.where(F.col(fold_col) != fold), data.features, data.labels)
+        fit = _grow(training, impurity, **options)
+        counts = _leaf_label_counts(fit, rows.where(F.col(fold_col) == fold))
+        stands, out = _StandIns(fit.tree, _weakest_links(fit.tree)), []
+        totals = np.maximum(fit.tree.counts.sum(axis=1, keepdims=True), 1)
+        every = fit.tree.counts / totals
         for alpha in alphas:
             scaled = alpha * len(data.labels) if shares_tree else alpha
-            nodes = _stand_ins(fit.tree, {n for cost, n in cuts if cost <= scaled})
-            shares = np.array([fit.tree.shares(node) for node in nodes])
+            shares = every[stands.at(scaled)]
             score = _mean_r2(counts, shares) if shares_tree else _right_share(counts, shares)
             out.append((float(alpha), fold, score))
         return out
 
     with ThreadPool(min(parallelism, folds)) as pool:
         scored = [row for part in pool.map(one, range(folds)) for row in part]
+    rows.unpersist()
     return local_frame(
         data.rows.sparkSession, scored, "alpha double, fold int, score double"
     )
@@ -580,7 +649,7 @@ def alpha_sweep(
     data: Prepared, folds: int = 10, impurity: str = "entropy", fold_col: str = "fold", **options
 ) -> DataFrame:
     """(alpha, mean_accuracy, std) for every alpha on the whole data's pruning path."""
-    whole = fit_tree(data, impurity, **options)
+    whole = _grow(data, impurity, **options)
     scale = len(data.labels) if impurity == "gini" else 1
     alphas = [alpha / scale for alpha, _, _ in pruning_steps(whole.tree)[:-1]]
     return summarise_folds(fold_scores(data, alphas, folds, impurity, fold_col, **options))
@@ -617,10 +686,9 @@ class Search:
 
 
 def _fit_point(params: Mapping) -> tuple:
-    """What of a grid point the learner sees; `auto` is another name for `sqrt`."""
+    """What of a grid point a forest's trees depend on; `auto` is a name for `sqrt`."""
     rule = params.get("maxFeatures", "sqrt")
     return (
-        params.get("numTrees", 17),
         params.get("maxDepth", 4),
         params.get("minLeaf", 2),
         params.get("bootstrap", False),
@@ -628,9 +696,40 @@ def _fit_point(params: Mapping) -> tuple:
     )
 
 
-def _fit_forest_at(data: Prepared, point: tuple, min_split: int, seed: int) -> FittedForest:
-    count, depth, leaf, bootstrap, rule = point
-    return fit_forest(data, count, depth, leaf, min_split, bootstrap, rule, seed)
+def _fit_forest_at(
+    data: Prepared, point: tuple, trees: int, min_split: int, seed: int
+) -> FittedForest:
+    depth, leaf, bootstrap, rule = point
+    return fit_forest(data, trees, depth, leaf, min_split, bootstrap, rule, seed)
+
+
+def _held_out_scores(
+    fit: FittedForest, held: DataFrame, sizes: Sequence[int], splits: Sequence[int]
+) -> dict[tuple[int, int], float]:
+    """Accuracy of the forest's first trees, for each (number of trees, least split).
+
+    Rows that reach the same leaves of all trees and have the same label count as one,
+    so the driver adds up shares once for each such kind of row.
+    """
+    leaves = vector_to_array("leaf").cast("array<int>").alias("leaves")
+    kinds = fit.model.transform(held).groupBy(leaves, "label_index").count()
+    right, total = dict.fromkeys(product(sizes, splits), 0), 0
+    tables = {
+        least: [
+            np.array([tree.shares(node) for node in collapse_small(tree, least)])
+            for tree in fit.trees
+        ]
+        for least in splits
+    }
+    for row in kinds.toLocalIterator():
+        total += row["count"]
+        for least, table in tables.items():
+            votes = np.array([shares[leaf] for shares, leaf in zip(table, row["leaves"], strict=True)])
+            sums = votes.cumsum(axis=0)
+            for size in sizes:
+                if sums[size - 1].argmax() == int(row["label_index"]):
+                    right[size, least] += row["count"]
+    return {point: count / total if total else 0.0 for point, count in right.items()}
 
 
 def grid_search(
@@ -644,41 +743,38 @@ def grid_search(
     """Cross-validated accuracy of every grid point, best one refitted on all rows.
 
     `grid` lists values of numTrees, maxFeatures, maxDepth, minSplit, minLeaf and
-    bootstrap. Points that differ only in `minSplit`, or in the two names of one
-    feature rule, share a fit, and its held-out rows are scored for all of them in
-    one pass. Of equally good points the first wins.
+    bootstrap. The trees of a forest are drawn independently, so the first n trees of
+    a larger forest are a forest of n: points that differ only in `numTrees`,
+    `minSplit` or in the two names of one feature rule share the fit of the largest,
+    and its held-out rows are read once. Of equally good points the first wins.
     """
     points = grid_points(grid)
-    splits: dict[tuple, set[int]] = {}
-    for params in points:
-        splits.setdefault(_fit_point(params), set()).add(params.get("minSplit", 2))
+    sizes = sorted({params.get("numTrees", 17) for params in points})
+    splits = sorted({params.get("minSplit", 2) for params in points})
     rows = data.rows.persist()
 
     def one(task: tuple[int, tuple]) -> dict[tuple, float]:
         fold, point = task
         part = Prepared(rows.where(F.col(fold_col) != fold), data.features, data.labels)
-        fit = _fit_forest_at(part, point, 2, seed)
-        held = fit.model.transform(rows.where(F.col(fold_col) == fold))
-        right = []
-        for least in sorted(splits[point]):
-            shares = replace(fit, min_split=least).shares()
-            best = F.array_position(shares, F.array_max(shares)) - 1
-            right.append(F.avg((best == F.col("label_index")).cast("double")).alias(f"at_{least}"))
-        scores = held.agg(*right).first()
-        return {(point, least, fold): scores[f"at_{least}"] for least in splits[point]}
+        fit = _fit_forest_at(part, point, sizes[-1], 2, seed)
+        found = _held_out_scores(fit, rows.where(F.col(fold_col) == fold), sizes, splits)
+        return {(point, *own, fold): score for own, score in found.items()}
 
     scores: dict[tuple, float] = {}
+    tasks = list(product(range(folds), dict.fromkeys(map(_fit_point, points))))
     with ThreadPool(parallelism) as pool:
-        for part in pool.imap_unordered(one, list(product(range(folds), splits))):
+        for part in pool.imap_unordered(one, tasks):
             scores.update(part)
     summary = []
     for params in points:
-        least, point = params.get("minSplit", 2), _fit_point(params)
-        found = [scores[point, least, fold] for fold in range(folds)]
+        own = _fit_point(params), params.get("numTrees", 17), params.get("minSplit", 2)
+        found = [scores[*own, fold] for fold in range(folds)]
         summary.append((json.dumps(params), float(np.mean(found)), float(np.std(found))))
     chosen = points[int(np.argmax([mean for _, mean, _ in summary]))]
     whole = Prepared(rows, data.features, data.labels)
-    best = _fit_forest_at(whole, _fit_point(chosen), chosen.get("minSplit", 2), seed)
+    best = _fit_forest_at(
+        whole, _fit_point(chosen), chosen.get("numTrees", 17), chosen.get("minSplit", 2), seed
+    )
     rows.unpersist()
     results = local_frame(
         data.rows.sparkSession, summary, "params string, mean_accuracy double, std double"

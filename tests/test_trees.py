@@ -138,6 +138,50 @@ def test_share_tree_scores_as_r2_of_its_shares(data):
     assert fast[0] == pytest.approx(slow)
 
 
+def test_a_share_tree_of_two_labels_splits_where_the_top_label_stays(spark):
+    # 60 % and 90 % of "b" on the two sides of x = 0.5: the same top label, other shares.
+    rows = [(i, float(i % 2), "b" if i % 20 < (12 if i % 2 == 0 else 18) else "a") for i in range(1200)]
+    rows = [(i, x, "b" if (i // 2) % 10 < (6 if x == 0 else 9) else "a") for i, x, _ in rows]
+    frame = spark.createDataFrame(rows, "tweet_id long, x double, label string")
+    fit = trees.fit_share_tree(trees.prepare(frame, ["x"], "label"))
+    assert len(fit.tree.leaves()) == 2
+    assert sorted(fit.tree.shares(n).round(9).tolist() for n in fit.tree.leaves()) == [[0.1, 0.9], [0.4, 0.6]]
+    for node in range(3):
+        shares = fit.tree.shares(node)
+        assert fit.tree.impurity[node] == pytest.approx(1 - (shares**2).sum())
+
+
+def test_share_trees_of_more_labels_merge_leaves_with_one_top_label(spark):
+    rows = [(i, float(i % 2), "b" if (i // 2) % 10 < (6 if i % 2 == 0 else 9) else "ac"[i % 4 // 2]) for i in range(1200)]
+    frame = spark.createDataFrame(rows, "tweet_id long, x double, label string")
+    fit = trees.fit_share_tree(trees.prepare(frame, ["x"], "label"))
+    assert len(fit.labels) == 3 and len(fit.tree.leaves()) == 1
+
+
+def test_pruning_of_a_large_tree_is_quick():
+    import time
+
+    n = 2**12
+    size = 2 * n - 1
+    inner = np.arange(n - 1)
+    left, right = np.full(size, -1), np.full(size, -1)
+    left[inner], right[inner] = 2 * inner + 1, 2 * inner + 2
+    counts = np.zeros((size, 2))
+    counts[n - 1 :] = np.random.default_rng(3).integers(1, 30, (n, 2))
+    for node in inner[::-1]:
+        counts[node] = counts[left[node]] + counts[right[node]]
+    share = counts / counts.sum(axis=1, keepdims=True)
+    tree = trees.Tree(
+        np.zeros(size, int), np.zeros(size), left, right, 1 - (share**2).sum(axis=1), counts,
+        counts.sum(axis=1),
+    )
+    start = time.perf_counter()
+    steps = trees.pruning_steps(tree)
+    assert time.perf_counter() - start < 5
+    assert steps[0][1] > 0.99 * n and steps[-1][1] == 1  # some splits save nothing
+    assert all(a[0] <= b[0] and a[1] > b[1] and a[2] <= b[2] + 1e-9 for a, b in zip(steps, steps[1:]))
+
+
 def test_gini_is_k_times_the_one_hot_squared_error(data):
     tree = trees.fit_share_tree(data, max_depth=3).tree
     for node in range(len(tree.left)):
