@@ -24,6 +24,7 @@ from postpulse.sources import (
     price_range,
     read_posts,
     read_terms,
+    read_ticker_map,
     scratch_dir,
     spread,
     unpivot_prices,
@@ -62,6 +63,13 @@ def csv_round_trip(spark, d):
     return read_posts(spark, path)
 
 
+@query()
+def ticker_map_round_trip(spark, d):
+    path = _scratch(spark, "tickers")
+    write_table(s.ticker_map_many(spark, d), path, fmt="csv")
+    return read_ticker_map(spark, path)
+
+
 @query()
 def term_list(spark, d):
     path = _scratch(spark, "terms")
@@ -112,6 +120,14 @@ def first_posts(spark, d):
     return kept.select("tweet_id", "ticker_symbol", "writer", F.md5("body").alias("body_md5"))
 
 
+@query()
+def first_posts_repeated(spark, d):
+    """Every post twice: the answer is that of `first_posts`."""
+    posts = s.posts(spark, d)
+    kept = pair_first_posts(posts.unionByName(posts), s.ticker_map_many(spark, d))
+    return kept.select("tweet_id", "ticker_symbol", "writer", F.md5("body").alias("body_md5"))
+
+
 @query()
 def trading_day_filter(spark, d):
     shipped = s.table(spark, d, "lineitem").select(
@@ -229,6 +245,18 @@ def describe_prices(spark, d):
     return described.select("column", "count", *[F.round(c, 4).alias(c) for c in names])
 
 
+@query()
+def describe_sparse(spark, d):
+    """A column with few values and one with none."""
+    rows = s.table(spark, d, "orders").select(
+        F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice")).alias("rare"),
+        F.when(F.col("o_orderstatus") == "-", F.col("o_totalprice")).alias("never"),
+    )
+    described = sampling.describe_numeric(spread(rows, "rare"), ["rare", "never"])
+    names = [c for c in described.columns if c not in ("column", "count")]
+    return described.select("column", "count", *[F.round(c, 4).alias(c) for c in names])
+
+
 # ---- text features ---------------------------------------------------------
 
 
@@ -243,6 +271,17 @@ def meta_features(spark, d):
     return features.add_meta_features(_texts(spark, d)).select("tweet_id", *META_FEATURES)
 
 
+@query()
+def meta_features_null_body(spark, d):
+    """Texts under 100 characters are taken as missing: their rows go."""
+    texts = s.documents(spark, d).select(
+        F.col("doc_id").alias("tweet_id"),
+        F.when(F.col("n_chars") >= 100, F.col("text")).alias("body"),
+    )
+    kept = features.add_meta_features(texts)
+    return kept.select("tweet_id", "num_words", F.md5("original_text").alias("original_md5"))
+
+
 @query()
 def clean_body(spark, d):
     return features.clean_body(_texts(spark, d))
@@ -302,6 +341,28 @@ def explicit_flag_long_list(spark, d):
     return flagged.select("tweet_id", "isExplicit")
 
 
+def _pair_texts(spark, d):
+    """Several rows an id, of two different bodies: the text, or its source's name."""
+    source = F.concat(F.col("source"), F.lit(" trash"))
+    texts = s.documents(spark, d).select(F.col("doc_id").alias("tweet_id"), "text", source.alias("s"))
+    pairs = texts.join(s.ticker_map_many(spark, d), "tweet_id")
+    body = F.when(F.col("ticker_symbol") == "2-HIGH", F.col("s")).otherwise(F.col("text"))
+    return pairs.select("tweet_id", "ticker_symbol", body.alias("body"))
+
+
+@query()
+def explicit_flag_pairs(spark, d):
+    flagged = features.explicit_flag(_pair_texts(spark, d), s.explicit_terms(spark))
+    return flagged.select("tweet_id", "ticker_symbol", "isExplicit")
+
+
+@query()
+def explicit_flag_pairs_joined(spark, d):
+    """The same with the list treated as too long for a literal."""
+    flagged = features.explicit_flag(_pair_texts(spark, d), s.explicit_terms(spark), limit=0)
+    return flagged.select("tweet_id", "ticker_symbol", "isExplicit")
+
+
 @query()
 def buy_sell_flags(spark, d):
     flagged = features.token_flags(_texts(spark, d), ["the", "best"])
@@ -322,6 +383,14 @@ def unknown_words(spark, d):
     return counted.select("tweet_id", "typo")
 
 
+@query()
+def unknown_words_joined(spark, d):
+    """The dictionary treated as too long for a literal."""
+    cleaned = features.clean_body(_texts(spark, d))
+    counted = features.unknown_words(cleaned, s.dictionary(spark, d), limit=0)
+    return counted.select("tweet_id", "typo")
+
+
 @query()
 def unknown_terms(spark, d):
     cleaned = features.clean_body(_texts(spark, d))
@@ -335,6 +404,14 @@ def lexicon_polarity(spark, d):
     return scored.select("tweet_id", F.round("polarity", 9).alias("polarity"))
 
 
+@query()
+def lexicon_polarity_joined(spark, d):
+    """The lexicon treated as too long for a literal."""
+    cleaned = features.clean_body(_texts(spark, d))
+    scored = features.lexicon_polarity(cleaned, s.lexicon(spark), limit=0)
+    return scored.select("tweet_id", F.round("polarity", 9).alias("polarity"))
+
+
 @query()
 def sentiment_label(spark, d):
     cleaned = features.clean_body(_texts(spark, d))
@@ -439,7 +516,7 @@ def balanced_sample(spark, d):
 def balanced_sample_orders(spark, d):
     rows = s.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     return sampling.balanced_sample(
-        rows, "o_orderstatus", 1500, ["o_orderpriority"], "o_orderkey", strict=False
+        rows, "o_orderstatus", 40, ["o_orderpriority"], "o_orderkey", strict=False
     )
 
 
@@ -464,6 +541,12 @@ def renumber(spark, d):
     return sampling.renumber(_keys(spark, d), ["lang"]).select("tweet_id", "lang", "row_id")
 
 
+@query()
+def renumber_null_group(spark, d):
+    rows = _keys(spark, d).withColumn("lang", F.nullif("lang", F.lit("fr")))
+    return sampling.renumber(rows, ["lang"]).select("tweet_id", "lang", "row_id")
+
+
 # ---- training sets ---------------------------------------------------------
 
 
@@ -550,7 +633,7 @@ def write_training_sets(spark, d):
 def _explored(spark, d, words):
     total = F.col("comment_num") + F.col("retweet_num") + F.col("like_num")
     flagged = s.posts(spark, d).select("tweet_id", "body", (total >= 4).alias("popular"))
-    return Exploration(materialise(flagged, "flagged"), "popular", 400, words, strict=False)
+    return Exploration(materialise(flagged, "flagged"), "popular", 5000, words, strict=False)
 
 
 @query()
@@ -642,65 +725,70 @@ def fold_summary(spark, d):
 
 # ---- learned models --------------------------------------------------------
 
-DEPTH = 6
-
-
-NAMES = ["high", "low", "medium", "none"]
+SHORT_TARGETS = {
+    "price": "price_change",
+    "interaction": "interaction_level",
+    "sentiment": "sentiment",
+}
 
 
-def _matrix_rows(spark, d):
-    """Meta-features of the given texts and their engagement level, stored."""
-    levelled = labels.add_interaction_level(s.posts(spark, d))
-    rows = features.add_meta_features(levelled)
-    return materialise(rows.select("tweet_id", "interaction_level", *META_FEATURES), "matrix")
+def _set(spark, d, target):
+    """The stored training matrix of a target, all tickers: PER_CLASS rows a class and ticker."""
+    return materialise(_matrix(spark, d, target), "set")
 
 
-def _prepared(spark, d):
-    return trees.prepare(_matrix_rows(spark, d), META_FEATURES, "interaction_level")
+def _prepared(spark, d, target="interaction_level"):
+    names = training.feature_columns(target, WORDS)
+    return trees.prepare(_set(spark, d, target), names, target)
 
 
-def _split(spark, d, folds=None):
-    """Training rows, with `folds` if asked for, and test rows of the matrix."""
-    marked = sampling.split_exact(_matrix_rows(spark, d))
+def _split(spark, d, target="interaction_level", folds=None):
+    """Training rows, with `folds` if asked for, and test rows of a training set."""
+    names = training.feature_columns(target, WORDS)
+    rows = _set(spark, d, target)
+    marked = sampling.split_exact(rows)
     train, test = marked.where(~F.col("is_test")), marked.where("is_test")
     if folds:
-        train = sampling.stratified_folds(train, "interaction_level", folds)
-    return tuple(
-        trees.prepare(part, META_FEATURES, "interaction_level", NAMES) for part in (train, test)
-    )
+        train = sampling.stratified_folds(train, target, folds)
+    train = trees.prepare(train, names, target)
+    return train, trees.prepare(test, names, target, train.labels)
 
 
 @query()
-def tree_entropy(spark, d):
-    train, test = _split(spark, d)
-    fit = trees.fit_tree(train, "entropy", 0.0, DEPTH)
-    return evaluate.confusion(fit.score(test.rows), "interaction_level", "predicted")
+def tree_entropy(spark, d, target="interaction_level"):
+    train, test = _split(spark, d, target)
+    fit = trees.fit_tree(train)
+    return evaluate.confusion(fit.score(test.rows), target, "predicted")
 
 
 @query()
-def pruned_tree(spark, d):
-    train, test = _split(spark, d)
-    fit = trees.fit_tree(train, "entropy", 0.0025, DEPTH)
-    return evaluate.class_report(fit.score(test.rows), "interaction_level", "predicted", 1.0)
+def pruned_tree(spark, d, target="interaction_level"):
+    train, test = _split(spark, d, target)
+    fit = trees.fit_tree(train, alpha=0.0025)
+    return evaluate.class_report(fit.score(test.rows), target, "predicted", 1.0)
 
 
 @query()
-def tree_onehot_regression(spark, d):
-    data = _prepared(spark, d)
-    fit = trees.fit_share_tree(data, 0.0006, max_depth=DEPTH)
-    scored = fit.score(data.rows)
-    columns = {label: f"p_{label}" for label in data.labels}
-    shares = [F.get("probability", F.lit(i)).alias(columns[v]) for i, v in enumerate(data.labels)]
-    return evaluate.r2_onehot(
-        scored.select("interaction_level", *shares), "interaction_level", columns
-    )
+def tree_onehot_regression(spark, d, target="interaction_level"):
+    """R squared of the share tree, fitted and scored on all rows of the set."""
+    data = _prepared(spark, d, target)
+    scored = trees.fit_share_tree(data, 0.0006).score(data.rows)
+    columns = {label: f"p_{i}" for i, label in enumerate(data.labels)}
+    shares = [F.get("probability", F.lit(i)).alias(f"p_{i}") for i in range(len(data.labels))]
+    return evaluate.r2_onehot(scored.select(target, *shares), target, columns)
 
 
 @query()
-def random_forest(spark, d):
-    train, test = _split(spark, d)
+def random_forest(spark, d, target="interaction_level"):
+    train, test = _split(spark, d, target)
     forest = trees.fit_forest(train)
-    return evaluate.class_report(forest.score(test.rows), "interaction_level", "predicted")
+    return evaluate.class_report(forest.score(test.rows), target, "predicted")
+
+
+for short in ("price", "sentiment"):
+    for build in (tree_entropy, pruned_tree, tree_onehot_regression, random_forest):
+        name = f"{build.__name__}_{short}"
+        QUERIES[name] = partial(build, target=SHORT_TARGETS[short])
 
 
 @query()
@@ -710,25 +798,31 @@ def forest_first_tree(spark, d):
     return trees.tree_rules(spark, forest.first_tree(), forest.labels, forest.features)
 
 
+@query()
+def forest_params(spark, d):
+    train, _ = _split(spark, d)
+    return trees.resolved_params(spark, trees.fit_forest(train).model).where(
+        ~F.col("param").isin("leafCol", "featuresCol")
+    )
+
+
 @query()
 def tree_rules(spark, d):
     data = _prepared(spark, d)
-    fit = trees.fit_tree(data, "entropy", 0.0025, DEPTH)
+    fit = trees.fit_tree(data, alpha=0.0025)
     pruned = trees.prune(fit.tree, 0.0025)
     return trees.tree_rules(spark, pruned, fit.labels, fit.features)
 
 
 @query()
 def tree_nodes(spark, d):
-    data = _prepared(spark, d)
-    fit = trees.fit_tree(data, "entropy", 0.0, DEPTH)
+    fit = trees.fit_tree(_prepared(spark, d))
     return trees.tree_nodes(fit.model, fit.features)
 
 
 @query()
 def tree_text(spark, d):
-    data = _prepared(spark, d)
-    fit = trees.fit_tree(data, "entropy", 0.0, DEPTH)
+    fit = trees.fit_tree(_prepared(spark, d))
     path = _scratch(spark, "tree")
     trees.write_tree_text(spark, trees.tree_text(fit.tree, fit.labels), path)
     return spark.read.text(path)
@@ -736,38 +830,26 @@ def tree_text(spark, d):
 
 @query()
 def pruning_path(spark, d):
-    data = _prepared(spark, d)
-    return trees.pruning_path(spark, trees.fit_tree(data, "entropy", 0.0, DEPTH).tree)
+    return trees.pruning_path(spark, trees.fit_tree(_prepared(spark, d)).tree)
 
 
 @query()
 def alpha_sweep(spark, d):
     train, _ = _split(spark, d, folds=10)
-    return trees.alpha_sweep(train, 10, "entropy", max_depth=DEPTH)
+    return trees.alpha_sweep(train, 10, "entropy")
 
 
 @query()
 def alpha_sweep_regression(spark, d):
-    train, _ = _split(spark, d)
-    folded = sampling.plain_folds(train.rows.drop("features", "label_index"), 10)
-    data = trees.prepare(folded, META_FEATURES, "interaction_level", train.labels)
-    return trees.alpha_sweep(data, 10, "gini", max_depth=DEPTH)
-
-
-# A part of the full grid that a test run finishes; trees.FULL_GRID is the whole.
-SMALL_GRID = {
-    "numTrees": [5, 10],
-    "maxFeatures": ["auto", "sqrt"],
-    "maxDepth": [2, 4],
-    "minSplit": [2, 5],
-    "minLeaf": [2],
-    "bootstrap": [False],
-}
+    target = "interaction_level"
+    folded = sampling.plain_folds(_set(spark, d, target), 10)
+    data = trees.prepare(folded, training.feature_columns(target, WORDS), target)
+    return trees.alpha_sweep(data, 10, "gini")
 
 
 def _search(spark, d):
     train, test = _split(spark, d, folds=3)
-    return trees.grid_search(train, SMALL_GRID, 3), test
+    return trees.grid_search(train, trees.FULL_GRID, 3), train, test
 
 
 @query()
@@ -777,11 +859,44 @@ def grid_search(spark, d):
 
 @query()
 def best_params(spark, d):
-    found, _ = _search(spark, d)
+    found, _, _ = _search(spark, d)
     return trees.params_table(spark, found.best_params)
 
 
 @query()
 def best_forest_accuracy(spark, d):
-    found, test = _search(spark, d)
-    return evaluate.accuracy(found.best.score(test.rows), "interaction_level", "predicted")
+    """Accuracy of the refitted best forest on the training and on the test rows."""
+    found, train, test = _search(spark, d)
+    parts = []
+    for name, rows in (("train", train.rows), ("test", test.rows)):
+        right = evaluate.accuracy(found.best.score(rows), "interaction_level", "predicted")
+        parts.append(right.select(F.lit(name).alias("part"), *right.columns))
+    return parts[0].unionByName(parts[1])
+
+
+@query()
+def tree_stump(spark, d):
+    """Root of a tree of depth one: whether an order has four or more lines, from its counters."""
+    total = F.col("comment_num") + F.col("retweet_num") + F.col("like_num")
+    size = F.when(total >= 4, "many").otherwise("few")
+    names = ["comment_num", "retweet_num", "like_num"]
+    rows = materialise(s.counters(spark, d).withColumn("size", size), "sizes")
+    tree = trees.fit_tree(trees.prepare(rows, names, "size"), max_depth=1).tree
+    low, high = int(tree.left[0]), int(tree.right[0])
+    root = names[tree.feature[0]], float(tree.threshold[0])
+    row = (*root, int(tree.rows[low]), int(tree.rows[high]))
+    return local_frame(
+        spark, [row], "feature string, threshold double, rows_low long, rows_high long"
+    )
+
+
+@query()
+def train_test_rows(spark, d):
+    """Rows that the tree of a training set is fitted on and scored on, from its confusions."""
+    train, test = _split(spark, d)
+    fit = trees.fit_tree(train)
+    parts = []
+    for name, rows in (("train", train.rows), ("test", test.rows)):
+        cells = evaluate.confusion(fit.score(rows), "interaction_level", "predicted")
+        parts.append(cells.agg(F.lit(name).alias("part"), F.sum("cnt").alias("posts")))
+    return parts[0].unionByName(parts[1])

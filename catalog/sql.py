@@ -10,13 +10,33 @@ from __future__ import annotations
 
 from catalog import standins as s
 from catalog.rules import INTERACTION_TREE
-from postpulse.functions import META_FEATURES
 from postpulse.operators.ngrams import DOMAIN_STOP_WORDS
-from postpulse.plans.training import TARGETS, feature_columns
 
 WORDS = 100
 PER_CLASS = 30
 
+# The features' names and order, and what each target's model sees.
+META_FEATURES = (
+    "num_words", "num_unique_words", "num_chars", "num_punctuations", "num_words_upper",
+    "num_words_title", "mean_word_len", "num_special_char", "num_numerics", "num_uppercase",
+    "num_lowercase",
+)
+SEEN = {
+    "price_change": (
+        "comment_num", "retweet_num", "like_num", *META_FEATURES, "polarity", "isExplicit", "typo",
+    ),
+    "interaction_level": ("price_diff", *META_FEATURES, "polarity", "isExplicit", "typo"),
+    "sentiment": (
+        "comment_num", "retweet_num", "like_num", "price_diff", *META_FEATURES, "isExplicit", "typo",
+    ),
+}
+TARGETS = tuple(SEEN)
+
+
+def feature_columns(target: str, words: int) -> list[str]:
+    return [*SEEN[target], *[f"w_{i:03d}" for i in range(1, words + 1)]]
+
+
 # English stop words.
 ENGLISH_STOP_WORDS = """
 i me my myself we our ours ourselves you your yours yourself yourselves he him his
@@ -218,6 +238,10 @@ PICKED = f"""
         ORDER BY md5('42:' || tweet_id), tweet_id) <= {PER_CLASS})"""
 
 EXPLICIT = f"CASE WHEN list_has_any({{}}, {listed(s.EXPLICIT_TERMS)}) THEN 1 ELSE 0 END"
+PAIR_FLAGS = f"""SELECT tweet_id, ticker_symbol, {EXPLICIT.format(word_tokens('body'))} AS "isExplicit"
+    FROM (SELECT tweet_id, ticker_symbol,
+        CASE WHEN ticker_symbol = '2-HIGH' THEN source || ' trash' ELSE text END AS body
+      FROM documents JOIN ticker_map_many ON doc_id = tweet_id)"""
 NUMBER = "'^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
 
 
@@ -391,7 +415,7 @@ def frequencies(source: str) -> str:
 
 EXPLORED = """explored AS (SELECT tweet_id, body, comment_num + retweet_num + like_num >= 4 AS popular
       FROM posts QUALIFY row_number() OVER (PARTITION BY comment_num + retweet_num + like_num >= 4
-        ORDER BY md5('42:' || tweet_id), tweet_id) <= 200)"""
+        ORDER BY md5('42:' || tweet_id), tweet_id) <= 2500)"""
 
 
 STATS = ["mean", "std", "min", "p25", "p50", "p75", "max"]
@@ -467,6 +491,7 @@ ORACLES: dict[str, str] = {
       FROM documents JOIN ticker_map_many ON doc_id = tweet_id
       QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id, ticker_symbol) = 1""",
     ),
+    "ticker_map_round_trip": with_(["ticker_map_many"], "SELECT * FROM ticker_map_many"),
     "first_posts": with_(
         ["counters", "posts", "ticker_map_many"],
         """SELECT tweet_id, ticker_symbol, writer, md5(body) AS body_md5
@@ -517,6 +542,15 @@ ORACLES: dict[str, str] = {
         dict.fromkeys(STATS, 4),
         STATS,
     ),
+    "describe_sparse": describe(
+        "(SELECT CASE WHEN o_orderstatus = 'P' THEN o_totalprice END AS rare, "
+        "CASE WHEN o_orderstatus = '-' THEN o_totalprice END AS never FROM orders)",
+        ["rare", "never"],
+        dict.fromkeys(STATS, 4),
+        STATS,
+    ),
+    "meta_features_null_body": f"""SELECT doc_id AS tweet_id, len({words('text')})::INT AS num_words,
+      md5(text) AS original_md5 FROM documents WHERE n_chars >= 100""",
     "meta_features": f"SELECT doc_id AS tweet_id, {meta_select('text')} "
     f"FROM (SELECT doc_id, text, {words('text')} AS words FROM documents)",
     "clean_body": with_(["clean_texts"], "SELECT * FROM clean_texts"),
@@ -553,6 +587,8 @@ ORACLES: dict[str, str] = {
         f"""SELECT tweet_id, coalesce(n, 0)::INT AS typo FROM clean_texts LEFT JOIN (
         SELECT tweet_id, count(*) AS n FROM ({unknown('clean_texts')}) GROUP BY 1) USING (tweet_id)""",
     ),
+    "explicit_flag_pairs": with_(["ticker_map_many"], PAIR_FLAGS),
+    "explicit_flag_pairs_joined": with_(["ticker_map_many"], PAIR_FLAGS),
     "unknown_terms": with_(["clean_texts", "dictionary"], unknown("clean_texts")),
     "lexicon_polarity": with_(
         ["clean_texts"],
@@ -609,7 +645,7 @@ ORACLES: dict[str, str] = {
         "o_orderkey, o_orderpriority, o_orderstatus",
         "o_orderpriority, o_orderstatus",
         "o_orderkey",
-        1500,
+        40,
     ),
     "split_exact": """SELECT doc_id AS tweet_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id)
       <= ceil(0.2 * count(*) OVER ()) AS is_test FROM documents""",
@@ -620,6 +656,34 @@ ORACLES: dict[str, str] = {
         row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS r FROM documents)""",
     "renumber": """SELECT doc_id AS tweet_id, lang,
       row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) - 1 AS row_id FROM documents""",
+    "renumber_null_group": """SELECT doc_id AS tweet_id, nullif(lang, 'fr') AS lang,
+      row_number() OVER (PARTITION BY nullif(lang, 'fr') ORDER BY md5('42:' || doc_id), doc_id) - 1 AS row_id
+      FROM documents""",
+    # The midpoint between neighbouring values that leaves the least entropy.
+    "tree_stump": with_(
+        ["counters"],
+        """SELECT feature, threshold, max(n) FILTER (low)::BIGINT AS rows_low,
+        max(n) FILTER (NOT low)::BIGINT AS rows_high
+      FROM (SELECT feature, threshold, low, sum(c) AS n,
+          -sum(c * ln(c::DOUBLE / t)) AS entropy
+        FROM (SELECT *, sum(c) OVER (PARTITION BY feature, threshold, low) AS t FROM (
+          SELECT v.feature, (v.value + v.above) / 2 AS threshold, p.value <= v.value AS low, size,
+            sum(p.c) AS c
+          FROM places v JOIN tallies p USING (feature) WHERE v.above IS NOT NULL GROUP BY ALL))
+        GROUP BY ALL)
+      GROUP BY feature, threshold ORDER BY sum(entropy) LIMIT 1""",
+        """sizes AS (SELECT *, CASE WHEN comment_num + retweet_num + like_num >= 4 THEN 'many'
+          ELSE 'few' END AS size FROM counters),
+    long_sizes AS (UNPIVOT sizes ON comment_num, retweet_num, like_num INTO NAME feature VALUE value),
+    tallies AS (SELECT feature, value::DOUBLE AS value, size, count(*) AS c FROM long_sizes GROUP BY ALL),
+    places AS (SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS above
+      FROM (SELECT DISTINCT feature, value FROM tallies))""",
+    ),
+    "train_test_rows": training(
+        """SELECT 'train' AS part, (count(*) - ceil(0.2 * count(*)))::BIGINT AS posts
+      FROM matrix WHERE target = 'interaction_level'
+      UNION ALL SELECT 'test', ceil(0.2 * count(*))::BIGINT FROM matrix WHERE target = 'interaction_level'"""
+    ),
     "feature_table": with_(
         PIPELINE,
         f"""SELECT tweet_id, writer, ticker_symbol, date, comment_num, retweet_num, like_num, price_diff,
@@ -691,3 +755,10 @@ ORACLES: dict[str, str] = {
       FROM matrix WHERE target = 'interaction_level'"""
     ),
 }
+# The same answers by a join to the list instead of a literal, or from repeated posts.
+for name, same in (
+    ("unknown_words_joined", "unknown_words"),
+    ("lexicon_polarity_joined", "lexicon_polarity"),
+    ("first_posts_repeated", "first_posts"),
+):
+    ORACLES[name] = ORACLES[same]
