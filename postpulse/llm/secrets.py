@@ -86,18 +86,45 @@ def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.groupBy("label", "pair").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, text: str = "text", smoothing: float = 0.5) -> np.ndarray:
-    """Log likelihood ratio of each symbol pair, random against ordinary: N x N."""
+class Models:
+    """Pair counts of both labels, and the log likelihood ratio of a string.
+
+    Pairs are smoothed by the single symbols of their model with the weight of so many
+    pairs, so a symbol that is rare in a model stays rare after one it wasn't met after.
+    A string was counted as ordinary itself; its own pairs are taken out to score it.
+    """
+
+    def __init__(self, counts: np.ndarray, weight: float = 20.0):
+        self.counts, self.weight = counts.astype(float), weight
+        self.firsts, self.seconds = counts.sum(axis=2), counts.sum(axis=1) + 0.5
+
+    def log_chance(self, label: int, a: np.ndarray, b: np.ndarray, own: bool) -> np.ndarray:
+        pairs, first, second = (
+            self.counts[label][a, b], self.firsts[label][a], self.seconds[label][b],
+        )
+        total = self.seconds[label].sum()
+        if own:
+            pairs = np.maximum(pairs - np.bincount(a * N + b)[a * N + b], 0)
+            first = np.maximum(first - np.bincount(a)[a], 0)
+            second = np.maximum(second - np.bincount(b)[b], 0.5)
+        return np.log((pairs + self.weight * second / total) / (first + self.weight))
+
+    def ratio(self, text: str) -> float:
+        codes = CODES[np.frombuffer(text.encode(), np.uint8)]
+        a, b = codes[:-1], codes[1:]
+        return float((self.log_chance(1, a, b, False) - self.log_chance(0, a, b, True)).sum())
+
+
+def fit(docs: DataFrame, text: str = "text") -> Models:
+    """Both models, from the whole texts of all rows."""
     counts = np.zeros((2, N, N))
     for row in pair_counts(docs, text).collect():  # 2 * N * N rows at most
         counts[row["label"], row["pair"] // N, row["pair"] % N] = row["n"]
-    # Symbols that no labelled value holds fall back to an even spread over all symbols.
-    chance = (counts + smoothing) / (counts + smoothing).sum(axis=2, keepdims=True)
-    return np.log(chance[1]) - np.log(chance[0])
+    return Models(counts)
 
 
 def model_spans(
-    text: str, base: list, ratio: np.ndarray, per_char: float, total: float
+    text: str, base: list, models: Models, per_char: float, total: float
 ) -> list[tuple[int, int, int, str]]:
     """Runs of 20 or more token characters that read as random and meet no base span."""
     found = []
@@ -105,8 +132,7 @@ def model_spans(
         start, end = m.span()
         if any(a < end and start < b for a, _, b, _ in base):
             continue
-        codes = CODES[np.frombuffer(m[0].encode(), np.uint8)]
-        score = float(ratio[codes[:-1], codes[1:]].sum())
+        score = models.ratio(m[0])
         if score >= total and score >= per_char * (end - start - 1):
             found.append((start, 3, end, m[0]))
     return found
@@ -124,7 +150,7 @@ def scan(
     Null text is empty: no spans. Repeated rows give repeated results. Other
     columns are not read. The models are fitted in a first pass over all rows.
     """
-    ratio = fit(docs, text)
+    models = fit(docs, text)
 
     def digest(spans):
         return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b, _ in spans)
@@ -134,7 +160,7 @@ def scan(
             out = {k: [] for k in (*(f"n_{k}" for k in KINDS), "base_sha256", "spans")}
             for one in batch.column(1).to_pylist():
                 base = base_spans(one or "")
-                more = model_spans(one or "", base, ratio, per_char, total)
+                more = model_spans(one or "", base, models, per_char, total)
                 spans = sorted(base + more)
                 for k, kind in enumerate(KINDS):
                     out[f"n_{kind}"].append(sum(s[1] == k for s in spans))
