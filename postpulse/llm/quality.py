@@ -3,11 +3,14 @@
 The character-class and common-word histograms of each document are held against
 those of its language, gathered over all documents of that language that pass the
 base rules. A document whose Jensen-Shannon distance from either is too large is
-rejected, if it is long enough for its histogram to say something.
+rejected, if it is long enough for its histogram to say something. What a short text's
+histogram differs by chance is taken off first.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +42,9 @@ ALL_COMMON = sorted({word for words in COMMON.values() for word in words})
 SLOTS = max(map(len, COMMON.values())) + 1
 
 # Guards and limits of the verdict.
-CHARS_FROM, MOST_CHAR_DISTANCE = 200, 0.27
-WORDS_FROM, MOST_WORD_DISTANCE = 60, 0.305
+CHARS_FROM, MOST_CHAR_DISTANCE = 200, 0.26
+WORDS_FROM, MOST_WORD_DISTANCE = 30, 0.16
+DEVIATIONS = 3  # of what a sample's distance is by chance, taken off
 
 
 def word_list(text: Column) -> Column:
@@ -178,8 +182,20 @@ def distance(counts: Column, reference: Column) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
+def beyond_chance(found: Column, counts: Column) -> Column:
+    """A distance less what a sample of so many from the reference has by chance.
+
+    For n counted things 8 ln 2 n times its square is about chi-squared with one degree
+    of freedom less than there are slots; the mean and `DEVIATIONS` deviations go.
+    """
+    n = F.greatest(F.aggregate(counts, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(1))
+    free = F.size(counts) - 1
+    chance = (free + DEVIATIONS * F.sqrt(2 * free)) / (8 * math.log(2) * n)
+    return F.sqrt(F.greatest(found * found - chance, F.lit(0.0)))
+
+
 def judge(measured: DataFrame) -> DataFrame:
-    """`measured` with char_distance, word_distance and kept.
+    """`measured` with char_distance, word_distance (beyond chance) and kept.
 
     Null text counts as empty and fails for its length. A language that isn't in
     `COMMON`, null included, is held against all such documents together. The
@@ -189,7 +205,9 @@ def judge(measured: DataFrame) -> DataFrame:
         F.broadcast(references(measured)), F.col("_language") == F.col("_of"), "left"
     )
     chars = distance(F.col("_chars"), F.col("_ref_chars"))
+    chars = beyond_chance(chars, F.col("_chars"))
     words = distance(F.col("_found"), F.col("_ref_found"))
+    words = beyond_chance(words, F.col("_found"))
     judged = joined.withColumns({"char_distance": chars, "word_distance": words})
     far = (
         (F.col("word_chars") >= CHARS_FROM) & (F.col("char_distance") > MOST_CHAR_DISTANCE)
