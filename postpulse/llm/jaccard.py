@@ -93,20 +93,21 @@ def rarity(texts: DataFrame, total: int, size: int) -> tuple[int, np.ndarray]:
     """Bits, and for each cell of a count sketch two bits: how frequent its shingles are.
 
     Any order of shingles gives right groups, and rare shingles first gives small ones.
-    The sketch has about a cell a word, and no more than 2 ** MOST_BITS: beyond that
-    the levels are relative to what a cell holds on average.
+    Counts are never too low, so a shingle at level 0, whose cell was met once, is in no
+    other text. The sketch has one to two cells a word, and no more than
+    2 ** MOST_BITS: beyond that the levels are relative to what a cell holds on average.
     """
-    bits = int(np.clip(np.ceil(np.log2(max(total / 8, 1))), LEAST_BITS, MOST_BITS))
-    load = total / 7 / (1 << bits)
-    steps = np.array([4, 16, 64]) + 2 * load
+    bits = int(np.clip(np.ceil(np.log2(max(total / 6, 1))), LEAST_BITS, MOST_BITS))
+    load = total / 6 / (1 << bits)
+    steps = np.array([1, 3, 15]) if load <= 1 else np.array([1, 3 + 2 * load, 15 + 2 * load])
 
     def hashes(batch):
         for at in range(0, batch.num_rows, DOCS_AT_ONCE):
             yield sets_of(texts_of(batch.slice(at, DOCS_AT_ONCE)), size)[0]
 
     lists = sketch_lists(texts, hashes, bits, 1)
-    planes = merged_flags(lists, bits, 1, lambda n: np.digitize(n, steps).astype(np.uint8), 2)
-    return bits, planes[0]
+    level = lambda n: np.digitize(n, steps, right=True).astype(np.uint8)
+    return bits, merged_flags(lists, bits, 1, level, 2)[0]
 
 
 def _by_part(kind: int, part: np.ndarray, parts: int, keys, sids) -> dict:
@@ -125,7 +126,8 @@ def groups_and_sizes(docs: DataFrame, total: int, size: int) -> DataFrame:
     """Packed rows: kind 0, sids that share a rare shingle; kind 1, ids with sid and size.
 
     Of a set of n shingles the n - ceil(3 n / 4) + 1 rarest stand for it: a set without
-    any of these has too few of its shingles. A set that is met again in a chunk of
+    any of these has too few of its shingles. Those that are in no other text bring no
+    sets together and stay where they are. A set that is met again in a chunk of
     documents is sent once.
     """
     bits, planes = rarity(docs.select("text"), total, size)
@@ -153,7 +155,8 @@ def groups_and_sizes(docs: DataFrame, total: int, size: int) -> DataFrame:
                 level = look_up(shared.value[0], cell) + 2 * look_up(shared.value[1], cell)
                 order = np.lexsort((hashes, level, own))
                 rank = np.arange(len(own)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                first = order[rank < (sizes - -(-NUM * sizes // DEN) + 1)[own]]
+                rare = rank < (sizes - -(-NUM * sizes // DEN) + 1)[own]
+                first = order[rare & (level[order] > 0)]
                 held.append((hashes[first], sids[own[first]]))
                 count += len(first)
                 ids = np.array(part.column(0), np.int64)
@@ -442,9 +445,11 @@ def near_duplicates(
     named = of_docs.join(labels, "sid", "left").withColumn(
         "component", F.coalesce("label", F.when(F.col("n") > 0, F.col("sid")))
     )
-    smallest = named.groupBy("component").agg(F.min("id").alias("component_id"))
+    smallest = named.where("component is not null").groupBy(F.col("component").alias("_c"))
+    smallest = smallest.agg(F.min("id").alias("component_id"))
+    # Stored, the smallest ids are joined like any table, and a large component is split.
     joined = named.join(
-        smallest.where("component is not null").withColumnRenamed("component", "_c"),
+        materialise(smallest, "smallest"),
         F.col("component") == F.col("_c"),
         "left",
     )
@@ -460,12 +465,7 @@ def near_duplicates(
 def _labels(given: DataFrame, groups: DataFrame, size: int) -> DataFrame:
     """(sid, label) of every set with a link."""
 
-    def members(batches):
-        for batch in batches:
-            for blob in batch.column(0).to_pylist():
-                yield {"sid": np.frombuffer(blob, np.int64)}
-
-    found = membership(map_batches(groups.select("sids"), members, "sid long"), MARK_BITS)
+    found = membership(groups.select("sids"), MARK_BITS)
     marks = given.sparkSession.sparkContext.broadcast(found)
 
     def candidates(batches):

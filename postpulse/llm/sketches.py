@@ -135,19 +135,23 @@ def look_up(plane: np.ndarray, cell: np.ndarray) -> np.ndarray:
     return (plane[cell >> np.uint32(3)] >> (~cell & np.uint32(7)).astype(np.uint8)) & np.uint8(1)
 
 
-def membership(values: DataFrame, bits: int) -> np.ndarray:
-    """Packed marks of the cells of a long column's values: 2 ** bits bits in all."""
+def membership(blobs: DataFrame, bits: int) -> np.ndarray:
+    """Packed marks of the cells of all values in a binary column of packed 64-bit values.
+
+    2 ** bits bits in all, whatever their number; a row a partition is sent.
+    """
 
     def parts(batches):
         marks = np.zeros(1 << bits, bool)
         for batch in batches:
-            marks[cells(mixed(np.array(batch.column(0), np.int64).view(np.uint64)), 0, bits)] = True
+            for blob in batch.column(0).to_pylist():
+                marks[cells(mixed(np.frombuffer(blob, np.uint64)), 0, bits)] = True
         found = np.flatnonzero(marks)
         if len(found):
             yield {"row": [0], "range": [0], "blob": [varint(found)]}
 
     marks = np.zeros(1 << bits, bool)
-    for row in map_batches(values, parts, LISTS).toLocalIterator():
+    for row in map_batches(blobs, parts, LISTS).toLocalIterator():
         marks[unvarint(row["blob"])] = True
     return np.packbits(marks)
 

@@ -10,142 +10,40 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postpulse.sources import materialise
 
-from .words import WordHashes, map_batches, mixed, run_hashes, texts_of
+from .sketches import cells, look_up, may_hold, membership, merged_flags, sketch_lists
+from .words import hash_texts, map_batches, run_hashes, texts_of
 
 WINDOW = 20
 DEPTH = 2
 LEAST_BITS, MOST_BITS = 20, 30
-RANGE_BITS = 19  # cells of a range of the sketch, merged at a time
+MARK_BITS = 26
 BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
-CHUNK_WINDOWS = 2_000_000
-DOCS_AT_ONCE = 500
+CHUNK_WINDOWS = 1_000_000
+DOCS_AT_ONCE = 250
 PACKED = "kind int, part int, hashes binary, ids binary, tags binary, starts binary"
 
 
-def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
-    salted = hashes if row == 0 else mixed(hashes + np.uint64(row))
-    return (salted >> np.uint64(64 - bits)).astype(np.uint32)
-
-
-def varint(ascending: np.ndarray) -> bytes:
-    """Distances of ascending numbers, seven bits to a byte."""
-    gaps = np.diff(ascending.astype(np.int64), prepend=0)
-    length = np.ones(len(gaps), np.int64)
-    for bits in (7, 14, 21, 28):
-        length += gaps >= 1 << bits
-    ends = np.cumsum(length)
-    out = np.empty(int(length.sum()), np.uint8)
-    for k in range(5):
-        has = length > k
-        more = np.where(length[has] > k + 1, 0x80, 0)
-        out[ends[has] - length[has] + k] = ((gaps[has] >> (7 * k)) & 0x7F) | more
-    return out.tobytes()
-
-
-def unvarint(blob: bytes) -> np.ndarray:
-    raw = np.frombuffer(blob, np.uint8)
-    last = np.flatnonzero(raw < 0x80)
-    first = np.concatenate([[0], last[:-1] + 1])
-    gaps = np.zeros(len(last), np.int64)
-    for k in range(5):
-        has = last - first >= k
-        gaps[has] |= (raw[first[has] + k].astype(np.int64) & 0x7F) << (7 * k)
-    return np.cumsum(gaps)
-
-
-class Windows:
-    """Windows of documents: the hash, the document's number in the list, the start."""
-
-    def __init__(self, window: int):
-        self.window, self.words = window, WordHashes()
-
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        lists = [text.split() for text in texts]
-        counts = np.array([len(words) for words in lists], np.int64)
-        flat = self.words.of([word for words in lists for word in words])
-        if len(flat) < self.window:
-            none = np.empty(0, np.int64)
-            return none.astype(np.uint64), none, none
-        hashes = run_hashes(flat, self.window)
-        doc = np.repeat(np.arange(len(texts)), counts)
-        start = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-        inside = start + self.window <= counts[doc]
-        at = np.flatnonzero(inside)
-        return hashes[at], doc[at], start[at]
-
-
-def sketch(texts: DataFrame, bits: int, window: int) -> DataFrame:
-    """(row, range, blob): one bit per cell of the merged count-min sketch, at two or more.
-
-    A partition's counts travel as the ascending list of its cells, which is what a
-    sketch of few windows comes to; a cell that it has twice is in the list twice.
-    """
-
-    def parts(batches):
-        windows, held, size = Windows(window), [], 0
-
-        def flush():
-            hashes = np.concatenate(held)
-            out = {"row": [], "range": [], "blob": []}
-            for row in range(DEPTH):
-                found = np.sort(cells(hashes, row, bits))
-                # A cell that is there more than twice is as good as there twice.
-                found = found[np.concatenate([[True, True], found[2:] != found[:-2]])[: len(found)]]
-                ranges = found >> np.uint32(RANGE_BITS)
-                borders = np.searchsorted(ranges, np.arange((1 << bits - RANGE_BITS) + 1))
-                for k in np.flatnonzero(np.diff(borders)):
-                    own = found[borders[k] : borders[k + 1]].astype(np.int64)
-                    out["row"].append(row)
-                    out["range"].append(int(k))
-                    out["blob"].append(varint(own - (int(k) << RANGE_BITS)))
-            return out
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
-                hashes, _, _ = windows.of(texts_of(batch.slice(at, DOCS_AT_ONCE)))
-                held.append(hashes)
-                size += len(hashes)
-                if size >= CHUNK_WINDOWS:
-                    yield flush()
-                    held, size = [], 0
-        if size:
-            yield flush()
-
-    schema = "row int, range int, blob binary"
-    found = map_batches(texts, parts, schema)
-    dealt = found.repartition("row", "range").sortWithinPartitions("row", "range")
-
-    def merge(batches):
-        """Adds the lists of a range one after the other; holds the counts of one range."""
-        own, counts = None, None
+def windows_of(
+    texts: list[bytes], window: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, number of the text and start of every window."""
+    words, doc = hash_texts(texts)
+    if len(words) < window:
+        return words[:0], doc[:0], doc[:0]
+    hashes = run_hashes(words, window)
+    at = np.flatnonzero(doc[: len(hashes)] == doc[window - 1 :])
+    start = at - np.searchsorted(doc, doc[at])
+    return hashes[at], doc[at], start
 
-        def done():
-            flags = np.packbits(counts >= 2).tobytes()
-            return {"row": [own[0]], "range": [own[1]], "blob": [flags]}
 
-        for batch in batches:
-            for row, part, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if own != (row, part):
-                    if own:
-                        yield done()
-                    own, counts = (row, part), np.zeros(1 << RANGE_BITS, np.uint8)
-                found = unvarint(blob)
-                twice = found[1:][found[1:] == found[:-1]]
-                counts[found] = np.minimum(counts[found] + 1, 2)
-                counts[twice] = 2
-        if own:
-            yield done()
-
-    return map_batches(dealt, merge, schema)
-
-
-def repeated_cells(docs: DataFrame, total: int, window: int) -> tuple[int, list[np.ndarray]]:
+def repeated_cells(texts: DataFrame, total: int, window: int) -> tuple[int, list[np.ndarray]]:
     """Bits and, for each row of the sketch, one bit per cell: estimated at two or more.
 
     The sketch has about two cells a word, up to 2 ** MOST_BITS of them, so the
@@ -153,19 +51,20 @@ def repeated_cells(docs: DataFrame, total: int, window: int) -> tuple[int, list[
     words it lets more windows through to the exact pass, and loses none.
     """
     bits = int(np.clip(np.ceil(np.log2(max(total / 6, 1))), LEAST_BITS, MOST_BITS))
-    merged = [np.zeros(1 << bits - 3, np.uint8) for _ in range(DEPTH)]
-    width = 1 << RANGE_BITS - 3
-    for found in sketch(docs, bits, window).toLocalIterator():
-        at = found["range"] * width
-        merged[found["row"]][at : at + width] = np.frombuffer(found["blob"], np.uint8)
-    return bits, merged
+
+    def hashes(batch):
+        for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+            yield windows_of(texts_of(batch.slice(at, DOCS_AT_ONCE)), window)[0]
+
+    lists = sketch_lists(texts, hashes, bits, DEPTH)
+    flags = merged_flags(lists, bits, DEPTH, lambda n: (n >= 2).astype(np.uint8), 1)
+    return bits, [planes[0] for planes in flags]
 
 
-def seen_twice(hashes: np.ndarray, bits: int, merged: list[np.ndarray]) -> np.ndarray:
+def seen_twice(hashes: np.ndarray, bits: int, flags: list[np.ndarray]) -> np.ndarray:
     passed = np.ones(len(hashes), bool)
-    for row, flags in enumerate(merged):
-        cell = cells(hashes, row, bits)
-        passed &= (flags[cell >> np.uint32(3)] << (cell & np.uint32(7)).astype(np.uint8)) & 0x80 > 0
+    for row, plane in enumerate(flags):
+        passed &= look_up(plane, cells(hashes, row, bits)) > 0
     return passed
 
 
@@ -206,45 +105,49 @@ def repeated_windows(docs: DataFrame, total: int, window: int, buckets: int) ->
     places are settled there and then. So a window that a third of all documents hold
     is shuffled once a chunk.
     """
-    bits, merged = repeated_cells(docs.select("text"), total, window)
-    shared = docs.sparkSession.sparkContext.broadcast(merged)
+    bits, flags = repeated_cells(docs.select("text"), total, window)
+    shared = docs.sparkSession.sparkContext.broadcast(flags)
 
     def places(batches):
-        windows, held, size = Windows(window), [], 0
+        held, size = [], 0
 
         def flush():
             (hashes, ids, tags, starts), new, later = earliest(*map(np.concatenate, zip(*held)))  # noqa: B905
             part = (hashes >> np.uint64(34)).astype(np.int64) % buckets
             yield packed(0, part[new], buckets, *(x[new] for x in (hashes, ids, tags, starts)))
-            own = (x[later] for x in (ids, tags, starts))
+            own = [x[later] for x in (ids, tags, starts)]
             yield packed(1, tags[later] % buckets, buckets, None, *own)
 
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS_AT_ONCE):
                 part = batch.slice(at, DOCS_AT_ONCE)
-                hashes, doc, start = windows.of(texts_of(part))
-                keep = seen_twice(hashes, bits, shared.value)
+                hashes, doc, start = windows_of(texts_of(part), window)
+                keep = np.flatnonzero(seen_twice(hashes, bits, shared.value))
                 ids, tags = (np.array(part.column(k), np.int64) for k in (0, 1))
-                held.append((hashes[keep], ids[doc[keep]], tags[doc[keep]], start[keep]))
-                size += int(keep.sum())
+                own = doc[keep]
+                held.append((hashes[keep], ids[own], tags[own], start[keep]))
+                size += len(keep)
                 if size >= CHUNK_WINDOWS:
                     yield from flush()
                     held, size = [], 0
         if size:
             yield from flush()
 
-    found = materialise(map_batches(docs, places, PACKED), "windows")
-
     def exact(frame):
-        columns = [b"".join(frame[name]) for name in ("hashes", "ids", "tags", "starts")]
+        open_ = frame[frame["kind"] == 0]
+        columns = [b"".join(open_[name]) for name in ("hashes", "ids", "tags", "starts")]
         kinds = (np.uint64, np.int64, np.int64, np.int32)
         arrays = [np.frombuffer(c, k) for c, k in zip(columns, kinds, strict=True)]
+        if not len(arrays[0]):
+            return frame
         (_, ids, tags, starts), _, later = earliest(*arrays)
-        own = (x[later] for x in (ids, tags, starts))
-        return pd.DataFrame(packed(1, tags[later] % buckets, buckets, None, *own))
+        own = [x[later] for x in (ids, tags, starts)]
+        found = pd.DataFrame(packed(1, tags[later] % buckets, buckets, None, *own))
+        return pd.concat([frame[frame["kind"] == 1], found])
 
-    settled = found.where("kind = 0").groupBy("part").applyInPandas(exact, PACKED)
-    return found.where("kind = 1").unionByName(settled).drop("kind", "hashes")
+    # What is settled already goes along to the exact grouping, and from there to its bucket.
+    settled = map_batches(docs, places, PACKED).groupBy("part").applyInPandas(exact, PACKED)
+    return materialise(settled.drop("kind", "hashes"), "windows")
 
 
 def remove_repeats(
@@ -254,9 +157,13 @@ def remove_repeats(
 
     Words are runs of anything but ASCII white space; a word goes if a window of
     `window` words over it also starts earlier: in a row of smaller id, or in the same
-    row further left. Rows of equal id stand in the order of a hash of id and text,
-    rows that agree in both are one document, and null ids come first. Null text and
-    texts shorter than a window lose nothing. Other columns are not read.
+    row further left. Ids are whole numbers. Rows of equal id stand in the order of a
+    hash of id and text, rows that agree in both are one document, and null ids come
+    first. Null text and texts shorter than a window lose nothing. Other columns are
+    not read.
+
+    Only texts that may lose words (by a filter of fixed size over the tags of those
+    that do) are shuffled, to meet their windows; the others are finished where they are.
     """
     least = -(1 << 63)
     known = docs.select(
@@ -267,7 +174,24 @@ def remove_repeats(
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_BYTES))
     flagged = repeated_windows(known, total, window, buckets)
-    rows = known.withColumn("part", F.pmod("tag", F.lit(buckets)).cast("int"))
+    marks = docs.sparkSession.sparkContext.broadcast(membership(flagged.select("tags"), MARK_BITS))
+    rows = "id long, tag long, text string"
+
+    def touched(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(may_hold(marks.value, np.array(batch.column(1), np.int64))))
+
+    def whole(batches):
+        for batch in batches:
+            keep = ~may_hold(marks.value, np.array(batch.column(1), np.int64))
+            part = batch.filter(pa.array(keep))
+            words = [text.split() for text in texts_of(part)]
+            yield {
+                "id": part.column(0),
+                "n_words": list(map(len, words)),
+                "n_removed": [0] * len(words),
+                "kept": [b" ".join(w).decode() for w in words],
+            }
 
     def cut(rows, flags):
         starts, tags, ids = (
@@ -291,10 +215,11 @@ def remove_repeats(
             out["kept"].append(b" ".join(kept).decode())
         return pd.DataFrame({"id": rows["id"].to_numpy(), **out})
 
-    done = (
-        rows.groupBy("part")
-        .cogroup(flagged.groupBy("part"))
-        .applyInPandas(cut, "id long, n_words long, n_removed long, kept string")
-    )
+    schema = "id long, n_words long, n_removed long, kept string"
+    bucket = F.pmod("tag", F.lit(buckets)).cast("int")
+    changed = known.mapInArrow(touched, rows).withColumn("part", bucket).groupBy("part")
+    changed = changed.cogroup(flagged.groupBy("part")).applyInPandas(cut, schema)
+    done = map_batches(known, whole, schema).unionByName(changed)
     back = F.when(F.col("id") != least, F.col("id")).cast(docs.schema[id_col].dataType)
     return done.select(back.alias(id_col), "n_words", "n_removed", "kept")
+
