@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postpulse.sources import materialise
 
-from .words import WordHashes, map_batches, mixed, texts_of, window_hashes
+from .words import hash_texts, map_batches, mixed, texts_of, window_hashes
 
 # Positions that count, of a window; what is between them is ignored.
 MASKS = (
@@ -29,26 +29,28 @@ AROUND = 48  # words that a hit takes along on either side
 BLOOM_BITS = 23
 COST = 2
 ENOUGH, SHARE = 10, 0.8  # words that must match: so many, or this share of a short item
-STRIPPED = b".,;:!?\"'()[]"
-
+DOCS_AT_ONCE = 250
+MARKS = b".,;:!?\"'()[]"
+PLAIN = bytes.maketrans(
+    bytes(range(65, 91)) + MARKS, bytes(range(97, 123)) + b" " * len(MARKS)
+)
 
-class PlainWords(WordHashes):
-    """Hashes of words without case (A-Z) and marks at either end."""
 
-    def __missing__(self, word: bytes) -> int:
-        value = super().__missing__(word.lower().strip(STRIPPED))
-        self[word] = value
-        return value
+def plain_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words without case (A-Z), split at marks too, and the text of each."""
+    return hash_texts([text.translate(PLAIN) for text in texts])
 
 
-def seeds(words: np.ndarray, short: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, start) of all windows under all masks, and of `short` whole windows."""
+def seeds(words: np.ndarray, doc: np.ndarray, short: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word) of all windows inside a text, under all masks; of `short` whole
+    windows too."""
     hashes, starts = [], []
     for number, mask in enumerate((*MASKS, *(tuple(range(n)) for n in short))):
         found = window_hashes(words, list(mask))
-        salt = number if number < len(MASKS) else -len(mask)
-        hashes.append(mixed(found + np.uint64(salt % (1 << 64))))
-        starts.append(np.arange(len(found), dtype=np.int32))
+        at = np.flatnonzero(doc[: len(found)] == doc[mask[-1] :][: len(found)])
+        salt = number if number < len(MASKS) else 100 + len(mask)
+        hashes.append(mixed(found[at] + np.uint64(salt)))
+        starts.append(at)
     return np.concatenate(hashes), np.concatenate(starts)
 
 
@@ -56,15 +58,14 @@ def items(benchmark: DataFrame, id_col: str = "item_id", text: str = "text") ->
     """One row per usable benchmark item: item, n (words), words and seeds."""
 
     def rows(batches):
-        plain = PlainWords()
         for batch in batches:
             out = {k: [] for k in ("item", "n", "words", "seeds")}
             for item, one in zip(batch.column(0).to_pylist(), texts_of(batch, text), strict=True):
-                words = plain.of(one.split())
+                words, doc = plain_words([one])
                 if len(words) < SHORTEST_ITEM:
                     continue
                 short = [len(words)] if len(words) < FULL_MASK else []
-                hashes, starts = seeds(words, short)
+                hashes, starts = seeds(words, doc, short)
                 out["item"].append(item)
                 out["n"].append(len(words))
                 out["words"].append(words.tobytes())
@@ -110,36 +111,39 @@ def hits(texts: DataFrame, marks: np.ndarray, short: list[int]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(marks))
     widest = max(mask[-1] + 1 for mask in MASKS)
 
+    def stretches(batch, known):
+        out = {k: [] for k in ("tag", "check", "start", "words", "seeds")}
+        tags, checks = (batch.column(k).to_pylist() for k in (0, 1))
+        words, doc = plain_words(texts_of(batch))
+        hashes, starts = seeds(words, doc, short)
+        first, second = _bloom_cells(hashes)
+        at = np.flatnonzero(known[first])
+        at = at[known[second[at]]]
+        at = at[np.argsort(starts[at], kind="stable")]
+        place = starts[at]
+        far = np.diff(place) > 2 * AROUND + widest
+        for group in np.split(at, np.flatnonzero(far | (np.diff(doc[place]) > 0)) + 1):
+            if not len(group):
+                continue
+            own = int(doc[starts[group[0]]])
+            low, high = np.searchsorted(doc, [own, own + 1])
+            begin = max(low, starts[group[0]] - AROUND)
+            end = min(high, starts[group[-1]] + widest + AROUND)
+            pairs = zip(
+                hashes[group].view(np.int64).tolist(), (starts[group] - begin).tolist(), strict=True
+            )
+            out["tag"].append(tags[own])
+            out["check"].append(checks[own])
+            out["start"].append(int(begin - low))
+            out["words"].append(words[begin:end].tobytes())
+            out["seeds"].append([{"hash": h, "at": a} for h, a in pairs])
+        return out
+
     def rows(batches):
-        plain, known = PlainWords(), np.unpackbits(shared.value).view(bool)
+        known = np.unpackbits(shared.value).view(bool)
         for batch in batches:
-            out = {k: [] for k in ("tag", "check", "start", "words", "seeds")}
-            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-            for (tag, check), one in zip(keys, texts_of(batch), strict=True):
-                words = plain.of(one.split())
-                hashes, starts = seeds(words, short)
-                first, second = _bloom_cells(hashes)
-                at = np.flatnonzero(known[first])
-                at = at[known[second[at]]]
-                if not len(at):
-                    continue
-                at = at[np.argsort(starts[at], kind="stable")]
-                place = starts[at]
-                breaks = np.flatnonzero(np.diff(place) > 2 * AROUND + widest) + 1
-                for group in np.split(at, breaks):
-                    begin = max(0, int(starts[group[0]]) - AROUND)
-                    end = int(starts[group[-1]]) + widest + AROUND
-                    pairs = zip(
-                        hashes[group].view(np.int64).tolist(),
-                        (starts[group] - begin).tolist(),
-                        strict=True,
-                    )
-                    out["tag"].append(tag)
-                    out["check"].append(check)
-                    out["start"].append(begin)
-                    out["words"].append(words[begin:end].tobytes())
-                    out["seeds"].append([{"hash": h, "at": a} for h, a in pairs])
-            yield out
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                yield stretches(batch.slice(at, DOCS_AT_ONCE), known)
 
     schema = "tag long, check long, start int, words binary, "
     schema += "seeds array<struct<hash: bigint, at: int>>"

@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
 MOST_CACHED = 500_000
@@ -18,19 +17,6 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [b"" if text is None else text for text in column.to_pylist()]
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered for the words met last."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MOST_CACHED:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads each 64-bit value over all bits (finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -43,10 +29,11 @@ def window_hashes(hashes: np.ndarray, offsets: list[int]) -> np.ndarray:
     n = len(hashes) - offsets[-1]
     if n <= 0:
         return np.empty(0, np.uint64)
+    factors = mixed(np.arange(1, len(offsets) + 1, dtype=np.uint64)) | np.uint64(1)
     total = np.zeros(n, np.uint64)
-    for k in offsets:
-        total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n])
-    return total
+    for at, factor in zip(offsets, factors, strict=True):
+        total += hashes[at : at + n] * factor
+    return mixed(total)
 
 
 def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
