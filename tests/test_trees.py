@@ -279,3 +279,25 @@ def test_grid(spark, data):
     assert trees.params_table(spark, found.best_params).count() == 4
     resolved = {r["param"] for r in trees.resolved_params(spark, found.best.model).collect()}
     assert {"numTrees", "maxDepth"} <= resolved
+
+
+def printed(rules, depth=0):
+    """The published form of nested rules."""
+    bar = f"{'|   ' * depth}|--- "
+    if isinstance(rules, str):
+        return [f"{bar}class: {rules}"]
+    index, threshold, low, high = rules
+    return [
+        f"{bar}feature_{index} <= {threshold:.2f}", *printed(low, depth + 1),
+        f"{bar}feature_{index} >  {threshold:.2f}", *printed(high, depth + 1),
+    ]
+
+
+def test_printed_rules_are_read_back(fit):
+    assert trees.read_rules("\n".join(printed(INTERACTION_TREE))) == INTERACTION_TREE
+    whole = trees.read_rules(trees.tree_text(fit.tree, fit.labels, max_depth=99))
+    assert leaves_of(whole) == len(fit.tree.leaves())
+    cut = trees.read_rules(trees.tree_text(fit.tree, fit.labels, max_depth=1))
+    assert "unknown" in str(cut) and leaves_of(cut) < leaves_of(whole)
+    with pytest.raises(ValueError, match="expected"):
+        trees.read_rules("|--- feature_0 <= 1.00\n|   |--- class: a\n|--- feature_1 >  1.00\n|   |--- class: b")
