@@ -128,8 +128,10 @@ def _places(narrow: DataFrame, rows: DataFrame, bucket_rows: int) -> DataFrame:
     while bucket_rows * 16**digits < n:
         digits += 1
     bucket = F.substring("_key", 1, digits)
-    cells = narrow.withColumn("_bucket", bucket)
-    sums = cells.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
+    # Source and bucket in one string: the sums and the join share one shuffle of the rows.
+    cell = F.concat(bucket, F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
+    cells = narrow.withColumns({"_bucket": bucket, "_cell": cell})
+    sums = cells.groupBy("source", "_bucket", "_cell").agg(F.sum("size").alias("_sum"))
     so_far = Window.partitionBy("source").orderBy("_bucket")
     starts = sums.withColumn("_before", F.sum("_sum").over(so_far) - F.col("_sum"))
     sizes = sums.groupBy("source").agg(F.sum("_sum").alias("source_size"))
@@ -139,16 +141,13 @@ def _places(narrow: DataFrame, rows: DataFrame, bucket_rows: int) -> DataFrame:
     plan = starts.join(
         wanted.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))
     ).select(
-        F.col("source").alias("_s"), F.col("_bucket").alias("_b"), "_before",
-        "source_size", "target", "slope",
+        "_cell", "_before", "source_size", "target", "slope",
     )
-    inside = Window.partitionBy("source", "_bucket").orderBy("_key", "size", "_text")
+    inside = Window.partitionBy("_cell").orderBy("_key", "size", "_text")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumn("_bucket", bucket)
+    local = rows.withColumn("_cell", cell)
     local = local.withColumn("_local", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    joined = local.join(
-        plan, (F.col("_bucket") == F.col("_b")) & F.col("source").eqNullSafe(F.col("_s"))
-    )
+    joined = local.join(plan, "_cell")
     place = F.col("_before") + F.col("_local")
     whole = F.floor("target")
 
