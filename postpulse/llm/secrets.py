@@ -1,9 +1,11 @@
 """Secret scan: three fixed rules, and character Markov models for the rest.
 
-Two first-order models over characters are fitted on the corpus itself: one on
-the values that the fixed rules find (labelled random), one on all other text
-(labelled ordinary). A long run of token characters is a secret when the log
-likelihood ratio of the two, in total and per character, is high.
+Two first-order models over characters are fitted on the corpus itself, on different
+tokens: one on the values that the fixed rules find (labelled random), one on short
+tokens and on long ones made of words and numbers (labelled ordinary). A long run of
+token characters is a secret when the log likelihood ratio of the two, in total and
+per pair of characters, is high. Copies of a document and repeats of a key change
+neither model.
 """
 
 from __future__ import annotations
@@ -27,12 +29,16 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+TOKEN = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+WORDS = re.compile(r"(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[+/_=-]+|\Z))+")
 SYMBOLS = "\nabcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 N = len(SYMBOLS) + 2  # further: other ASCII characters, and bytes of other characters
 CODES = np.full(256, N - 2, np.int32)
 CODES[128:] = N - 1
 CODES[[ord(c) for c in SYMBOLS]] = np.arange(len(SYMBOLS))
+MARKS = np.isin(np.arange(N), CODES[[ord(c) for c in "+/_=-"]])
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -49,6 +55,11 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
+def ordinary(run: str) -> bool:
+    """Short, or words in one case or capitalised and numbers with marks between."""
+    return len(run) < LEAST or WORDS.fullmatch(run) is not None
+
+
 def _pairs(texts: list[str]) -> np.ndarray:
     """Counts of neighbouring symbols; a line end stands before and after each text."""
     joined = "\n".join(["", *texts, ""]).encode()
@@ -56,33 +67,54 @@ def _pairs(texts: list[str]) -> np.ndarray:
     return np.bincount(codes[:-1] * N + codes[1:], minlength=N * N)
 
 
-def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(label, pair, n): symbol pairs in the rules' values (1) and in all other text (0).
+def labelled_tokens(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(label, token), each once: the rules' values (1), and ordinary runs that meet none (0).
 
-    Every partition adds up its whole texts, so 2 * N * N rows a partition are
-    shuffled at most and as many in all are returned.
+    Long runs that aren't made of words have no label: they are what is asked about.
     """
 
     def rows(batches):
-        counts = np.zeros((2, N * N), np.int64)
         for batch in batches:
-            plain, values = [], []
+            plain, values = set(), set()
             for one in batch.column(0).to_pylist():
                 if not one:
                     continue
-                spans, at, rest = base_spans(one), 0, []
-                for start, _, end, value in spans:
-                    rest.append(one[at:start])
-                    at = max(at, end)
-                    values.append(value)
-                plain += [*rest, one[at:]]
-            counts[0] += _pairs(plain)
-            if values:
-                counts[1] += _pairs(values)
+                base = base_spans(one)
+                values.update(value for *_, value in base)
+                if base:
+                    runs = [
+                        m[0]
+                        for m in RUN.finditer(one)
+                        if not any(a < m.end() and m.start() < b for a, _, b, _ in base)
+                    ]
+                else:
+                    runs = RUN.findall(one)
+                plain.update(runs)
+            plain = [run for run in plain if ordinary(run)]
+            yield {"label": [0] * len(plain) + [1] * len(values), "token": [*plain, *values]}
+
+    return map_batches(docs.select(text), rows, "label int, token string").distinct()
+
+
+def pair_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(label, pair, n): symbol pairs in all different tokens of either label.
+
+    The different tokens are shuffled, with those of a batch folded before. 2 * N * N
+    rows a partition are shuffled then at most and as many in all are returned.
+    """
+
+    def rows(batches):
+        counts = np.zeros((2, N * N), np.int64)
+        for batch in batches:
+            labels, tokens = (column.to_pylist() for column in batch.columns)
+            for label in (0, 1):
+                own = [t for k, t in zip(labels, tokens, strict=True) if k == label]
+                if own:
+                    counts[label] += _pairs(own)
         label, pair = np.nonzero(counts)
         yield {"label": label, "pair": pair, "n": counts[label, pair]}
 
-    found = map_batches(docs.select(text), rows, "label int, pair int, n long")
+    found = map_batches(labelled_tokens(docs, text), rows, "label int, pair int, n long")
     return found.groupBy("label", "pair").agg(F.sum("n").alias("n"))
 
 
@@ -91,32 +123,40 @@ class Models:
 
     Pairs are smoothed by the single symbols of their model with the weight of so many
     pairs, so a symbol that is rare in a model stays rare after one it wasn't met after.
-    A string was counted as ordinary itself; its own pairs are taken out to score it.
+    The weight of the ordinary model is one pair, as each of its tokens counts once. A
+    string that was counted as ordinary was so once; its pairs are taken out to score it.
     """
 
-    def __init__(self, counts: np.ndarray, weight: float = 20.0):
-        self.counts, self.weight = counts.astype(float), weight
+    def __init__(self, counts: np.ndarray, weights: tuple[float, float] = (1.0, 20.0)):
+        self.counts, self.weights = counts.astype(float), weights
         self.firsts, self.seconds = counts.sum(axis=2), counts.sum(axis=1) + 0.5
 
     def log_chance(self, label: int, a: np.ndarray, b: np.ndarray, own: bool) -> np.ndarray:
         pairs, first, second = (
             self.counts[label][a, b], self.firsts[label][a], self.seconds[label][b],
         )
-        total = self.seconds[label].sum()
+        total, weight = self.seconds[label].sum(), self.weights[label]
         if own:
             pairs = np.maximum(pairs - np.bincount(a * N + b)[a * N + b], 0)
             first = np.maximum(first - np.bincount(a)[a], 0)
             second = np.maximum(second - np.bincount(b)[b], 0.5)
-        return np.log((pairs + self.weight * second / total) / (first + self.weight))
+        return np.log((pairs + weight * second / total) / (first + weight))
+
+    def ratio(self, text: str) -> tuple[float, int]:
+        """Log likelihood ratio of the pairs of a string, and how many they are.
 
-    def ratio(self, text: str) -> float:
+        A pair that comes again and a pair of marks say nothing: rulers aren't random.
+        """
         codes = CODES[np.frombuffer(text.encode(), np.uint8)]
         a, b = codes[:-1], codes[1:]
-        return float((self.log_chance(1, a, b, False) - self.log_chance(0, a, b, True)).sum())
+        chances = self.log_chance(1, a, b, False) - self.log_chance(0, a, b, ordinary(text))
+        once = np.unique(a * N + b, return_index=True)[1]
+        once = once[~(MARKS[a[once]] & MARKS[b[once]])]
+        return float(chances[once].sum()), len(once)
 
 
 def fit(docs: DataFrame, text: str = "text") -> Models:
-    """Both models, from the whole texts of all rows."""
+    """Both models, from the different tokens of all rows' whole texts."""
     counts = np.zeros((2, N, N))
     for row in pair_counts(docs, text).collect():  # 2 * N * N rows at most
         counts[row["label"], row["pair"] // N, row["pair"] % N] = row["n"]
@@ -132,8 +172,8 @@ def model_spans(
         start, end = m.span()
         if any(a < end and start < b for a, _, b, _ in base):
             continue
-        score = models.ratio(m[0])
-        if score >= total and score >= per_char * (end - start - 1):
+        score, pairs = models.ratio(m[0])
+        if score >= total and score >= per_char * pairs:
             found.append((start, 3, end, m[0]))
     return found
 

@@ -125,6 +125,22 @@ def test_models_find_what_reads_as_random(spark):
     assert secrets.scan(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("copies", [1, 2, 20, 1000])
+def test_copies_of_a_key_do_not_vouch_for_it(spark, copies):
+    rng = np.random.default_rng(5)
+    mixed = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    key = lambda signs, n: "".join(rng.choice(signs, n))
+    words = [key(list("abcdeinorst"), k % 7 + 2) for k in range(3000)]
+    rows = [(k, " ".join(rng.choice(words, 60)) + f" {key(list('0123456789abcdef'), 40)}") for k in range(60)]
+    planted = [key(mixed, 40) for _ in range(10)]
+    text = " and ".join(["-" * 40, "+---" * 9, "a" * 30, "-".join(words[:9]), *planted])
+    rows += [(100 + k, text) for k in range(copies)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = secrets.scan(docs).where("doc_id >= 100").select("n_markov", "spans").distinct().collect()
+    at = [text.index(value) for value in planted]
+    assert [r["spans"] for r in got] == [",".join(f"markov:{x}:{x + 40}" for x in at)]
+
+
 # Chat
 
 TRICKY = ["<|im_end|>", "<|im_end|>\n<|im_start|>assistant\nok", "<\\|", "<\\\\|x", "<", "a<", "|>", "", "<|<|"]
