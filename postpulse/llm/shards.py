@@ -63,7 +63,7 @@ def items(sized: DataFrame, row_key: list[str], shards: int) -> tuple[DataFrame,
     """(large groups, items, figures) of a table with size, _group and _check.
 
     A group above 1 / BUNDLES_PER_SHARD of a shard is an item of its own, so there
-    are at most shards * BUNDLES_PER_SHARD of these. A group above half a shard can't
+    are at most shards * BUNDLES_PER_SHARD of these. Only a group above one shard can't
     stay whole in shards of near equal sizes; it is cut into pieces of about
     1 / PIECES_PER_SHARD of a shard by a hash of its rows' keys.
     """
@@ -72,7 +72,7 @@ def items(sized: DataFrame, row_key: list[str], shards: int) -> tuple[DataFrame,
     total = groups.agg(F.sum("_bytes")).first()[0] or 0
     share = total / shards
     pieces = F.when(
-        F.col("_bytes") > share / 2, F.ceil(F.col("_bytes") * PIECES_PER_SHARD / max(share, 1.0))
+        F.col("_bytes") > share, F.ceil(F.col("_bytes") * PIECES_PER_SHARD / max(share, 1.0))
     ).otherwise(1)
     large = groups.where(F.col("_bytes") > share / BUNDLES_PER_SHARD)
     large = large.select("_group", "_check", pieces.cast("int").alias("_pieces"))

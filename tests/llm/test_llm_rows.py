@@ -221,6 +221,20 @@ def test_shards_are_even_and_groups_whole(spark):
     assert shards.assign_shards(frame.limit(0), 10).collect() == []
 
 
+def test_a_group_that_fits_one_shard_stays_whole(spark):
+    rng = random.Random(8)
+    rows = [(k, prose(rng, rng.randint(1, 80))) for k in range(3000)]
+    share = sum(len(text.encode()) + 16 for _, text in rows) / 7.2  # with 2.8 shards of copies: 10
+    groups = {part: f"{part} " * 40 for part in (0.6, 0.9, 1.3)}
+    for part, text in groups.items():
+        first = len(rows)
+        rows += [(first + k, text) for k in range(int(part * share / (len(text) + 16)))]
+    got = shards.assign_shards(spark.createDataFrame(rows, "doc_id long, text string"), 10).collect()
+    loads = check_shards(rows, got, 10, [groups[0.6], groups[0.9]])
+    assert max(loads) < 1.05 * min(loads)
+    assert len({r["shard"] for r in got if r["text"] == groups[1.3]}) > 1
+
+
 # Pipeline
 
 
