@@ -4,7 +4,8 @@ The character-class and common-word histograms of each document are held against
 those of its language, gathered over all documents of that language that pass the
 base rules. A document whose Jensen-Shannon distance from either is too large is
 rejected, if it is long enough for its histogram to say something. What a short text's
-histogram differs by chance is taken off first.
+histogram differs by chance is taken off first; as that is much with a slot for each
+common word, the common words are also compared in a few bands.
 """
 
 from __future__ import annotations
@@ -40,6 +41,7 @@ COMMON = {
 }
 ALL_COMMON = sorted({word for words in COMMON.values() for word in words})
 SLOTS = max(map(len, COMMON.values())) + 1
+BANDS = 3  # of common words, with about as many uses in each
 
 # Guards and limits of the verdict.
 CHARS_FROM, MOST_CHAR_DISTANCE = 200, 0.26
@@ -139,14 +141,43 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFram
     )
     others = F.col("n_words").cast("int") - F.aggregate("_found", F.lit(0), lambda a, b: a + b)
     return third.withColumns(
-        {"base_failed": failed, "_found": F.concat("_found", F.array(others))}
+        {"base_failed": failed, "_found": F.concat(F.array(others), "_found")}
     ).drop("_words", "_length", "_lines", "_windows", "_common", *[f"_{name}" for name in CLASSES])
 
 
+def bands(reference: Column) -> Column:
+    """Band of each slot: common words from the most to the least used; the others, first, are last."""
+    own = F.transform(reference, lambda n, i: F.struct(n.alias("n"), (-i).alias("i")))
+    words = F.slice(own, 2, F.size(own) - 1)
+
+    def uses(every):
+        return F.aggregate(every, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+
+    def band(word):
+        before = uses(F.filter(words, lambda x: x > word))
+        return F.least(F.floor(BANDS * before / F.greatest(uses(words), F.lit(1))), F.lit(BANDS - 1))
+
+    return F.concat(F.array(F.lit(BANDS)), F.transform(words, lambda x: band(x).cast("int")))
+
+
+def in_bands(counts: Column, of: Column) -> Column:
+    """The histogram with one slot per band; lists of fewer words have fewer slots."""
+    slots = F.arrays_zip(counts.alias("n"), of.alias("band"))
+
+    def summed(band):
+        same = F.filter(slots, lambda x: x["band"] == band)
+        return F.aggregate(
+            same, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["n"], F.lit(0))
+        )
+
+    return F.array(*[summed(band) for band in range(BANDS + 1)])
+
+
 def references(measured: DataFrame) -> DataFrame:
     """Both histograms summed over the documents of each language that pass the base rules.
 
-    One row per language of `COMMON`, and one for all others: five rows at most.
+    One row per language of `COMMON`, and one for all others: five rows at most, with
+    the bands of the words.
     """
 
     def summed(name, slots):
@@ -159,6 +190,7 @@ def references(measured: DataFrame) -> DataFrame:
             summed("_chars", len(CLASSES) + 1).alias("_ref_chars"),
             summed("_found", SLOTS).alias("_ref_found"),
         )
+        .withColumn("_bands", bands(F.col("_ref_found")))
     )
 
 
@@ -197,6 +229,8 @@ def beyond_chance(found: Column, counts: Column) -> Column:
 def judge(measured: DataFrame) -> DataFrame:
     """`measured` with char_distance, word_distance (beyond chance) and kept.
 
+    The word distance is the larger of those by single words and by bands of words.
+
     Null text counts as empty and fails for its length. A language that isn't in
     `COMMON`, null included, is held against all such documents together. The
     distances of texts under the guards' lengths are given and don't count.
@@ -208,14 +242,19 @@ def judge(measured: DataFrame) -> DataFrame:
     chars = beyond_chance(chars, F.col("_chars"))
     words = distance(F.col("_found"), F.col("_ref_found"))
     words = beyond_chance(words, F.col("_found"))
+    few, ref_few = (in_bands(F.col(c), F.col("_bands")) for c in ("_found", "_ref_found"))
+    joined = joined.withColumns({"_few": few, "_ref_few": ref_few})
+    banded = distance(F.col("_few"), F.col("_ref_few"))
+    words = F.greatest(words, beyond_chance(banded, F.col("_few")))
     judged = joined.withColumns({"char_distance": chars, "word_distance": words})
     far = (
         (F.col("word_chars") >= CHARS_FROM) & (F.col("char_distance") > MOST_CHAR_DISTANCE)
     ) | ((F.col("n_words") >= WORDS_FROM) & (F.col("word_distance") > MOST_WORD_DISTANCE))
     kept = ~F.col("base_failed") & ~F.coalesce(far, F.lit(False))
     return judged.withColumn("kept", kept).drop(
-        "_of", "_ref_chars", "_ref_found", "_language", "_chars", "_found"
-    )
+        "_of", "_ref_chars", "_ref_found", "_language", "_chars", "_found",
+        "_bands", "_few", "_ref_few",
+    )
 
 
 def rated(

@@ -150,6 +150,25 @@ def test_base_counts_and_verdicts(spark):
     assert quality.rated(frame.limit(0)).collect() == []
 
 
+def test_texts_of_few_words_without_common_ones_go(spark):
+    rng = random.Random(5)
+    odd = ["".join(rng.choice("abcdeinorst") for _ in range(6)) for _ in range(2000)]
+
+    def text(n, lang):  # a fifth is common, as in the given documents
+        common = quality.COMMON[lang]
+        return " ".join(rng.choice(common) if k % 5 == 0 else rng.choice(odd) for k in range(n))
+
+    langs = [rng.choice(["en", "de"]) for _ in range(300)]
+    rows = [(k, text(rng.randint(30, 300), lang), lang, "s", 0) for k, lang in enumerate(langs)]
+    lengths = [30, 40, 55, 70, 85, 110]
+    for first, sep in ((1000, " "), (2000, " | "), (3000, "\n")):
+        rows += [(first + n, sep.join(rng.sample(odd, n)), rng.choice(["en", "de"]), "s", 0) for n in lengths]
+    rows += [(4000 + n, " ".join(rng.choices(odd, k=n // 5 + 1) * 5), "en", "s", 0) for n in lengths]
+    got = {r["doc_id"]: r for r in quality.rated(spark.createDataFrame(rows, COLUMNS)).collect()}
+    assert [k for k in got if k >= 1000 and got[k]["kept"]] == []
+    assert [k for k in range(300) if not got[k]["kept"]] == []
+
+
 def test_distance_is_jensen_shannon(spark):
     cases = [([1, 1], [1, 1]), ([4, 0], [0, 3]), ([2, 6], [5, 5]), ([0, 0], [1, 1])]
 
