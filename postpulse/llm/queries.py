@@ -7,7 +7,21 @@ from pyspark.sql import functions as F
 
 from postpulse.sources import local_frame, spread
 
-from . import chat, decontaminate, jaccard, lines, mixing, quality, secrets, shards, substrings, tokens
+from . import (
+    chat,
+    decontaminate,
+    jaccard,
+    language,
+    lines,
+    mixing,
+    phrases,
+    quality,
+    repair,
+    secrets,
+    shards,
+    substrings,
+    tokens,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -84,6 +98,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(documents(spark, sf_dir))
 
 
+def op11_hyperdimensional_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    found = language.predict(docs, F.col("doc_id").isNotNull() & ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op12_phrase_quicksort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir).select("text", "lang"))
+
+
+def op13_target_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations", "conv_id"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -97,5 +126,8 @@ QUERIES = {
         op8_best_fit_shards,
         op9_count_min_substrings,
         op10_secret_scan,
+        op11_hyperdimensional_language,
+        op12_phrase_quicksort,
+        op13_target_alignment,
     )
 }

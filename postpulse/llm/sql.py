@@ -118,4 +118,132 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_lines,
 FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN figures USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_curriculum_mix": OP3, "op5_chat_format": OP5, "op6_segment_edit_join": OP6}
+# Phrases of 1 to 4 words by position; every count is a plain GROUP BY.
+OP12 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM listed, range(1, 5) AS sizes(k) WHERE len(w) >= k
+), counts AS (
+  SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30
+), inner_runs AS (
+  SELECT lang, a, k2, unnest(list_transform(range(1, k - k2 + 2), lambda i: array_to_string(w[i : i + k2 - 1], ' '))) AS phrase
+  FROM candidates, range(2, 4) AS sizes(k2) WHERE k2 < k
+), around AS (
+  SELECT lang, phrase, max(a) AS a FROM inner_runs GROUP BY lang, phrase
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN around o USING (lang, phrase)
+  WHERE o.a IS NULL OR 100 * o.a < 80 * c.a
+), cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS head, array_to_string(w[cut + 1 :], ' ') AS tail
+  FROM kept, range(1, 4) AS cuts(cut) WHERE cut < k
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, cut, h.f AS l, t.f AS r, 2000000 * c.a // (h.f + t.f) AS score
+  FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = head
+  JOIN counts t ON t.lang = c.lang AND t.phrase = tail
+), worst AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n,
+  score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+# The grammar as an automaton: after each row the cheapest audit at each place in it.
+OP13 = r"""
+WITH RECURSIVE keyed AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations
+), coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, len(key) + 1),
+        lambda i: [ascii(key[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda crc, b: xor(xor(crc, b) >> 1, 3988292384 * (xor(crc, b) & 1)))) % 20 AS code
+  FROM keyed
+), hurt AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM coded, range(1, 3) AS copies(copy) WHERE code <> 0 AND (copy = 1 OR code = 3)
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(strlen(role)::VARCHAR || ':' || role || text)) AS i,
+    regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS shown
+  FROM hurt
+), seen AS (
+  SELECT *, left(role, 1) AS initial, shown = '' AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    right(shown, 1) NOT IN ('.', '!', '?') AS cut_off,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered
+), turns AS (
+  SELECT *, blank OR again AS gone, NOT blank AND NOT again AND cut_off AS truncated FROM seen
+), faults AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+    count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+), inserts(a, n, b) AS (
+  VALUES ('-', 0, '-'), ('-', 1, 'u'), ('-', 2, 'a'), ('s', 0, 's'), ('s', 1, 'u'), ('s', 2, 'a'),
+    ('u', 0, 'u'), ('u', 1, 'a'), ('u', 2, 'u'), ('a', 0, 'a'), ('a', 1, 'u'), ('a', 2, 'a')
+), steps(b, symbol, c) AS (
+  VALUES ('-', 's', 's'), ('-', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u'),
+    ('-', '', '-'), ('s', '', 's'), ('u', '', 'u'), ('a', '', 'a')
+), ways AS (
+  SELECT conv_id, 0::BIGINT AS i, '-' AS place, {'cost': 0::BIGINT, 'audit': ''} AS way
+  FROM (SELECT DISTINCT conv_id FROM turns)
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, s.c, min({
+    'cost': (w.way.cost + 2 * n + CASE WHEN symbol = '' THEN 3
+      ELSE truncated::INT + CASE WHEN symbol = initial THEN 0 ELSE 2 END END)::BIGINT,
+    'audit': w.way.audit || repeat('I', n) || CASE WHEN symbol = '' THEN 'D' WHEN symbol = initial THEN 'K' ELSE 'R' END})
+  FROM ways w JOIN turns t ON t.conv_id = w.conv_id AND t.i = w.i + 1
+  JOIN inserts ON a = w.place JOIN steps s USING (b)
+  WHERE symbol = '' OR (NOT gone AND (symbol <> 's' OR initial = 's'))
+  GROUP BY w.conv_id, w.i, s.c
+), sizes AS (
+  SELECT conv_id, max(i) AS i FROM turns GROUP BY conv_id
+), chosen AS (
+  SELECT w.conv_id, min({'cost': w.way.cost + 2 * n, 'audit': w.way.audit || repeat('I', n)}) AS way
+  FROM ways w JOIN sizes USING (conv_id, i) JOIN inserts ON a = w.place AND b IN ('-', 'a')
+  GROUP BY w.conv_id
+), edits AS (
+  SELECT conv_id, p, way.audit[p] AS edit,
+    len(regexp_replace(way.audit[1 : p], 'I', '', 'g')) AS i,
+    len(regexp_replace(way.audit[1 : p], 'D', '', 'g')) - len(regexp_replace(way.audit, 'D', '', 'g')) % 2 AS place
+  FROM chosen, LATERAL (SELECT unnest(range(1, len(way.audit) + 1)) AS p)
+), repaired AS (
+  SELECT e.conv_id, sha256(string_agg(
+    CASE WHEN edit = 'K' THEN role WHEN place % 2 = 1 THEN 'user' ELSE 'assistant' END
+      || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS digest
+  FROM edits e LEFT JOIN turns t ON t.conv_id = e.conv_id AND t.i = e.i
+  WHERE edit <> 'D' GROUP BY e.conv_id
+)
+SELECT g.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.cost, 0)::BIGINT AS cost,
+  coalesce(way.audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g LEFT JOIN faults USING (conv_id)
+LEFT JOIN chosen USING (conv_id) LEFT JOIN repaired USING (conv_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_curriculum_mix": OP3,
+    "op5_chat_format": OP5,
+    "op6_segment_edit_join": OP6,
+    "op12_phrase_quicksort": OP12,
+    "op13_target_alignment": OP13,
+}

@@ -87,6 +87,18 @@ def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(first, starts, "right") - 1
 
 
+def portions(sizes: list[int], limit: int) -> Iterator[slice]:
+    """Neighbouring rows of about `limit` bytes in all; a larger row is alone with what went before."""
+    start = total = 0
+    for k, size in enumerate(sizes):
+        total += size
+        if total >= limit:
+            yield slice(start, k + 1)
+            start, total = k + 1, 0
+    if start < len(sizes):
+        yield slice(start, len(sizes))
+
+
 def map_batches(
     df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str
 ) -> DataFrame:
