@@ -27,8 +27,8 @@ from .words import TAKEN, map_batches, mixed, portions
 
 DEPTH = 4
 LEAST = 30
-PORTION_BYTES = 8_000_000
-TASK_ROWS = 400_000
+PORTION_BYTES = 3_000_000
+TASK_ROWS = 250_000
 SKETCH_DEPTH = 2
 FEWEST_BITS, MOST_BITS = 20, 28
 END = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -55,7 +55,7 @@ def words_of(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndar
     if len(gap) and not gap[0]:
         edge = np.concatenate([[0], edge])
     starts, ends = edge[: len(edge) // 2 * 2 : 2], edge[1::2]
-    piece = np.cumsum(ENDS[raw])[starts]
+    piece = np.searchsorted(np.flatnonzero(ENDS[raw]), starts)
     eight = np.ndarray(len(lower) + 1, "<u8", joined, strides=(1,))
     hashes = mixed((ends - starts).astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
     at, left, which = starts, ends - starts, np.arange(len(starts))
@@ -99,7 +99,7 @@ def marked_words(batch: pa.RecordBatch):
         if not len(starts):
             continue
         lines = np.cumsum([text.count(b"\n") + 1 for text in own])
-        line = np.cumsum(np.frombuffer(lower, np.uint8) == 0x0A)[starts]
+        line = np.searchsorted(np.flatnonzero(np.frombuffer(lower, np.uint8) == 0x0A), starts)
         lang = np.array(lang_of[part])[np.searchsorted(lines, line, "right")]
         yield names, lower, starts, ends, mixed(hashes ^ salts[lang]), piece, lang
 
@@ -131,12 +131,12 @@ def suffixes(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, suffix, n): the suffixes that start at a word, equal ones of a portion folded.
 
     A merged count-min sketch tells which pairs of neighbours surely come fewer than
-    `least` times; suffixes end before them. It has 2 cells a word, up to 2 ** MOST_BITS
-    (32 MB of flags a row in driver and tasks); beyond that more pairs pass, and nothing
-    is lost.
+    `least` times; suffixes end before them. It has a cell for every few words, up to
+    2 ** MOST_BITS (32 MB of flags a row in driver and tasks). That tells pairs apart up to
+    some 40 GB of text; beyond that more rare pairs pass, to be found rare when sorted.
     """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(max(int(size // 3).bit_length(), FEWEST_BITS), MOST_BITS)
+    bits = min(max(int(size // 24).bit_length(), FEWEST_BITS), MOST_BITS)
     lists = sketch_lists(texts, _pairs, bits, SKETCH_DEPTH)
     planes = merged_flags(lists, bits, SKETCH_DEPTH, partial(_at_least, least=least), 1)
     planes = texts.sparkSession.sparkContext.broadcast([plane[0] for plane in planes])
