@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from functools import partial
 
 import numpy as np
@@ -28,6 +29,7 @@ from .words import TAKEN, map_batches, mixed, portions
 DEPTH = 4
 LEAST = 30
 PORTION_BYTES = 3_000_000
+HELD_ROWS = 500_000
 TASK_ROWS = 250_000
 SKETCH_DEPTH = 2
 FEWEST_BITS, MOST_BITS = 20, 28
@@ -109,8 +111,9 @@ def pair_hashes(hashes: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.n
     return mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]), piece[:-1] == piece[1:]
 
 
-def _pairs(batch: pa.RecordBatch):
+def _words_and_pairs(batch: pa.RecordBatch):
     for _, _, _, _, hashes, piece, _ in marked_words(batch):
+        yield hashes
         if len(hashes) > 1:
             pair, inside = pair_hashes(hashes, piece)
             yield pair[inside]
@@ -128,40 +131,64 @@ def texts_by_language(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def suffixes(texts: DataFrame, least: int = LEAST) -> DataFrame:
-    """(lang, suffix, n): the suffixes that start at a word, equal ones of a portion folded.
+    """(lang, suffix, n): the suffixes that start at a word, equal ones of a task folded.
 
-    A merged count-min sketch tells which pairs of neighbours surely come fewer than
-    `least` times; suffixes end before them. It has a cell for every few words, up to
-    2 ** MOST_BITS (32 MB of flags a row in driver and tasks). That tells pairs apart up to
-    some 40 GB of text; beyond that more rare pairs pass, to be found rare when sorted.
+    A merged count-min sketch tells which words and pairs of neighbours surely come fewer
+    than `least` times; suffixes end before them, and rare words have none. It has a cell
+    for every few words, up to 2 ** MOST_BITS (32 MB of flags a row in driver and tasks).
+    That tells pairs apart up to some 40 GB of text; beyond that more rare pairs pass, to
+    be found rare when sorted. Rows of empty suffix count rare words.
     """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max(int(size // 24).bit_length(), FEWEST_BITS), MOST_BITS)
-    lists = sketch_lists(texts, _pairs, bits, SKETCH_DEPTH)
+    lists = sketch_lists(texts, _words_and_pairs, bits, SKETCH_DEPTH)
     planes = merged_flags(lists, bits, SKETCH_DEPTH, partial(_at_least, least=least), 1)
     planes = texts.sparkSession.sparkContext.broadcast([plane[0] for plane in planes])
 
+    def frequent(hashes: np.ndarray) -> np.ndarray:
+        found = np.ones(len(hashes), bool)
+        for row, plane in enumerate(planes.value):
+            found &= look_up(plane, cells(hashes, row, bits)) > 0
+        return found
+
+    def of_portion(names, lower, starts, ends, hashes, piece, lang) -> list[tuple]:
+        pair, inside = pair_hashes(hashes, piece)
+        go_on = np.append(inside & frequent(pair), False)
+        key, length, whole = hashes.copy(), np.ones(len(starts), np.int64), go_on.copy()
+        for ahead in range(1, DEPTH):
+            at = np.flatnonzero(whole)
+            key[at] = mixed(key[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + ahead])
+            length[at] += 1
+            whole[at] = go_on[np.minimum(at + ahead, len(go_on) - 1)]
+        useful = go_on | frequent(hashes)
+        used = np.flatnonzero(useful)
+        keys, first, n = np.unique(key[used], return_index=True, return_counts=True)
+        first = used[first]
+        left_out = np.bincount(lang[~useful], minlength=len(names))
+        shown = np.flatnonzero(left_out)
+        salts = np.array([zlib.crc32(names[k].encode()) for k in shown.tolist()], np.uint64)
+        texts = slices(lower, starts[first], ends[first + length[first] - 1])
+        return [
+            (keys, pa.array(names).take(pa.array(lang[first])), texts, n),
+            (salts, pa.array(names).take(pa.array(shown)), pa.array([""] * len(shown)), left_out[shown]),
+        ]
+
+    def folded(held: list[tuple]) -> dict:
+        keys, first, place = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+        n = np.bincount(place, np.concatenate([h[3] for h in held]), len(keys)).astype(np.int64)
+        lang, text = (pa.concat_arrays([h[k] for h in held]).take(pa.array(first)) for k in (1, 2))
+        return {"lang": lang, "suffix": text, "n": n}
+
     def rows(batches):
+        held = []
         for batch in batches:
-            for names, lower, starts, ends, hashes, piece, lang in marked_words(batch):
-                go_on = np.zeros(len(starts), bool)
-                pair, inside = pair_hashes(hashes, piece)
-                for row, plane in enumerate(planes.value):
-                    inside &= look_up(plane, cells(pair, row, bits)) > 0
-                go_on[:-1] = inside
-                key, length, whole = hashes.copy(), np.ones(len(starts), np.int64), go_on.copy()
-                for ahead in range(1, DEPTH):
-                    at = np.flatnonzero(whole)
-                    key[at] = mixed(key[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + ahead])
-                    length[at] += 1
-                    whole[at] = go_on[np.minimum(at + ahead, len(go_on) - 1)]
-                _, first, n = np.unique(key, return_index=True, return_counts=True)
-                a, b = starts[first], ends[first + length[first] - 1]
-                yield {
-                    "lang": pa.array(names).take(pa.array(lang[first])),
-                    "suffix": slices(lower, a, b),
-                    "n": n,
-                }
+            for portion in marked_words(batch):
+                held += of_portion(*portion)
+                if sum(len(h[0]) for h in held) >= HELD_ROWS:
+                    yield folded(held)
+                    held = []
+        if held:
+            yield folded(held)
 
     return map_batches(texts, rows, "lang string, suffix string, n long")
 
@@ -213,8 +240,7 @@ def sorted_counts(found: DataFrame, least: int = LEAST) -> DataFrame:
     """
     found = materialise(found, "suffixes")
     tasks = max(found.count() // TASK_ROWS + 1, found.sparkSession.sparkContext.defaultParallelism)
-    words = F.split("suffix", " ", -1)
-    dealt = found.withColumn("words", words).repartitionByRange(tasks, "lang", "words")
+    dealt = found.repartitionByRange(tasks, "lang", F.split("suffix", " ", -1))
 
     def rows(batches):
         tables = [b for b in batches if b.num_rows]
@@ -231,6 +257,7 @@ def sorted_counts(found: DataFrame, least: int = LEAST) -> DataFrame:
         row = np.repeat(np.arange(table.num_rows), length)
         column = np.arange(len(row)) - np.repeat(np.cumsum(length) - length, length)
         codes[row, column + 1] = code[table.num_rows :]
+        codes[np.asarray(pc.equal(table["suffix"].chunk(0), "")), 1] = 0
         n = table["n"].chunk(0).to_numpy()
         sizes = {}
         for at, depth, size in quicksorted(codes, n, least):
@@ -251,8 +278,7 @@ def sorted_counts(found: DataFrame, least: int = LEAST) -> DataFrame:
             "f": [size for _, size in found],
         }
 
-    narrow = dealt.select("lang", "suffix", "n")
-    parts = map_batches(narrow, rows, "lang string, phrase string, f long")
+    parts = map_batches(dealt, rows, "lang string, phrase string, f long")
     total = parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     return total.where((F.col("f") >= least) | (F.col("phrase") == ""))
 
