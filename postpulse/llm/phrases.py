@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
@@ -106,17 +107,23 @@ def marked_words(batch: pa.RecordBatch):
         yield names, lower, starts, ends, mixed(hashes ^ salts[lang]), piece, lang
 
 
-def pair_hashes(hashes: np.ndarray, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word with the next, and whether the next is in the same piece."""
-    return mixed(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]), piece[:-1] == piece[1:]
+def runs(hashes: np.ndarray, inside: np.ndarray, passes: Callable[[int, np.ndarray], np.ndarray]):
+    """(length, starts, keys) of the runs of two words and more that go on `inside` and pass at each length.
+
+    `inside` tells of each word whether the next one may follow it.
+    """
+    at, key = np.arange(len(hashes)), hashes
+    for ahead in range(1, DEPTH):
+        on = inside[at + ahead - 1]
+        at = at[on]
+        key = mixed(key[on] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + ahead])
+        on = passes(ahead + 1, key)
+        at, key = at[on], key[on]
+        yield ahead + 1, at, key
 
 
-def _words_and_pairs(batch: pa.RecordBatch):
-    for _, _, _, _, hashes, piece, _ in marked_words(batch):
-        yield hashes
-        if len(hashes) > 1:
-            pair, inside = pair_hashes(hashes, piece)
-            yield pair[inside]
+def followed(piece: np.ndarray) -> np.ndarray:
+    return np.append(piece[:-1] == piece[1:], False)
 
 
 def _at_least(counts: np.ndarray, least: int) -> np.ndarray:
@@ -130,47 +137,76 @@ def texts_by_language(docs: DataFrame, text: str, lang: str) -> DataFrame:
     )
 
 
+class Sketch:
+    """Merged counts of hashes, as flags that tell which may come `least` times or more."""
+
+    def __init__(self, texts: DataFrame, hashes_of, bits: int, least: int):
+        self.bits = bits
+        lists = sketch_lists(texts, hashes_of, bits, SKETCH_DEPTH)
+        planes = merged_flags(lists, bits, SKETCH_DEPTH, partial(_at_least, least=least), 1)
+        self.planes = texts.sparkSession.sparkContext.broadcast([plane[0] for plane in planes])
+
+    def may_be_frequent(self, hashes: np.ndarray) -> np.ndarray:
+        found = np.ones(len(hashes), bool)
+        for row, plane in enumerate(self.planes.value):
+            found &= look_up(plane, cells(hashes, row, self.bits)) > 0
+        return found
+
+
 def suffixes(texts: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, suffix, n): the suffixes that start at a word, equal ones of a task folded.
 
-    A merged count-min sketch tells which words and pairs of neighbours surely come fewer
-    than `least` times; suffixes end before them, and rare words have none. It has a cell
-    for every few words, up to 2 ** MOST_BITS (32 MB of flags a row in driver and tasks).
-    That tells pairs apart up to some 40 GB of text; beyond that more rare pairs pass, to
-    be found rare when sorted. Rows of empty suffix count rare words.
+    Two merged count-min sketches, of words and pairs and then of the runs of three and
+    four words all of whose pairs may be frequent, tell which surely come fewer than
+    `least` times. Suffixes end before they get rare, and rare words have none; rows of
+    empty suffix count these. A sketch has a cell for every few words, up to
+    2 ** MOST_BITS (32 MB of flags a row in driver and tasks). That tells runs apart up to
+    some 40 GB of text; beyond that more rare ones pass, to be found rare when sorted.
     """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = min(max(int(size // 24).bit_length(), FEWEST_BITS), MOST_BITS)
-    lists = sketch_lists(texts, _words_and_pairs, bits, SKETCH_DEPTH)
-    planes = merged_flags(lists, bits, SKETCH_DEPTH, partial(_at_least, least=least), 1)
-    planes = texts.sparkSession.sparkContext.broadcast([plane[0] for plane in planes])
 
-    def frequent(hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for row, plane in enumerate(planes.value):
-            found &= look_up(plane, cells(hashes, row, bits)) > 0
-        return found
+    def words_and_pairs(batch):
+        for _, _, _, _, hashes, piece, _ in marked_words(batch):
+            yield hashes
+            yield next(runs(hashes, followed(piece), lambda length, key: np.ones(len(key), bool)))[2]
+
+    short = Sketch(texts, words_and_pairs, bits, least)
+
+    def frequent_pairs(hashes, piece):
+        inside = followed(piece)
+        _, at, key = next(runs(hashes, inside, lambda length, key: short.may_be_frequent(key)))
+        inside[:] = False
+        inside[at] = True
+        return inside
+
+    def longer_runs(batch):
+        for _, _, _, _, hashes, piece, _ in marked_words(batch):
+            inside = frequent_pairs(hashes, piece)
+            for length, _, key in runs(hashes, inside, lambda length, key: np.ones(len(key), bool)):
+                if length > 2:
+                    yield key
+
+    long = Sketch(texts, longer_runs, max(bits - 1, FEWEST_BITS), least)
+
+    def passes(length, key):
+        return np.ones(len(key), bool) if length == 2 else long.may_be_frequent(key)
 
     def of_portion(names, lower, starts, ends, hashes, piece, lang) -> list[tuple]:
-        pair, inside = pair_hashes(hashes, piece)
-        go_on = np.append(inside & frequent(pair), False)
-        key, length, whole = hashes.copy(), np.ones(len(starts), np.int64), go_on.copy()
-        for ahead in range(1, DEPTH):
-            at = np.flatnonzero(whole)
-            key[at] = mixed(key[at] * np.uint64(0x9E3779B97F4A7C15) + hashes[at + ahead])
-            length[at] += 1
-            whole[at] = go_on[np.minimum(at + ahead, len(go_on) - 1)]
-        useful = go_on | frequent(hashes)
+        useful, size, key = short.may_be_frequent(hashes), np.ones(len(starts), np.int64), hashes.copy()
+        for length, at, own in runs(hashes, frequent_pairs(hashes, piece), passes):
+            useful[at], size[at], key[at] = True, length, own
         used = np.flatnonzero(useful)
         keys, first, n = np.unique(key[used], return_index=True, return_counts=True)
         first = used[first]
         left_out = np.bincount(lang[~useful], minlength=len(names))
         shown = np.flatnonzero(left_out)
         salts = np.array([zlib.crc32(names[k].encode()) for k in shown.tolist()], np.uint64)
-        texts = slices(lower, starts[first], ends[first + length[first] - 1])
+        named = pa.array(names, pa.string())
+        texts = slices(lower, starts[first], ends[first + size[first] - 1])
         return [
-            (keys, pa.array(names).take(pa.array(lang[first])), texts, n),
-            (salts, pa.array(names).take(pa.array(shown)), pa.array([""] * len(shown)), left_out[shown]),
+            (keys, named.take(pa.array(lang[first])), texts, n),
+            (salts, named.take(pa.array(shown)), pa.array([""] * len(shown), pa.string()), left_out[shown]),
         ]
 
     def folded(held: list[tuple]) -> dict:
@@ -324,8 +360,9 @@ def collocations(
         joined(F.slice("words", F.col("k") + 1, size)).alias("right"),
     )
     for part, count in (("left", "l"), ("right", "r")):
+        # A part that many phrases share is a skewed key, which an inner join splits at run time.
         side = known.select("lang", F.col("phrase").alias(part), F.col("f").alias(count))
-        cuts = join_by_size(cuts, side, ["lang", part], "inner", ["phrase", "k"])
+        cuts = cuts.join(side, ["lang", part])
     score = F.expr("(cast(a as decimal(38,0)) * 2000000) div (cast(l as decimal(38,0)) + r)")
     worst = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
     scored = cuts.groupBy("lang", "phrase", "a").agg(worst).select("lang", "phrase", "a", "cut.*")
