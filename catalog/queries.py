@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog import standins as s
 from catalog.rules import INTERACTION_TREE
+from postpulse import plans
 from postpulse.functions import (
     META_FEATURES,
     upper_word_list,
@@ -557,14 +558,16 @@ def _features(spark, d):
     return materialise(built, "features")
 
 
-def _training_sets(spark, d):
+def _training_sets(spark, d, ticker=None, targets=training.TARGETS):
+    features = _features(spark, d)
     return training.training_sets(
-        _features(spark, d),
+        features if ticker is None else features.where(F.col("ticker_symbol") == ticker),
         s.explicit_terms(spark),
         s.dictionary(spark, d),
         PER_CLASS,
         WORDS,
         strict=False,
+        targets=targets,
     )
 
 
@@ -596,8 +599,9 @@ def training_samples(spark, d):
     return training.training_samples(_features(spark, d), PER_CLASS, strict=False)
 
 
-def _matrix(spark, d, target):
-    matrix = training.training_matrix(_training_sets(spark, d), target, WORDS)
+def _matrix(spark, d, target, sets=None):
+    sets = _training_sets(spark, d) if sets is None else sets
+    matrix = training.training_matrix(sets, target, WORDS)
     if "polarity" in matrix.columns:
         matrix = matrix.withColumn("polarity", F.round("polarity", 9))
     return matrix
@@ -732,9 +736,30 @@ SHORT_TARGETS = {
 }
 
 
+# The set that a model is fitted on is one ticker's: word columns mean other words for another.
+MODEL_TICKER = s.PRIORITIES[0]
+
+
 def _set(spark, d, target):
-    """The stored training matrix of a target, all tickers: PER_CLASS rows a class and ticker."""
-    return materialise(_matrix(spark, d, target), "set")
+    """The stored training matrix of a target for MODEL_TICKER: PER_CLASS rows a class."""
+    sets = _training_sets(spark, d, MODEL_TICKER, [target])
+    return materialise(_matrix(spark, d, target, sets), "set")
+
+
+@query()
+def set_models(spark, d):
+    """Every ticker and target by itself: rows, leaves and scores of its tree."""
+    found = plans.set_models(_training_sets(spark, d), words=WORDS)
+    rounded = ("accuracy_train", "accuracy_test", "precision", "recall", "f1")
+    return found.withColumns({c: F.round(c, 9) for c in rounded})
+
+
+@query()
+def set_model_rows(spark, d):
+    """Rows that each set's tree was fitted and scored on, by part and label, from its confusions."""
+    cells = plans.set_cells(_training_sets(spark, d), words=WORDS)
+    by = ["ticker_symbol", "target", "part", "truth"]
+    return cells.groupBy(*by).agg(F.sum("cnt").alias("posts"))
 
 
 def _prepared(spark, d, target="interaction_level"):

@@ -679,10 +679,21 @@ ORACLES: dict[str, str] = {
     places AS (SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS above
       FROM (SELECT DISTINCT feature, value FROM tallies))""",
     ),
+    # The first fifth of a set's rows by md5 of seed and id is for scoring.
+    "set_model_rows": training(
+        """SELECT ticker_symbol, target, part, truth, count(*) AS posts FROM (
+        SELECT ticker_symbol, target,
+          CASE target WHEN 'price_change' THEN price_change WHEN 'sentiment' THEN sentiment
+            ELSE interaction_level END AS truth,
+          CASE WHEN row_number() OVER (PARTITION BY target, ticker_symbol ORDER BY md5('42:' || tweet_id), tweet_id)
+              <= ceil(0.2 * count(*) OVER (PARTITION BY target, ticker_symbol)) THEN 'test' ELSE 'train' END AS part
+        FROM matrix) GROUP BY ALL"""
+    ),
     "train_test_rows": training(
         """SELECT 'train' AS part, (count(*) - ceil(0.2 * count(*)))::BIGINT AS posts
-      FROM matrix WHERE target = 'interaction_level'
-      UNION ALL SELECT 'test', ceil(0.2 * count(*))::BIGINT FROM matrix WHERE target = 'interaction_level'"""
+      FROM matrix WHERE target = 'interaction_level' AND ticker_symbol = '1-URGENT'
+      UNION ALL SELECT 'test', ceil(0.2 * count(*))::BIGINT FROM matrix
+      WHERE target = 'interaction_level' AND ticker_symbol = '1-URGENT'"""
     ),
     "feature_table": with_(
         PIPELINE,

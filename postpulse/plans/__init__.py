@@ -1,6 +1,7 @@
 """End-to-end plans: feature table, training sets, training matrices."""
 
 from postpulse.plans.exploration import Exploration
+from postpulse.plans.models import set_cells, set_models
 from postpulse.plans.training import (
     TARGETS,
     feature_columns,
@@ -18,6 +19,8 @@ __all__ = [
     "feature_columns",
     "feature_table",
     "label_posts",
+    "set_cells",
+    "set_models",
     "training_matrix",
     "training_samples",
     "training_sets",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,6 +75,7 @@ def training_samples(
     n: int | Mapping[tuple, int] = ROWS_PER_CLASS,
     strict: bool = True,
     seed: int | str = 42,
+    targets: Sequence[str] = TARGETS,
 ) -> DataFrame:
     """(tweet_id, target): an equal random number of posts per ticker and class.
 
@@ -82,7 +83,7 @@ def training_samples(
     given as a mapping is keyed by (target, ticker_symbol, class).
     """
     labels = F.array(
-        *[F.struct(F.lit(t).alias("target"), F.col(t).alias("label")) for t in TARGETS]
+        *[F.struct(F.lit(t).alias("target"), F.col(t).alias("label")) for t in targets]
     )
     entries = features.select("tweet_id", "ticker_symbol", F.explode(labels).alias("e"))
     entries = entries.select("tweet_id", "ticker_symbol", "e.*")
@@ -100,6 +101,7 @@ def training_sets(
     words: int = WORDS,
     strict: bool = True,
     seed: int | str = 42,
+    targets: Sequence[str] = TARGETS,
 ) -> DataFrame:
     """All (ticker, target) training sets as one table, keyed by `target`.
 
@@ -107,7 +109,7 @@ def training_sets(
     the slow features and words are then worked out for sampled posts only,
     once per post even when several targets picked it.
     """
-    picked = materialise(training_samples(features, n, strict, seed), "picked")
+    picked = materialise(training_samples(features, n, strict, seed, targets), "picked")
     ids = picked.select("tweet_id").distinct()
     sampled = join_by_size(features, ids, ["tweet_id"], "left_semi", ["tweet_id"])
     slow = add_slow_features(sampled, terms, dictionary)
