@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from postpulse.functions.text import (
 )
 from postpulse.operators.joins import fits_broadcast, join_by_size
 
-# Word lists up to this many entries become a literal in the plan. Longer ones are
-# joined, with the same answers.
+# Word lists up to this many entries become a constant in the plan (`small_lookup`).
+# Longer ones are joined, with the same answers.
 LITERAL_TERMS = 10_000
 # Fixed value: a word of this form is a number and is not looked up.
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
@@ -43,9 +44,36 @@ def add_word_count(df: DataFrame, body: str = "body") -> DataFrame:
     return df.withColumn("word_count", count_tokens(F.col(body)))
 
 
-def _small_term_list(terms: DataFrame, limit: int) -> list[str] | None:
-    rows = terms.select("term").distinct().limit(limit + 1).collect()
-    return sorted(row["term"] for row in rows) if len(rows) <= limit else None
+def small_lookup(
+    table: DataFrame, fields: str, limit: int = LITERAL_TERMS
+) -> Callable[[Column], Column] | None:
+    """A table of up to `limit` terms as a constant: a function from a word to its row or null.
+
+    `fields` is the schema of the columns besides `term`, and a term has one row. The
+    constant is an array of small buckets by hash of the term, so a word costs one hash
+    and a look at a row or two, however many terms there are. None if there are more.
+    """
+    names = [field.split(" ")[0] for field in fields.split(", ") if field]
+    rows = table.select("term", *names, F.xxhash64("term").alias("_hash")).limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
+    size = max(2 * len(rows), 1)
+    buckets: list[list] = [[] for _ in range(size)]
+    for row in rows:
+        buckets[row["_hash"] % size].append({name: row[name] for name in ("term", *names)})
+    row_type = f"struct<term:string{''.join(', ' + f.replace(' ', ':', 1) for f in fields.split(', ') if f)}>"
+    constant = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), f"array<array<{row_type}>>")
+
+    def row_of(word: Column) -> Column:
+        bucket = F.get(constant, F.pmod(F.xxhash64(word), F.lit(size)).cast("int"))
+        return F.get(F.filter(bucket, lambda row: row["term"] == word), F.lit(0))
+
+    return row_of
+
+
+def _terms(terms: DataFrame, term: Column) -> DataFrame:
+    """Different entries; a NULL one is no entry."""
+    return terms.select(term.alias("term")).where(F.col("term").isNotNull()).distinct()
 
 
 def explicit_flag(
@@ -60,35 +88,29 @@ def explicit_flag(
     """Add `isExplicit`: 1 when a word token of the body equals an entry.
 
     Matching is case-sensitive, and an entry with a space in it never matches,
-    unless `case_insensitive` or `phrases` asks for more; `phrases` looks a
-    multi-word entry up as consecutive tokens. A list of up to `limit` entries
-    is a literal in the plan and the flag a row expression. A longer list is
-    joined to the distinct tokens instead.
+    unless `case_insensitive` or `phrases` asks for more; `phrases` looks runs of
+    as many tokens up as some entry has words. NULL entries are left out. A list of
+    up to `limit` entries is a constant in the plan and the flag a row expression. A
+    longer list is joined to the distinct tokens instead.
     """
-    if case_insensitive:
-        terms = terms.select(F.lower("term").alias("term"))
+    terms = _terms(terms, F.lower("term") if case_insensitive else F.col("term"))
     text = F.lower(body) if case_insensitive else F.col(body)
     tokens = word_tokens(text)
-    listed = _small_term_list(terms, limit)
-    if listed is not None:
-        # Split at a character no entry holds: one literal, folded once.
-        entries = F.split(F.lit("\n".join(listed)), "\n") if listed else F.array()
-        hit = F.arrays_overlap(tokens, entries) if listed else F.lit(False)
-        if phrases:
-            padded = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
-            for phrase in (entry for entry in listed if " " in entry):
-                hit = hit | F.contains(padded, F.lit(f" {phrase} "))
-        return df.withColumn("isExplicit", F.coalesce(hit, F.lit(False)).cast("int"))
     looked_up = [tokens]
     if phrases:
-        # Runs of as many tokens as some entry has words.
         sizes = terms.select(F.size(F.split("term", " ")).alias("n")).where("n > 1").distinct()
         looked_up += [_runs(tokens, row["n"]) for row in sizes.collect()]
+    row_of = small_lookup(terms, "", limit)
+    if row_of is not None:
+        hit = F.lit(False)
+        for words_or_runs in looked_up:
+            hit = hit | F.exists(words_or_runs, lambda word: row_of(word).isNotNull())
+        return df.withColumn("isExplicit", F.coalesce(hit, F.lit(False)).cast("int"))
     every = F.array_distinct(F.concat(*looked_up))
     marked = df.withColumn("_text", F.xxhash64(body))
     found = marked.select(key, "_text", F.explode(every).alias("term"))
     hits = (
-        join_by_size(found, terms.select("term").distinct(), ["term"], "left_semi", [key])
+        join_by_size(found, terms, ["term"], "left_semi", [key])
         .select(key, "_text")
         .distinct()
         .withColumn("isExplicit", F.lit(1))
@@ -145,7 +167,7 @@ def unknown_terms(
     Numbers and single punctuation signs are not looked up.
     """
     looked_up = df.select(key, F.explode(_spelled(body)).alias("term"))
-    entries = dictionary.select(F.lower("term").alias("term")).distinct()
+    entries = _terms(dictionary, F.lower("term"))
     return join_by_size(looked_up, entries, ["term"], "left_anti", [key])
 
 
@@ -158,16 +180,16 @@ def unknown_words(
 ) -> DataFrame:
     """Add `typo`: how many distinct words of the row the dictionary lacks.
 
-    A dictionary of up to `limit` words is a literal in the plan, and the count a row
-    expression. A longer one is joined to the words: those of a row lie in one task, so
+    A dictionary of up to `limit` words is a constant in the plan, and the count a row
+    expression. NULL words are left out. A longer one is joined to the words: those of a row lie in one task, so
     counting them folds to one row per post before anything is shuffled.
     """
-    listed = _small_term_list(dictionary.select(F.lower("term").alias("term")), limit)
-    if listed is not None:
-        lacking = F.filter(_spelled(body), lambda word: ~word.isin(listed))
+    entries = _terms(dictionary, F.lower("term"))
+    row_of = small_lookup(entries, "", limit)
+    if row_of is not None:
+        lacking = F.filter(_spelled(body), lambda word: row_of(word).isNull())
         return df.withColumn("typo", F.coalesce(F.size(lacking), F.lit(0)))
     marked = df.withColumn("_text", F.xxhash64(body))
-    entries = dictionary.select(F.lower("term").alias("term")).distinct()
     looked_up = marked.select(key, "_text", F.explode(_spelled(body)).alias("term")).distinct()
     counts = (
         join_by_size(looked_up, entries, ["term"], "left_anti", [key])
@@ -194,30 +216,34 @@ def _weighted(polarity: Column, boost: Column, negated: Column) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value))
 
 
-def _row_polarity(tokens: Column, lexicon: list) -> Column:
-    """`lexicon_polarity` of a token array, the lexicon's rows as literals."""
-    values = {r["term"]: r["polarity"] for r in lexicon if r["polarity"] is not None}
-    shifts = [r for r in lexicon if r["polarity"] is None]
-    boosts = {r["term"]: r["intensity"] for r in shifts if r["intensity"] is not None}
-    negators = [r["term"] for r in shifts if r["negator"]]
+def folded_lexicon(lexicon: DataFrame) -> DataFrame:
+    """(term, polarity, boost, negates), one row a term: means of what its rows say.
+
+    A row with a polarity gives a value; one without may give an intensity, or negate.
+    Rows of NULL term are left out.
+    """
+    shifts = F.col("polarity").isNull()
+    return lexicon.where(F.col("term").isNotNull()).groupBy("term").agg(
+        F.avg(F.col("polarity").cast("double")).alias("polarity"),
+        F.avg(F.when(shifts, F.col("intensity").cast("double"))).alias("boost"),
+        F.coalesce(F.bool_or(shifts & F.col("negator")), F.lit(False)).alias("negates"),
+    )
 
-    def table(entries: dict) -> Column:
-        pairs = [F.struct(F.lit(k), F.lit(float(v))) for k, v in entries.items()]
-        none = F.from_json(F.lit("{}"), "map<string,double>")
-        return F.map_from_entries(F.array(*pairs)) if pairs else none
 
-    def negates(word: Column) -> Column:
-        return F.coalesce(word.isin(negators), F.lit(False)) if negators else F.lit(False)
+def _row_polarity(tokens: Column, row_of: Callable[[Column], Column]) -> Column:
+    """`lexicon_polarity` of a token array, the lexicon's rows looked up in a constant."""
 
-    def value(every: Column, i: Column) -> Column:
-        before, second = F.get(every, i - 1), F.get(every, i - 2)
-        boost = F.when(before.isNotNull(), F.try_element_at(table(boosts), before))
-        negated = negates(before) | (boost.isNotNull() & negates(second))
-        polarity = F.try_element_at(table(values), F.get(every, i))
+    def value(rows: Column, i: Column) -> Column:
+        before, second = F.get(rows, i - 1), F.get(rows, i - 2)
+        boost = before["boost"]
+        negated = F.coalesce(before["negates"], F.lit(False)) | (
+            boost.isNotNull() & F.coalesce(second["negates"], F.lit(False))
+        )
+        polarity = F.get(rows, i)["polarity"]
         return F.when(polarity.isNotNull(), _weighted(polarity, boost, negated))
 
-    def mean(every: Column) -> Column:
-        found = F.transform(every, lambda word, i: value(every, i))
+    def mean(rows: Column) -> Column:
+        found = F.transform(rows, lambda row, i: value(rows, i))
         found = F.filter(found, lambda x: x.isNotNull())
         return F.aggregate(
             found,
@@ -228,8 +254,8 @@ def _row_polarity(tokens: Column, lexicon: list) -> Column:
             lambda so_far: F.when(so_far["n"] > 0, so_far["sum"] / so_far["n"]),
         )
 
-    # As the element of an array the tokens are split once, not at each look-up.
-    return F.get(F.transform(F.array(tokens), mean), F.lit(0))
+    # As the element of an array the words are looked up once, not at each neighbour's turn.
+    return F.get(F.transform(F.array(F.transform(tokens, row_of)), mean), F.lit(0))
 
 
 def lexicon_polarity(
@@ -241,19 +267,20 @@ def lexicon_polarity(
 ) -> DataFrame:
     """Add `polarity`: mean of the lexicon values of a row's words, in [-1, 1].
 
-    `lexicon` is (term, polarity, intensity, negator), one row per lower-case
-    term. A word right after a modifier (a term with an intensity and no polarity)
+    `lexicon` is (term, polarity, intensity, negator), terms in lower case; several
+    rows of a term are folded first (`folded_lexicon`). A word right after a modifier (a term with an intensity and no polarity)
     is multiplied by that intensity; a word after a negator, or after a
     modifier that follows one, by -0.5. A row without lexicon words gets 0.
 
-    A lexicon of up to `limit` rows is a literal in the plan, and the value a row
+    A lexicon of up to `limit` terms is a constant in the plan, and the value a row
     expression. A longer one is joined: words are looked up with their two predecessors
     beside them, so no window over a row's words is needed, and a row's words fold to
     one (sum, count) pair in their task before the shuffle.
     """
-    rows = lexicon.select("term", "polarity", "intensity", "negator").limit(limit + 1).collect()
-    if len(rows) <= limit:
-        value = _row_polarity(word_tokens(F.lower(body)), rows)
+    lexicon = folded_lexicon(lexicon)
+    row_of = small_lookup(lexicon, "polarity double, boost double, negates boolean", limit)
+    if row_of is not None:
+        value = _row_polarity(word_tokens(F.lower(body)), row_of)
         return df.withColumn("polarity", F.coalesce(value, F.lit(0.0)))
     marked = df.withColumn("_text", F.xxhash64(body))
     once = marked.select(key, "_text", body).dropDuplicates([key, "_text"])
@@ -265,11 +292,8 @@ def lexicon_polarity(
 
     near = placed.select(key, "_text", at(0).alias("term"), at(1).alias("term1"), at(2).alias("term2"))
     scored = lexicon.where(F.col("polarity").isNotNull()).select("term", "polarity")
-    shifts = lexicon.where(F.col("polarity").isNull())
-    modifies = shifts.where(F.col("intensity").isNotNull()).select(
-        F.col("term").alias("term1"), F.col("intensity").alias("boost")
-    )
-    negates = shifts.where(F.col("negator"))
+    modifies = lexicon.where(F.col("boost").isNotNull()).select(F.col("term").alias("term1"), "boost")
+    negates = lexicon.where("negates")
     negates1 = negates.select(F.col("term").alias("term1"), F.lit(True).alias("not1"))
     negates2 = negates.select(F.col("term").alias("term2"), F.lit(True).alias("not2"))
     # The four look-up sides are parts of the lexicon: one measurement covers them.

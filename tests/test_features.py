@@ -147,3 +147,36 @@ def test_spread_leaves_enough_pieces_alone(spark):
     wide = spark.range(100, numPartitions=64)
     assert spread(wide, "id") is wide
     assert spread(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() == 8
+
+
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_lists_with_null_and_repeated_terms(spark, limit):
+    rows = [(1, "good bad"), (2, "very good"), (3, "not very good"), (4, "odd"), (5, None), (6, "very odd bad")]
+    posts = spark.createDataFrame(rows, "tweet_id long, body string")
+    lexicon = spark.createDataFrame(
+        [
+            ("good", 0.1, None, False), ("good", 0.5, None, None), ("bad", -0.4, None, False),
+            (None, 1.0, None, False), (None, None, 2.0, True), ("very", None, 1.5, False),
+            ("very", None, 2.5, None), ("not", None, None, True), ("not", None, None, False),
+            ("odd", None, None, None),
+        ],
+        "term string, polarity double, intensity double, negator boolean",
+    )
+    scored = features.lexicon_polarity(posts, lexicon, limit=limit)
+    got = {r["tweet_id"]: round(r["polarity"], 9) for r in scored.collect()}
+    assert got == {1: -0.05, 2: 0.6, 3: -0.3, 4: 0.0, 5: 0.0, 6: -0.4}
+    words = spark.createDataFrame([("good",), (None,), ("good",), ("Bad",)], "term string")
+    typos = features.unknown_words(posts, words, limit=limit)
+    assert {r["tweet_id"]: r["typo"] for r in typos.collect()} == {1: 0, 2: 1, 3: 2, 4: 1, 5: 0, 6: 2}
+    flagged = features.explicit_flag(posts, words, limit=limit)
+    assert {r["tweet_id"] for r in flagged.where("isExplicit = 1").collect()} == {1, 2, 3}
+    none = features.explicit_flag(posts, words.where("term is null"), limit=limit)
+    assert none.where("isExplicit = 1").count() == 0
+
+
+def test_long_constants_answer_as_joins(spark):
+    posts = spark.createDataFrame([(k, f"w{k} w{k + 1} x{k}") for k in range(200)], "tweet_id long, body string")
+    words = spark.range(9_000).selectExpr("concat('w', id * 2) as term")
+    near = features.unknown_words(posts, words).select("tweet_id", "typo").collect()
+    far = features.unknown_words(posts, words, limit=0).select("tweet_id", "typo").collect()
+    assert sorted(near) == sorted(far) and {r["typo"] for r in near} == {2}

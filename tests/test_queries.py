@@ -39,6 +39,7 @@ def test_query_equals_its_sql(spark, con, name):
 # Learned models need more rows than the smallest tables have.
 MODEL_SF = os.environ.get("TEST_MODEL_SF_DIR", "/root/testdata/sf0.01")
 MODELS = [
+    "set_models",
     "pruned_tree", "tree_onehot_regression_price", "random_forest_sentiment", "tree_text",
     "pruning_path", "forest_params", "alpha_sweep", "best_forest_accuracy",
 ]
