@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -32,23 +32,104 @@ TICKER_MAP_SCHEMA = T.StructType(
 )
 
 
-def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, at, line, quotes): lines of text files, in order of `at` within a split.
+
+    Only a line feed ends a line, so a carriage return stays in it.
+    """
+    text = spark.read.option("lineSep", "\n").text(path)
+    return text.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("line"),
+        (F.length("value") - F.length(F.translate("value", '"', ""))).alias("quotes"),
+    )
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Add `even` and `odd`: the record a line is in, counted from its split's first record.
+
+    A line starts a record if an even number of quotes stands before it in the file. What
+    stands before the split isn't known here: `even` holds if it is an even number and `odd`
+    if not. Record 0 began in an earlier split.
+    """
+    own = Window.partitionBy("file", "block").orderBy("at")
+    before = own.rowsBetween(Window.unboundedPreceding, -1)
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
     return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
+        lines.withColumn("inside", inside)
+        .withColumn("even", F.count_if(F.col("inside") == 0).over(upto))
+        .withColumn("odd", F.count_if(F.col("inside") == 1).over(upto))
     )
 
 
+def _splits(lines: DataFrame) -> DataFrame:
+    """(file, block, open, from_block, from_record): how each split of the files begins.
+
+    `open` if it begins inside a quoted field; then its first lines belong to record
+    `from_record` of split `from_block`. A row a split is scanned, file by file; the lines
+    themselves are counted as numbers only.
+    """
+    counted = _numbered(lines.select("file", "block", "at", "quotes"))
+    ends = counted.groupBy("file", "block").agg(
+        (F.sum("quotes") % 2).alias("quotes"), F.max("even").alias("even"), F.max("odd").alias("odd")
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2 == 1
+    ends = ends.withColumn("open", opened)
+    records = F.when(F.col("open"), F.col("odd")).otherwise(F.col("even"))
+    last = F.when(records > 0, F.struct(F.col("block").alias("b"), records.alias("r")))
+    begun = F.last(last, ignorenulls=True).over(earlier)
+    found = ends.select("file", "block", "open", begun.alias("begun"))
+    return found.select(
+        "file", "block", "open", F.col("begun.b").alias("from_block"), F.col("begun.r").alias("from_record")
+    )
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, record, text): the records of CSV files whose quoted fields may hold line ends.
+
+    Files are read in splits of any size, by as many tasks. Whether a split begins inside a
+    field follows from the parity of the quotes before it, scanned over the splits' counts;
+    a record is where it begins and is put together across borders. A record crosses the
+    network once. Blank records are left out.
+    """
+    lines = _lines(spark, path)
+    splits = _splits(lines)
+    numbered = _numbered(lines).join(splits, ["file", "block"])
+    own = F.when(F.col("open"), F.col("odd")).otherwise(F.col("even"))
+    begun = (own > 0) | F.col("from_block").isNull()
+    placed = numbered.select(
+        "file", F.when(begun, F.col("block")).otherwise(F.col("from_block")).alias("first"),
+        F.when(begun, own).otherwise(F.col("from_record")).alias("record"), "block", "at", "line",
+    )
+    # Lines of a record that are in one split are joined where they are.
+    part = placed.groupBy("file", "block", "first", "record").agg(_in_order("at", "line").alias("line"))
+    whole = part.groupBy("file", "first", "record").agg(_in_order("block", "line").alias("text"))
+    text = F.regexp_replace("text", "\r$", "")
+    return whole.select("file", F.col("first").alias("block"), "record", text.alias("text")).where("text <> ''")
+
+
+def _in_order(order: str, line: str) -> Column:
+    pieces = F.array_sort(F.collect_list(F.struct(order, line)))
+    return F.array_join(F.transform(pieces, lambda piece: piece[line]), "\n")
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV with a header line a file, quoted fields and doubled quotes, read in splits."""
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    records = csv_records(spark, path).where("not (block = 0 and record = 1)")
+    row = F.from_csv("text", F.lit(schema.simpleString()[len("struct<") : -1].replace(":", " ")), options)
+    return records.select(row.alias("row")).select("row.*")
+
+
 def read_posts(spark: SparkSession, path: str, schema: T.StructType = POST_SCHEMA) -> DataFrame:
-    """Posts from CSV with quoted, multi-line bodies.
+    """Posts from CSV with quoted, multi-line bodies; a file is read by many tasks.
 
-    A multi-line CSV file cannot be split, so give a folder of files, and land
-    it once as Parquet (`write_table`) before running anything large on it.
+    Each reading scans the files twice, so land them once as Parquet (`write_table`)
+    before running anything large on them.
     """
     return _csv(spark, path, schema)
 
