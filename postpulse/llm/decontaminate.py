@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from postpulse.sources import materialise
 
-from .words import hash_texts, map_batches, mixed, texts_of, window_hashes
+from .words import hash_texts, map_batches, mixed, texts_of, unused, window_hashes
 
 # Positions that count, of a window; what is between them is ignored.
 MASKS = (
@@ -249,8 +249,7 @@ def contamination(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs`, with all their columns, that hold no benchmark item."""
-    found = verdicts(docs, benchmark, text).select(
-        F.col("tag").alias("_tag"), F.col("check").alias("_check")
-    )
-    same = (F.xxhash64(text) == F.col("_tag")) & (F.xxhash64(F.lit(1), text) == F.col("_check"))
+    tag, check = unused(docs, "_tag", "_check")
+    found = verdicts(docs, benchmark, text).select(F.col("tag").alias(tag), F.col("check").alias(check))
+    same = (F.xxhash64(text) == F.col(tag)) & (F.xxhash64(F.lit(1), text) == F.col(check))
     return docs.join(found, same, "left_anti")

@@ -21,7 +21,7 @@ from postpulse.sources import materialise
 
 from .graph import components
 from .sketches import cells, look_up, may_hold, membership, merged_flags, sketch_lists
-from .words import hash_texts, map_batches, mixed, run_hashes, texts_of
+from .words import hash_texts, map_batches, mixed, portions, run_hashes, texts_of, unused
 
 SHINGLE = 5
 NUM, DEN = 3, 4  # links: DEN * intersection >= NUM * union
@@ -32,6 +32,8 @@ BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
 CHUNK_POSTINGS = 1_000_000
 DOCS_AT_ONCE = 250
+PORTION_BYTES = 2_000_000
+NO_ID = (1 << 63) - 1  # stands for null
 BLOCK = 1024  # members that are compared in one task
 FAN = 16  # children of a node
 LEAST_WIDTH, MOST_WIDTH = 64, 8192  # bits of a bitmap
@@ -426,9 +428,18 @@ def near_duplicates(
     component. Repeated rows and copies of a text are one set and get one component.
     Sets are known by a 64-bit hash. Other columns are not read.
     """
-    most = (1 << 63) - 1
+    kind = docs.schema[id_col].dataType
+    return members(docs, id_col, text, size).select(
+        F.when(F.col("id") != NO_ID, F.col("id")).cast(kind).alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("component_id") != NO_ID, F.col("component_id")).cast(kind).alias("component_id"),
+    )
+
+
+def members(docs: DataFrame, id_col: str, text: str, size: int = SHINGLE) -> DataFrame:
+    """(id, sid, n, component, component_id) of every row; null ids are NO_ID, empty sets have no component."""
     given = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(most)).alias("id"), F.col(text).alias("text")
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text).alias("text")
     )
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     packed = groups_and_sizes(given, total, size)
@@ -453,13 +464,8 @@ def near_duplicates(
         F.col("component") == F.col("_c"),
         "left",
     )
-    component = F.coalesce("component_id", "id")
-    kind = docs.schema[id_col].dataType
-    return joined.select(
-        F.when(F.col("id") != most, F.col("id")).cast(kind).alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(component != most, component).cast(kind).alias("component_id"),
-    )
+    component = F.coalesce("component_id", "id").alias("component_id")
+    return joined.select("id", "sid", "n", "component", component)
 
 
 def _labels(given: DataFrame, groups: DataFrame, size: int) -> DataFrame:
@@ -502,12 +508,47 @@ def _labels(given: DataFrame, groups: DataFrame, size: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs`, with all their columns, whose id is that of their component.
+    """One row of `docs` of each component, with all its columns: the one of smallest id.
 
-    So one document of each component stays. Rows of equal id stay or go together,
-    and rows of null id stay only if they have no partner.
+    Rows without a shingle are linked with nothing, and each stays. Of several rows of the
+    smallest id, or of a component all of whose ids are null, one stays: that whose text
+    has the smallest hash; of equal rows any. An id that only one row has, as is usual,
+    settles its row by itself; the others' texts are hashed once more to tell rows apart.
     """
-    found = near_duplicates(docs, id_col, text)
-    first = found.where(F.col(id_col).eqNullSafe(F.col("component_id")))
-    first = first.select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(first, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    found = materialise(members(docs, id_col, text), "members")
+    first = (F.col("id") == F.col("component_id")) | F.col("component").isNull()
+    by_id = found.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or(first).alias("first"))
+    alone = (F.col("rows") == 1) & (F.col("id") != NO_ID)
+    named, status = unused(docs, "_id", "_status")
+    firsts = by_id.where("first").select(F.col("id").alias(named), alone.alias(status))
+    joined = docs.join(firsts, F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col(named))
+    settled = joined.where(F.col(status)).select(*docs.columns)
+
+    # In plain names from here on; a row's own columns are in a struct.
+    tag, check = F.xxhash64(text).alias("tag"), F.xxhash64(F.lit(1), text).alias("check")
+    unsettled = joined.where(~F.col(status)).select(
+        F.col(named).alias("id"), tag, check, F.col(text).alias("text"), F.struct(*docs.columns).alias("row")
+    )
+    texts = unsettled.select("id", "tag", "check", "text").dropDuplicates(["id", "tag", "check"])
+    of_sets = found.where(first).select("id", "sid", "component").distinct()
+    texts = with_set_ids(texts).join(of_sets, ["id", "sid"]).drop("sid")
+    kept = unsettled.join(texts, ["id", "tag", "check"])
+    empty = kept.where("component is null").select("row.*")
+    one = kept.where("component is not null").groupBy("component")
+    one = one.agg(F.min_by("row", F.struct("id", "tag", "check")).alias("row"))
+    return settled.unionByName(empty).unionByName(one.select("row.*"))
+
+
+def with_set_ids(texts: DataFrame) -> DataFrame:
+    """(id, tag, check, sid): the id of the set of each text."""
+
+    def run(batches):
+        for batch in batches:
+            column = texts_of(batch)
+            for part in portions([len(text) for text in column], PORTION_BYTES):
+                hashes, own = sets_of(column[part])
+                sids, _ = set_ids(hashes, own, part.stop - part.start)
+                held = batch.slice(part.start, part.stop - part.start)
+                yield {"id": held.column(0), "tag": held.column(1), "check": held.column(2), "sid": sids}
+
+    return map_batches(texts, run, "id long, tag long, check long, sid long")

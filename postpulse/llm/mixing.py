@@ -189,22 +189,11 @@ def training_order(mixed: DataFrame, partitions: int | None = None) -> DataFrame
     return taken.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_text")
 
 
-def mixed_documents(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
+def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents of the mix, in training order, with the columns of `docs`.
 
-    A document that is taken twice is there twice. One that is taken in part has its
-    first words, joined by a space, and their length in `n_chars`, if there is one.
+    A document that is taken twice is there twice. The one of a source that its target ends
+    in stays whole or goes, whichever brings the source's words nearer to the target.
     """
     ordered = training_order(mix(docs, text=text, carry=True))
-    cut = F.col("words") < F.col("size")
-    first = F.array_join(F.slice(word_list(F.col("row")[text]), 1, F.col("words").cast("int")), " ")
-    whole = F.when(cut, first).otherwise(F.col("row")[text])
-    columns = []
-    for field in docs.schema.fields:
-        value = F.col("row")[field.name]
-        if field.name == text:
-            value = whole
-        elif field.name == n_chars:
-            value = F.when(cut, F.char_length(first)).otherwise(value).cast(field.dataType)
-        columns.append(value.alias(field.name))
-    return ordered.select(*columns)
+    return ordered.where(F.col("words") * 2 >= F.col("size")).select("row.*")

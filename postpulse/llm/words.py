@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -87,6 +88,12 @@ def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(first, starts, "right") - 1
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """`names`, each with as many underscores behind it as no column of `df` needs to clash."""
+    taken = {name.lower() for name in df.columns}
+    return [next(new for k in count() if (new := name + "_" * k).lower() not in taken) for name in names]
+
+
 def portions(sizes: list[int], limit: int) -> Iterator[slice]:
     """Neighbouring rows of about `limit` bytes in all; a larger row is alone with what went before."""
     start = total = 0

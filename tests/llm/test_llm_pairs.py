@@ -80,6 +80,24 @@ def test_near_duplicates_of_odd_tables(spark):
     assert jaccard.near_duplicates(frame.limit(0)).collect() == []
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(12)) for x in "abcd")
+    rows = [
+        (None, a), (None, a), (None, b), (5, c), (5, c), (5, d), (6, d), (7, d + " more"),
+        (None, d), (8, None), (8, ""), (None, ""), (9, c + " more"), (1, "solo"), (0, "SOLO"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("_id", "_status", "id", "row", "tag", "component"):
+        frame = frame.withColumn(name, F.lit(name))
+    kept = jaccard.one_of_each(frame)
+    assert kept.columns == frame.columns
+    assert {tuple(r) for r in kept.select("doc_id", "text").collect()} == {
+        (None, a), (None, b), (5, c), (5, d), (8, None), (8, ""), (None, ""), (0, "SOLO")
+    }
+    assert kept.count() == 8 and kept.where("_id = '_id' and row = 'row'").count() == 8
+    assert jaccard.one_of_each(frame.limit(0)).collect() == []
+
+
 def test_a_traversal_prunes_no_link():
     rng = np.random.default_rng(5)
     sets = []
@@ -224,6 +242,8 @@ def test_benchmark_passages(spark):
     assert {k for k, r in got.items() if r["contaminated"]} == {1, 2, 3, 4, 5, 7, 11, None}
     assert {k: got[k]["item_id"] for k in (1, 2, 3, 4, 5, 7, 11)} == {1: 0, 2: 0, 3: 1, 4: 2, 5: 3, 7: 0, 11: 1}
     assert got[1]["overlap"] == 40 and got[7]["overlap"] == 16 and got[11]["n_items"] == 1
+    clashing = frame.withColumns({"_tag": F.lit(1), "_check": F.lit(2)})
+    assert decontaminate.without_contaminated(clashing, benchmark).columns == clashing.columns
     left = decontaminate.without_contaminated(frame, benchmark)
     assert left.columns == frame.columns
     assert sorted(r["doc_id"] for r in left.collect()) == [6, 8, 9, 10, 12]
