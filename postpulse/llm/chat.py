@@ -3,7 +3,8 @@
 A record is JSON. The paths of its fields, without list positions and values, are
 hashed to a fingerprint, and a table of declarative mappings says for each
 fingerprint where the turns are. Mappings name paths only; no code is written for
-a layout. A record of an unknown layout gives no turns and is counted as such.
+a layout. Fields that only describe a record (`DESCRIPTIVE`) are left out of its paths. A
+record of an unknown layout gives no turns and is counted as such.
 """
 
 from __future__ import annotations
@@ -26,6 +27,14 @@ MARK = re.compile(r"<(\\*)\|")
 ESCAPED = re.compile(r"<\\(\\*)\|")
 
 
+# Fields that say something about a record or turn and hold none of its text.
+DESCRIPTIVE = frozenset(
+    "id conv_id conversation_id source origin dataset lang language license url created date "
+    "timestamp model score rating weight tags meta metadata".split()
+)
+SURROGATE = re.compile("[\ud800-\udfff]")
+
+
 def escape(text: str) -> str:
     r"""No `<|` is left: a backslash is put between, one more where there are some."""
     return MARK.sub(r"<\\\1|", text) if "|" in text else text
@@ -45,9 +54,9 @@ def unescape_role(role: str) -> str:
 
 
 def paths(value, at: str = "") -> set[str]:
-    """Paths of all fields below a JSON value; a list's elements share one path."""
+    """Paths of all fields below a JSON value but descriptive ones; a list's elements share one path."""
     if isinstance(value, dict):
-        inner = [paths(v, f"{at}.{k}") for k, v in value.items()]
+        inner = [paths(v, f"{at}.{k}") for k, v in value.items() if k not in DESCRIPTIVE]
         return {at, *(p for found in inner for p in found)}
     if isinstance(value, list):
         return {f"{at}[]", *(p for v in value for p in paths(v, f"{at}[]"))}
@@ -59,10 +68,10 @@ def fingerprint(found: set[str]) -> str:
 
 
 def as_text(value) -> str:
-    """A text as it is, null as empty, any other JSON value as JSON."""
-    if isinstance(value, str):
-        return value
-    return "" if value is None else json.dumps(value, ensure_ascii=False)
+    """A text as it is, null as empty, any other JSON value as JSON; half a surrogate pair is U+FFFD."""
+    if not isinstance(value, str):
+        value = "" if value is None else json.dumps(value, ensure_ascii=False)
+    return SURROGATE.sub("\ufffd", value)
 
 
 @dataclass(frozen=True)
@@ -86,9 +95,12 @@ class Mapping:
         return fingerprint(whole - lists | {""})
 
     def read(self, record: dict) -> Iterator[tuple[str, str]]:
+        """(role, text) of each turn; ValueError if one lacks either."""
         renamed = dict(self.roles)
         if self.turns:
             for turn in record[self.turns]:
+                if not isinstance(turn, dict) or not {self.role, self.text} <= turn.keys():
+                    raise ValueError("a turn without role or text")
                 role = turn[self.role]
                 yield as_text(renamed.get(role, role) if isinstance(role, str) else role), as_text(turn[self.text])
         for role, field in self.parts:
@@ -119,14 +131,13 @@ def canonical(record: str | None) -> list[tuple[str, str]] | None:
     """(role, text) of each turn of a JSON record; None if its layout is not known."""
     try:
         value = json.loads(record) if record else None
-    except ValueError:
-        return None
-    if value == {"messages": []}:
-        return []
-    mapping = BY_FINGERPRINT.get(fingerprint(paths(value)))
-    if mapping is None:
+        found = paths(value)
+        if isinstance(value, dict) and value.get("messages") == [] and found == {"", ".messages[]"}:
+            return []
+        mapping = BY_FINGERPRINT.get(fingerprint(found))
+        return None if mapping is None else list(mapping.read(value))
+    except (ValueError, RecursionError):
         return None
-    return list(mapping.read(value))
 
 
 def formatted(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
@@ -211,8 +222,9 @@ def format_records(
     """id, known, formatted and mask of each JSON record, row by row.
 
     `mask` lists the spans of the assistant's texts in `formatted`, in code points.
-    A null record, one that isn't JSON and one of an unknown layout are `known` false,
-    with empty text and mask. Other columns are not read.
+    A null record, one that isn't JSON, one of an unknown layout, one nested too deep to
+    read and one with a turn that lacks role or text are `known` false, with empty text and
+    mask. Other columns are not read.
     """
 
     def rows(batches):
