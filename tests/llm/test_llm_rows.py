@@ -290,7 +290,9 @@ def test_pipeline_stages_do_what_they_decide(spark, tmp_path):
     words = defaultdict(int)
     for key, text in want:
         words[f"s{key % 4}"] += len(WORD.findall(text))
-    assert words == {s: math.floor(t + 1e-9) for s, t in target.items()}
+    # Texts are whole, so a source comes within half a document of its target.
+    assert {text for _, text in want} <= {row[1] for row in rows}
+    assert all(abs(words[s] - t) <= 76 for s, t in target.items())
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted((r["doc_id"], r["text"]) for r in got) == want
     loads = check_shards(want, got, corpus_pipeline.SHARDS, [])
