@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one of smallest id."""
+    """One row of each group of near duplicates stays: that of smallest id; null ids come last."""
     return jaccard.one_of_each(docs)
 
 
@@ -31,7 +31,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources are brought to their targets: documents repeat, stay, are cut or go."""
+    """Sources are brought to their targets: documents repeat, stay or go."""
     return mixing.mixed_documents(docs)
 
 
