@@ -3,18 +3,23 @@
 Windows of words are hashed under fixed masks that ignore some positions, so that
 a changed word at an ignored position leaves the hash as it is. Hashes of documents
 and of benchmark items are joined, and around each hit the two word sequences are
-laid side by side and scored: a match counts one, a substitution costs two.
+laid side by side and scored: a match counts one, a substitution costs two. Items of few
+words have masks of their own, which between them ignore every set of places that may differ.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postpulse.sources import materialise
 
-from .words import hash_texts, map_batches, mixed, texts_of, unused, window_hashes
+from .words import hash_texts, map_batches, mixed, portions, texts_of, unused, window_hashes
 
 # Positions that count, of a window; what is between them is ignored.
 MASKS = (
@@ -24,12 +29,12 @@ MASKS = (
     (0, 1, 2, 5, 6, 7, 10, 11),
 )
 SHORTEST_ITEM = 4  # words; shorter items would be found everywhere and are left out
-FULL_MASK = len(MASKS[0])  # items with fewer words than this are looked for as a whole
+LONG_ITEM = 12  # items with fewer words than this are looked for as a whole as well
 AROUND = 48  # words that a hit takes along on either side
 BLOOM_BITS = 23
 COST = 2
 ENOUGH, SHARE = 10, 0.8  # words that must match: so many, or this share of a short item
-DOCS_AT_ONCE = 250
+PORTION_BYTES = 1_000_000
 MARKS = b".,;:!?\"'()[]"
 PLAIN = bytes.maketrans(
     bytes(range(65, 91)) + MARKS, bytes(range(97, 123)) + b" " * len(MARKS)
@@ -41,14 +46,40 @@ def plain_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hash_texts([text.translate(PLAIN) for text in texts])
 
 
-def seeds(words: np.ndarray, doc: np.ndarray, short: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, first word) of all windows inside a text, under all masks; of `short` whole
-    windows too."""
+def needed_words(n: int) -> int:
+    """How many words of an item of `n` must match."""
+    return min(ENOUGH, int(np.ceil(SHARE * n)))
+
+
+def whole_masks(n: int) -> list[tuple[int, ...]]:
+    """Masks over an item of `n` words that leave out any places that may differ.
+
+    Places are dealt in turn to two classes more than may differ, and each mask ignores as
+    many classes as words may differ: whichever differ, a mask ignores all of them.
+    """
+    free = n - needed_words(n)
+    classes = range(free + 2)
+    return [
+        tuple(k for k in range(n) if k % len(classes) not in ignored)
+        for ignored in combinations(classes, free)
+    ]
+
+
+def seeds(
+    words: np.ndarray, doc: np.ndarray, whole: list[int], item: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, first word that counts) of all windows inside a text, under the masks for all
+    items and those of items of so many words as `whole` tells; of an `item` itself these
+    masks are laid on it once."""
+    masks = list(enumerate(MASKS))
+    masks += [(100 * n + k, mask) for n in whole for k, mask in enumerate(whole_masks(n))]
     hashes, starts = [], []
-    for number, mask in enumerate((*MASKS, *(tuple(range(n)) for n in short))):
-        found = window_hashes(words, list(mask))
-        at = np.flatnonzero(doc[: len(found)] == doc[mask[-1] :][: len(found)])
-        salt = number if number < len(MASKS) else 100 + len(mask)
+    for salt, mask in masks:
+        found = window_hashes(words, [at - mask[0] for at in mask])
+        last = doc[mask[-1] - mask[0] :][: len(found)]
+        at = np.flatnonzero(doc[: len(found)] == last)
+        if item and salt >= 100:
+            at = at[at == mask[0]]
         hashes.append(mixed(found[at] + np.uint64(salt)))
         starts.append(at)
     return np.concatenate(hashes), np.concatenate(starts)
@@ -64,8 +95,8 @@ def items(benchmark: DataFrame, id_col: str = "item_id", text: str = "text") ->
                 words, doc = plain_words([one])
                 if len(words) < SHORTEST_ITEM:
                     continue
-                short = [len(words)] if len(words) < FULL_MASK else []
-                hashes, starts = seeds(words, doc, short)
+                whole = [len(words)] if len(words) < LONG_ITEM else []
+                hashes, starts = seeds(words, doc, whole, item=True)
                 out["item"].append(item)
                 out["n"].append(len(words))
                 out["words"].append(words.tobytes())
@@ -102,11 +133,12 @@ def bloom(found: DataFrame) -> np.ndarray:
     return np.unpackbits(merged).view(bool)
 
 
-def hits(texts: DataFrame, marks: np.ndarray, short: list[int]) -> DataFrame:
+def hits(texts: DataFrame, marks: np.ndarray, whole: list[int]) -> DataFrame:
     """Stretches of texts around seeds that the filter lets through: one row for each.
 
     `texts` has tag and check (hashes of the text) and text. A stretch has its place
-    in the text, its words' hashes and its seeds; neighbouring hits share one.
+    in the text, its words' hashes and its seeds; neighbouring hits share one. Texts are
+    taken in portions of about `PORTION_BYTES`, a longer one by itself.
     """
     shared = texts.sparkSession.sparkContext.broadcast(np.packbits(marks))
     widest = max(mask[-1] + 1 for mask in MASKS)
@@ -115,7 +147,7 @@ def hits(texts: DataFrame, marks: np.ndarray, short: list[int]) -> DataFrame:
         out = {k: [] for k in ("tag", "check", "start", "words", "seeds")}
         tags, checks = (batch.column(k).to_pylist() for k in (0, 1))
         words, doc = plain_words(texts_of(batch))
-        hashes, starts = seeds(words, doc, short)
+        hashes, starts = seeds(words, doc, whole)
         first, second = _bloom_cells(hashes)
         at = np.flatnonzero(known[first])
         at = at[known[second[at]]]
@@ -142,8 +174,9 @@ def hits(texts: DataFrame, marks: np.ndarray, short: list[int]) -> DataFrame:
     def rows(batches):
         known = np.unpackbits(shared.value).view(bool)
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
-                yield stretches(batch.slice(at, DOCS_AT_ONCE), known)
+            sizes = pc.fill_null(pc.binary_length(batch.column(2).cast(pa.binary())), 0).to_pylist()
+            for part in portions(sizes, PORTION_BYTES):
+                yield stretches(batch.slice(part.start, part.stop - part.start), known)
 
     schema = "tag long, check long, start int, words binary, "
     schema += "seeds array<struct<hash: bigint, at: int>>"
@@ -163,12 +196,18 @@ def best_overlap(left: np.ndarray, right: np.ndarray, shift: int) -> tuple[int,
     return int(same[since:to].sum()), to - since
 
 
+def laid_over(left: np.ndarray, right: np.ndarray, shift: int) -> int:
+    """How many words of the whole of `right` match where right[i] stands at left[i + shift]."""
+    begin, end = max(0, -shift), min(len(right), len(left) - shift)
+    return int((left[begin + shift : end + shift] == right[begin:end]).sum()) if begin < end else 0
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """(tag, check, item, matched): texts and the benchmark items that they hold."""
     found = materialise(items(benchmark), "items")
-    lengths = found.where(F.col("n") < FULL_MASK).select("n").distinct().collect()
-    short = sorted(row["n"] for row in lengths)  # FULL_MASK - SHORTEST_ITEM values at most
-    stretches = materialise(hits(tagged(docs, text), bloom(found), short), "hits")
+    lengths = found.where(F.col("n") < LONG_ITEM).select("n").distinct().collect()
+    whole = sorted(row["n"] for row in lengths)  # LONG_ITEM - SHORTEST_ITEM values at most
+    stretches = materialise(hits(tagged(docs, text), bloom(found), whole), "hits")
     # Copies of a text have the same stretches; one of each is enough.
     once = stretches.groupBy("tag", "check", "start").agg(
         F.first("words").alias("words"), F.first("seeds").alias("seeds")
@@ -192,8 +231,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataF
             for shift, words, own in zip(*columns, strict=True):
                 left, right = np.frombuffer(words, np.uint64), np.frombuffer(own, np.uint64)
                 matched, _ = best_overlap(left, right, shift)
-                needed = min(ENOUGH, int(np.ceil(SHARE * len(right))))
-                out.append(matched if matched >= needed else 0)
+                if len(right) < LONG_ITEM:
+                    matched = max(matched, laid_over(left, right, shift))
+                out.append(matched if matched >= needed_words(len(right)) else 0)
             yield dict(zip(("tag", "check", "item"), batch.columns, strict=False)) | {
                 "matched": out
             }

@@ -1,5 +1,6 @@
 """Near duplicates, repeated substrings, near-equal lines and benchmark overlaps against brute force."""
 
+import itertools
 import random
 
 import numpy as np
@@ -249,3 +250,24 @@ def test_benchmark_passages(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [6, 8, 9, 10, 12]
     for docs_, bench_ in ((frame, benchmark.limit(0)), (frame.limit(0), benchmark)):
         assert not [r for r in decontaminate.contamination(docs_, bench_).collect() if r["contaminated"]]
+
+
+def test_short_items_with_changed_words(spark):
+    """Every place of one changed word in items of 5 to 11 words, and every two of those of 10 and 11."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    items, rows, wanted = [], [], {}
+    for n in range(4, 12):
+        own = [word() for _ in range(n)]
+        items.append((n, " ".join(own)))
+        free = n - decontaminate.needed_words(n)
+        changes = [c for size in range(free + 2) for c in itertools.combinations(range(n), size)]
+        for change in changes:
+            text = [word() if k in change else w for k, w in enumerate(own)]
+            around = [word() for _ in range(rng.choice([0, 9, 300]))]
+            rows.append((len(rows), " ".join(around + text + around)))
+            wanted[len(rows) - 1] = n if len(change) <= free else None
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: r["item_id"] for r in decontaminate.contamination(docs, benchmark).collect()}
+    assert got == wanted
