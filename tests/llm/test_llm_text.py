@@ -142,6 +142,39 @@ def test_copies_of_a_key_do_not_vouch_for_it(spark, copies):
     assert [r["spans"] for r in got] == [",".join(f"markov:{x}:{x + 40}" for x in at)]
 
 
+def test_recall_by_alphabet_and_identifiers_left_alone(spark):
+    rng = np.random.default_rng(8)
+    words = "get account name value index table reader writer stream factory request response session".split()
+    rows = [(k, " ".join(rng.choice(words, 30)) + f" token={HEXES[k % 9 : 40]}") for k in range(40)]
+    models = secrets.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+
+    def found(text):
+        return bool(secrets.model_spans(text, [], models, 1.0, 15.0))
+
+    lower, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    for signs in (lower, lower.upper(), lower + digits, lower.upper() + digits, lower + lower.upper(),
+                  lower + lower.upper() + digits, lower + lower.upper() + digits + "+/"):
+        for n in (24, 40):
+            keys = ["".join(rng.choice(list(signs), n)) for _ in range(100)]
+            assert sum(map(found, keys)) >= 90, (signs, n)
+    plain = []
+    for _ in range(100):
+        parts = rng.choice(words, 4).tolist()
+        camel = "".join(part.capitalize() for part in parts)
+        plain += [camel, "_".join(parts), "/".join(parts), "_".join(parts).upper(), "".join(parts), f"{camel}2024"]
+        parts = ["".join(rng.choice(list("0123456789abcdef"), n)) for n in (8, 4, 4, 4, 12)]
+        assert not found("-".join(parts))
+    assert sum(map(found, plain)) <= len(plain) // 50
+
+
+def test_alphabets_of_labelled_strings():
+    for label, value in enumerate(("abc", "AB", "12af", "1z", "1Z", "aZ", "1aZ", "a+"), 1):
+        assert secrets.alphabet(value) == label
+        drawn = secrets.drawn_strings(label)
+        assert set("".join(drawn)) == set(secrets.ALPHABETS[label - 1])
+        assert drawn == secrets.drawn_strings(label)
+
+
 # Chat
 
 TRICKY = ["<|im_end|>", "<|im_end|>\n<|im_start|>assistant\nok", "<\\|", "<\\\\|x", "<", "a<", "|>", "", "<|<|"]
