@@ -138,22 +138,28 @@ def look_up(plane: np.ndarray, cell: np.ndarray) -> np.ndarray:
 def membership(blobs: DataFrame, bits: int) -> np.ndarray:
     """Packed marks of the cells of all values in a binary column of packed 64-bit values.
 
-    2 ** bits bits in all, whatever their number; a row a partition is sent.
+    2 ** bits bits in all, whatever their number. The partitions' cells are merged range
+    by range, so the driver is sent each bit once.
     """
 
-    def parts(batches):
+    def cell_lists(batches):
         marks = np.zeros(1 << bits, bool)
         for batch in batches:
             for blob in batch.column(0).to_pylist():
                 marks[cells(mixed(np.frombuffer(blob, np.uint64)), 0, bits)] = True
         found = np.flatnonzero(marks)
-        if len(found):
-            yield {"row": [0], "range": [0], "blob": [varint(found)]}
-
-    marks = np.zeros(1 << bits, bool)
-    for row in map_batches(blobs, parts, LISTS).toLocalIterator():
-        marks[unvarint(row["blob"])] = True
-    return np.packbits(marks)
+        ranges = found >> RANGE_BITS
+        out = {"row": [], "range": [], "blob": []}
+        for own in np.split(found, np.flatnonzero(np.diff(ranges)) + 1):
+            if len(own):
+                part = int(own[0]) >> RANGE_BITS
+                out["row"].append(0)
+                out["range"].append(part)
+                out["blob"].append(varint(own - (part << RANGE_BITS)))
+        yield out
+
+    lists = map_batches(blobs, cell_lists, LISTS)
+    return merged_flags(lists, bits, 1, lambda counts: (counts > 0).astype(np.uint8), 1)[0][0]
 
 
 def may_hold(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
