@@ -30,7 +30,7 @@ from .words import TAKEN, map_batches, mixed, portions
 DEPTH = 4
 LEAST = 30
 PORTION_BYTES = 3_000_000
-HELD_ROWS = 500_000
+HELD_ROWS = 1_200_000
 TASK_ROWS = 250_000
 SKETCH_DEPTH = 2
 FEWEST_BITS, MOST_BITS = 20, 28
@@ -213,7 +213,9 @@ def suffixes(texts: DataFrame, least: int = LEAST) -> DataFrame:
         keys, first, place = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
         n = np.bincount(place, np.concatenate([h[3] for h in held]), len(keys)).astype(np.int64)
         lang, text = (pa.concat_arrays([h[k] for h in held]).take(pa.array(first)) for k in (1, 2))
-        return {"lang": lang, "suffix": text, "n": n}
+        # In their order neighbours begin alike, which stores and ships in fewer bytes.
+        order = pc.sort_indices(text)
+        return {"lang": lang.take(order), "suffix": text.take(order), "n": n[order.to_numpy()]}
 
     def rows(batches):
         held = []
