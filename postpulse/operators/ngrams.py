@@ -17,7 +17,9 @@ from postpulse.functions.text import (
     word_tokens,
     words,
 )
+from postpulse.operators.heavy import most_frequent_of
 from postpulse.operators.joins import few_groups, most_frequent
+from postpulse.sources import materialise
 
 # Stop words of the domain, added to the English list. `qqqstks`
 # is one entry.
@@ -67,7 +69,7 @@ def _sized(
 
 
 def _word_grams(tokens: DataFrame, by: Sequence[str], sizes: Sequence[int]) -> DataFrame:
-    """(by, n, term, count) of all sizes from one pass over the word arrays.
+    """(by, n, term), a row for each n-gram, of all sizes from one pass over the word arrays.
 
     Starting positions are exploded and the n-gram read out of the array beside
     them, so generating and the first count run in one stage of generated code.
@@ -85,11 +87,7 @@ def _word_grams(tokens: DataFrame, by: Sequence[str], sizes: Sequence[int]) -> D
             return text
         return F.when((total > n) & (F.col("_i") + n <= total), text)
 
-    return (
-        _sized(placed, by, sizes, gram)
-        .groupBy(*by, "n", "term")
-        .agg(F.count(F.lit(1)).alias("count"))
-    )
+    return _sized(placed, by, sizes, gram)
 
 
 def _char_grams(tokens: DataFrame, by: Sequence[str], sizes: Sequence[int]) -> DataFrame:
@@ -133,9 +131,10 @@ def ngram_counts(
     df: DataFrame, n: int, k: int = 15, by: Sequence[str] = (), body: str = "body"
 ) -> DataFrame:
     """The `k` most frequent word n-grams per group; ties go by term."""
-    grams = _word_grams(_token_rows(df, by, body), by, [n])
-    best = most_frequent(grams, by, "count", k, "term", few_groups(df, by))
-    return best.select(*by, "term", "count", "rank")
+    # Stored, as the grams are made three times of them.
+    tokens = materialise(_token_rows(df, by, body), "tokens")
+    grams = _word_grams(tokens, by, [n])
+    return most_frequent_of(grams, by, "term", k).select(*by, "term", "count", "rank")
 
 
 def char_ngram_counts(
@@ -166,12 +165,12 @@ def text_trends(
     stop = stop_words() if stop is None else stop
     # Nothing is left to delete from a text of letters and single spaces.
     cleaned = without(F.array_remove(F.split(letters_only(F.col(body)), " "), ""), stop)
-    tokens = df.select(group_col, cleaned.alias("_tokens"))
+    tokens = materialise(df.select(group_col, cleaned.alias("_tokens")), "tokens")
     by = [group_col, "unit", "n"]
-    few = few_groups(df, [group_col])
+    few = few_groups(tokens, [group_col])
     whole = _word_grams(tokens, [group_col], sizes).withColumn("unit", F.lit("word"))
     chars = _char_grams(tokens, [group_col], sizes).withColumn("unit", F.lit("char"))
-    best = most_frequent(whole, by, "count", k, "term", few).unionByName(
+    best = most_frequent_of(whole, by, "term", k).unionByName(
         most_frequent(chars, by, "count", k, "term", few)
     )
     shown = F.when(F.col("unit") == "char", _spaced(F.col("term"))).otherwise(F.col("term"))
