@@ -16,7 +16,11 @@ from postpulse.sources import materialise
 
 SPACES = " \t\n\x0b\f\r"
 EDITS = 1
-LEAST_CHARS = 16  # shorter lines are only compared for equality
+
+
+def least_chars(edits: int) -> int:
+    """Characters from which lines are compared: below them a segment has under two."""
+    return 2 * edits + 2
 
 
 def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -139,7 +143,7 @@ def distinct_lines(docs: DataFrame, id_col: str, text: str, edits: int) -> DataF
     Repeats are folded where they are read, and lines travel as their hashes.
     """
     lines = lines_of(docs, id_col, text).withColumn("n", F.char_length("line"))
-    long_enough = F.col("n") >= F.greatest(F.lit(LEAST_CHARS), F.lit(2 * edits + 2))
+    long_enough = F.col("n") >= least_chars(edits)
     entries = {f"_i{k}": x for k, x in enumerate(index_entries(edits))}
     entries |= {f"_p{k}": x for k, x in enumerate(probe_entries(edits))}
     hashed = lines.select(
@@ -217,7 +221,7 @@ def dedupe_lines(
     met earlier: in a row of smaller id, or further up. This is judged on the input. Of
     those that go, `n_near` have no equal line earlier; `n_links` counts the lines
     within `edits` edits, in the row where a line is first met. Lines of fewer than
-    `LEAST_CHARS` characters are compared for equality only. Null and empty texts have
+    `least_chars(edits)` characters are compared for equality only. Null and empty texts have
     no lines, null ids come first, and rows of equal id are taken as one document, so
     that each of them gets its figures. Lines are known by a 64-bit hash.
     """

@@ -87,18 +87,24 @@ WITH split AS (
 firsts AS (
   SELECT line, arg_min(doc_id, (doc_id, no)) AS doc_id, arg_min(no, (doc_id, no)) AS no
   FROM words GROUP BY line
-), long_lines AS (SELECT * FROM firsts WHERE length(line) >= 16),
-pairs AS (
-  SELECT a.line AS one, b.line AS two FROM long_lines a JOIN long_lines b
-    ON left(a.line, 8) = left(b.line, 8) AND a.line <> b.line
-    AND abs(length(a.line) - length(b.line)) <= 1
+), long_lines AS (SELECT * FROM firsts WHERE length(line) >= 4),
+probes AS (
+  SELECT line, length(line) - less AS n FROM long_lines, (VALUES (0), (1)) v(less)
+), met AS (
+  SELECT a.line AS one, b.line AS two FROM long_lines a JOIN probes b
+    ON length(a.line) = n AND left(a.line, n // 2) = left(b.line, n // 2) AND a.line <> b.line
   UNION
-  SELECT a.line, b.line FROM long_lines a JOIN long_lines b
-    ON right(a.line, 8) = right(b.line, 8) AND a.line <> b.line
-    AND abs(length(a.line) - length(b.line)) <= 1
+  SELECT a.line, b.line FROM long_lines a JOIN probes b
+    ON length(a.line) = n AND right(a.line, n - n // 2) = right(b.line, n - n // 2) AND a.line <> b.line
+), pairs AS (SELECT * FROM met UNION SELECT two, one FROM met
+), close AS (
+  -- levenshtein counts bytes, of which one character has up to four.
+  SELECT *, length(one) AS m, length(two) AS n FROM pairs WHERE levenshtein(one, two) <= 4
+), edited AS (
+  SELECT one, two FROM close WHERE len(list_filter(range(greatest(m, n)), lambda i:
+    left(one, i) = left(two, i) AND substr(one, i + 1 + (m >= n)::INT) = substr(two, i + 1 + (n >= m)::INT))) > 0
 ), links AS (
-  SELECT p.one, f.doc_id, f.no FROM pairs p JOIN firsts f ON f.line = p.two
-  WHERE levenshtein(p.one, p.two) <= 1
+  SELECT p.one, f.doc_id, f.no FROM edited p JOIN firsts f ON f.line = p.two
 ), around AS (
   SELECT one, count(*) AS links, arg_min(doc_id, (doc_id, no)) AS doc_id,
     arg_min(no, (doc_id, no)) AS no
