@@ -3,28 +3,34 @@
 Rows are ordered by a hash of a seed and their key. The row at a wanted rank of
 a group is found from a histogram over hash prefixes: counts per (group,
 prefix) say which prefix the rank falls in, and only that prefix's rows are
-ranked. These passes read the group and key columns only, and bring a few rows
-per group to the driver. A sample, a split or a fold is then a comparison of each
-row with those: wide rows are neither sorted nor shuffled, a group of any size is
-spread over its prefixes, and using the result twice repeats no work.
+ranked. These passes read the group and key columns only. Sizes, wanted ranks and
+the rows found there are tables, so any number of groups will do. A sample, a split
+or a fold is then a comparison of each row with those: wide rows are neither sorted
+nor shuffled where the rows found are few, a group of any size is spread over its
+prefixes, and using the result twice repeats no work.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from math import ceil
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postpulse.sources import local_frame
+from postpulse.operators.joins import join_by_size
+from postpulse.sources import local_frame, materialise
 
-# A group's wanted ranks are worked out on the driver, for up to this many groups.
-MOST_GROUPS = 100_000
 # Hash prefixes are made as long as keeps about this many rows of a group in each.
 PREFIX_ROWS = 1_000_000
+# Labels are laid end to end in as many parts as three hex digits tell apart.
+PART_DIGITS = 3
+# A quantile is looked for among up to this many different values at a time.
+RANKED = 200_000
+# Even shares that a range of values is cut at while it holds more.
+CUTS = 256
 
 
 def hash_order(key: str, seed: int | str) -> Column:
@@ -47,13 +53,10 @@ def _with_order(df: DataFrame, key: str, seed: int | str, rows: int) -> DataFram
     return hashed.withColumn("_bucket", F.substring("_h", 1, prefix_digits(rows)))
 
 
-def _groups(df: DataFrame, by: Sequence[str], *extra: Column) -> list[Row]:
-    """Row count (`_rows`) and `extra` aggregates of every group without NULLs."""
+def _sizes(df: DataFrame, by: Sequence[str], *extra: Column) -> DataFrame:
+    """Row count (`_rows`) and `extra` aggregates of every group without NULLs, stored."""
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *extra)
-    rows = counted.limit(MOST_GROUPS + 1).collect()
-    if len(rows) > MOST_GROUPS:
-        raise ValueError(f"more than {MOST_GROUPS} groups in {list(by)}")
-    return [row for row in rows if all(row[name] is not None for name in by)]
+    return materialise(counted.dropna(subset=list(by)), "sizes")
 
 
 def _local(df: DataFrame, names: Sequence[str], rows: Sequence, **added: str) -> DataFrame:
@@ -64,42 +67,36 @@ def _local(df: DataFrame, names: Sequence[str], rows: Sequence, **added: str) ->
 
 
 def rank_cuts(
-    df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[str], wanted: Sequence[tuple]
-) -> dict[tuple, tuple]:
-    """For each wanted (group, rank), from 1: the `order` values of the row there.
+    df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[str], wanted: DataFrame
+) -> DataFrame:
+    """(`by`, `_rank`, `order`): the `order` values at each wanted rank of a group, stored.
 
-    `bucket` must grow with `order`. Equal values are folded before they are
-    ranked, so a value a third of the rows share costs one row. Two jobs, each
-    of which returns one row per wanted rank.
+    `wanted` has (`by`, `_rank`), ranks from 1. `bucket` must grow with `order`, whose
+    first column differs between the rows of a bucket. Equal values are folded before
+    they are ranked, so a value a third of the rows share costs one row.
     """
     by, order = list(by), list(order)
-    if not by:
-        cuts = rank_cuts(
-            df.withColumn("_all", F.lit(0)), ["_all"], bucket, order, [(0, *w) for w in wanted]
-        )
-        return {end[1:]: cut for end, cut in cuts.items()}
-    counted = df.groupBy(*by, bucket).agg(F.count(F.lit(1)).alias("_n"))
+    cell = [*by, bucket]
+    counted = df.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(bucket))
-    histogram = counted.withColumn("_upto", upto)
-    ranks = F.broadcast(_local(df, by, wanted, _rank="long"))
-    inside = (F.col("_rank") > F.col("_upto") - F.col("_n")) & (F.col("_rank") <= F.col("_upto"))
+    found = counted.withColumn("_upto", upto).join(wanted, by)
     at = F.col("_rank") - F.col("_upto") + F.col("_n")
-    found = histogram.join(ranks, by)
-    places = found.where(inside).select(*by, bucket, "_rank", at.alias("_at")).collect()
-    targets = _local(df, [*by, bucket], places, _rank="long", _at="long")
-    values = (
-        df.select(*by, bucket, *order)
-        .join(F.broadcast(targets.select(*by, bucket).distinct()), [*by, bucket], "left_semi")
-        .groupBy(*by, bucket, *order)
-        .agg(F.count(F.lit(1)).alias("_times"))
-    )
-    up = F.sum("_times").over(Window.partitionBy(*by, bucket).orderBy(*order))
+    inside = found.withColumn("_at", at).where(F.col("_at").between(F.lit(1), F.col("_n")))
+    targets = materialise(inside.select(*cell, "_rank", "_at"), "targets")
+    rows = df.select(*cell, *order)
+    near = join_by_size(rows, targets.select(*cell).distinct(), cell, "left_semi", order[:1])
+    values = near.groupBy(*cell, *order).agg(F.count(F.lit(1)).alias("_times"))
+    up = F.sum("_times").over(Window.partitionBy(*cell).orderBy(*order))
     hit = (F.col("_at") > F.col("_up") - F.col("_times")) & (F.col("_at") <= F.col("_up"))
-    cuts = values.withColumn("_up", up).join(F.broadcast(targets), [*by, bucket]).where(hit)
-    return {
-        (*[row[name] for name in by], row["_rank"]): tuple(row[name] for name in order)
-        for row in cuts.select(*by, "_rank", *order).collect()
-    }
+    cuts = values.withColumn("_up", up).join(targets, cell).where(hit)
+    return materialise(cuts.select(*by, "_rank", *order), "cuts")
+
+
+def _cuts_of_all(df: DataFrame, key: str, ranks: Sequence[int]) -> list[tuple]:
+    """(hash, key) of the rows at the given ranks of the whole table, ascending."""
+    wanted = local_frame(df.sparkSession, [(0, rank) for rank in ranks], "_all int, _rank long")
+    cuts = rank_cuts(df.withColumn("_all", F.lit(0)), ["_all"], "_bucket", ["_h", key], wanted)
+    return [(row["_h"], row[key]) for row in cuts.orderBy("_rank").collect()]
 
 
 def _after(key: str, cut_hash: Column, cut_key: Column) -> Column:
@@ -124,26 +121,30 @@ def sample_keys(
     whole. `key` is unique within a group.
     """
     by = list(by)
-    wanted, short, largest = [], [], 0
-    for row in _groups(df, by):
-        largest = max(largest, row["_rows"])
-        group = tuple(row[name] for name in by)
-        size = n if isinstance(n, int) else n[group]
-        if size > row["_rows"]:
-            short.append((group, row["_rows"], size))
-        rank = min(size, row["_rows"])
-        if rank:
-            wanted.append((*group, rank))
-    if strict and short:
-        raise ValueError(f"groups smaller than the sample, as (group, rows, size): {short[:20]}")
-    ordered = _with_order(df, key, seed, largest)
-    found = rank_cuts(ordered, by, "_bucket", ["_h", key], wanted)
-    rows = [(*group[:-1], *cut) for group, cut in found.items()]
-    cuts = _local(ordered, [*by, "_h", key], rows)
+    sizes = _sizes(df, by)
+    if isinstance(n, int):
+        sized = sizes.withColumn("_size", F.lit(n).cast("long"))
+    else:
+        named = _local(df, by, [(*group, size) for group, size in n.items()], _size="long")
+        sized = sizes.join(named, by, "left")
+    short = F.col("_size") > F.col("_rows")
+    figures = sized.agg(
+        F.max("_rows").alias("largest"),
+        F.count_if(short).alias("short"),
+        F.count_if(F.isnull("_size")).alias("unnamed"),
+    ).first()
+    if figures["unnamed"]:
+        unnamed = sized.where("_size is null").select(*by).limit(20).collect()
+        raise KeyError(f"groups without a size: {[tuple(row) for row in unnamed]}")
+    if strict and figures["short"]:
+        some = [tuple(row) for row in sized.where(short).select(*by, "_rows", "_size").limit(20).collect()]
+        raise ValueError(f"groups smaller than the sample, as (group, rows, size): {some}")
+    ordered = _with_order(df, key, seed, figures["largest"] or 0)
+    wanted = sized.select(*by, F.least("_size", "_rows").alias("_rank")).where("_rank > 0")
+    cuts = rank_cuts(ordered, by, "_bucket", ["_h", key], wanted).drop("_rank")
     cuts = cuts.withColumnsRenamed({"_h": "_cut_h", key: "_cut_key"})
-    # One row per group, and the number of groups was checked above.
     late = _after(key, F.col("_cut_h"), F.col("_cut_key"))
-    return ordered.join(F.broadcast(cuts), by).where(~late).select(*df.columns)
+    return join_by_size(ordered, cuts, by, "inner", [key]).where(~late).select(*df.columns)
 
 
 def balanced_sample(
@@ -168,7 +169,7 @@ def split_exact(
     if size == 0:
         return df.withColumn("is_test", F.lit(False))
     ordered = _with_order(df, key, seed, rows)
-    (cut,) = rank_cuts(ordered, [], "_bucket", ["_h", key], [(size,)]).values()
+    (cut,) = _cuts_of_all(ordered, key, [size])
     late = _after(key, *map(F.lit, cut))
     return ordered.select(*df.columns, (~late).alias("is_test"))
 
@@ -191,10 +192,10 @@ def plain_folds(
     if rows < k:
         raise ValueError(f"{k} folds need at least {k} rows, got {rows}")
     size, longer = divmod(rows, k)
-    ends = [((f + 1) * size + min(f + 1, longer),) for f in range(k - 1)]
+    ends = [(f + 1) * size + min(f + 1, longer) for f in range(k - 1)]
     ordered = _with_order(df, key, seed, rows)
-    cuts = rank_cuts(ordered, [], "_bucket", ["_h", key], ends)
-    passed = [_after(key, *map(F.lit, cut)).cast("int") for cut in cuts.values()]
+    cuts = _cuts_of_all(ordered, key, ends)
+    passed = [_after(key, *map(F.lit, cut)).cast("int") for cut in cuts]
     return ordered.select(*df.columns, sum(passed, F.lit(0)).alias("fold"))
 
 
@@ -211,40 +212,56 @@ def stratified_folds(
     named = F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit(""))
     marked = df.withColumn("_label", named)
     hashed = marked.withColumn("_h", hash_order(key, seed))
-    classes = _groups(hashed, ["_label"], F.min(F.struct("_h", key)).alias("_first"))
-    classes.sort(key=lambda row: tuple(row["_first"]))
-    uses: Counter = Counter()
-    start = 0
-    for row in classes:
-        stop, upto = start + row["_rows"], 0
-        for f in range(k - 1):
-            # Positions p in [start, stop) with p % k == f.
-            upto += len(range(start + (f - start) % k, stop, k))
-            uses[row["_label"], upto] += 1
-        start = stop
-    if start < k:
-        raise ValueError(f"{k} folds need at least {k} rows, got {start}")
-    largest = max(row["_rows"] for row in classes)
-    ordered = _with_order(marked, key, seed, largest)
-    wanted = [end for end in uses if end[1] > 0]
-    cuts = rank_cuts(ordered, ["_label"], "_bucket", ["_h", key], wanted)
+    first = F.min(F.struct("_h", key)).alias("_first")
+    classes = _sizes(hashed, ["_label"], first)
+    figures = classes.agg(F.sum("_rows").alias("rows"), F.max("_rows").alias("largest")).first()
+    if (figures["rows"] or 0) < k:
+        raise ValueError(f"{k} folds need at least {k} rows, got {figures['rows'] or 0}")
+    if k == 1:
+        return df.withColumn("fold", F.lit(0))
+    start, stop = F.col("_start"), F.col("_start") + F.col("_rows")
+
+    def dealt(upto: Column, f: int) -> Column:
+        """How many of the first `upto` positions go to folds 0 to f."""
+        rest = upto % k
+        return ((upto - rest) / k).cast("long") * (f + 1) + F.least(rest, F.lit(f + 1))
+
     # Folds of a tiny class may share an end, or have none: count each use.
-    lists = [
-        (
-            row["_label"],
-            uses[row["_label"], 0],
-            [(*cut, uses[end]) for end, cut in cuts.items() if end[0] == row["_label"]],
-        )
-        for row in classes
-    ]
-    kind = f"array<struct<_h:string,{key}:{df.schema[key].dataType.simpleString()},_uses:int>>"
-    ends = _local(ordered, ["_label"], lists, _skipped="int", _ends=kind)
-    # At most k - 1 ends for each of a checked number of labels.
-    return ordered.join(F.broadcast(ends), "_label").select(
+    upto = F.array(*[dealt(stop, f) - dealt(start, f) for f in range(k - 1)])
+    ends = _laid_out(classes).select("_label", F.explode(upto).alias("_rank"))
+    ends = ends.groupBy("_label", "_rank").agg(F.count(F.lit(1)).cast("int").alias("_uses"))
+    ends = materialise(ends, "ends")
+    ordered = _with_order(marked, key, seed, figures["largest"])
+    wanted = ends.where("_rank > 0").select("_label", "_rank")
+    cuts = rank_cuts(ordered, ["_label"], "_bucket", ["_h", key], wanted)
+    none, end = F.col("_rank") == 0, F.struct("_h", key, "_uses")
+    # At most k - 1 ends a label.
+    lists = ends.join(cuts, ["_label", "_rank"], "left").groupBy("_label").agg(
+        F.coalesce(F.sum(F.when(none, F.col("_uses"))), F.lit(0)).cast("int").alias("_skipped"),
+        F.collect_list(F.when(~none, end)).alias("_ends"),
+    )
+    joined = join_by_size(ordered, materialise(lists, "lists"), ["_label"], "inner", [key])
+    return joined.select(
         *df.columns, (F.col("_skipped") + _fold_number(key, F.col("_ends"))).alias("fold")
     )
 
 
+def _laid_out(classes: DataFrame) -> DataFrame:
+    """Add `_start`, the rows of all classes of smaller `_first`.
+
+    Classes are summed by the first digits of their hash, these sums in one task, and
+    each part is summed up on its own.
+    """
+    parted = classes.withColumn("_part", F.substring("_first._h", 1, PART_DIGITS))
+    parts = parted.groupBy("_part").agg(F.sum("_rows").alias("_in"))
+    before = F.sum("_in").over(Window.orderBy("_part")) - F.col("_in")
+    parts = parts.select("_part", before.alias("_before"))
+    within = F.sum("_rows").over(Window.partitionBy("_part").orderBy("_first")) - F.col("_rows")
+    # As many rows as there are parts: 4096 at most.
+    placed = parted.withColumn("_within", within).join(F.broadcast(parts), "_part")
+    return placed.withColumn("_start", F.col("_before") + F.col("_within"))
+
+
 def renumber(
     df: DataFrame,
     by: Sequence[str] = (),
@@ -277,14 +294,94 @@ def renumber(
     )
 
 
+class Span(NamedTuple):
+    """An open range of a column's values, the rows below and inside it, ranks to find there."""
+
+    column: str
+    low: float | None
+    high: float | None
+    before: int
+    rows: int
+    ranks: tuple[int, ...]
+
+
+def _in_spans(values: DataFrame, spans: Sequence[Span], borders: Sequence | None = None) -> DataFrame:
+    """(span, value, borders) of the values inside each span; a value can be in several."""
+    borders = borders or [None] * len(spans)
+    rows = [(i, s.column, s.low, s.high, b) for i, (s, b) in enumerate(zip(spans, borders, strict=True))]
+    kind = "span int, column string, low double, high double, borders array<double>"
+    table = local_frame(values.sparkSession, rows, kind)
+    value, low, high = F.col("value"), F.col("low"), F.col("high")
+    # A row for each column and rank that was asked for.
+    met = values.join(F.broadcast(table), "column")
+    inside = (low.isNull() | (value > low)) & (high.isNull() | (value < high))
+    return met.where(inside).select("span", "value", "borders")
+
+
+def narrowed(
+    values: DataFrame, spans: Sequence[Span], borders: Sequence[Sequence[float]]
+) -> tuple[dict[tuple[str, int], float], list[Span]]:
+    """Ranks found on a border, by (column, rank), and the spans between borders with the rest.
+
+    One pass counts the values on and between the borders. Those on a border are equal.
+    """
+    borders = [sorted(set(b)) for b in borders]
+    less = F.size(F.filter("borders", lambda b: b < F.col("value")))
+    part = 2 * less + F.array_contains("borders", F.col("value")).cast("int")
+    counted = _in_spans(values, spans, borders).groupBy("span", part.alias("part")).count()
+    # A row for each of a span's parts comes to the driver.
+    rows = counted.orderBy("span", "part").collect()
+    found, rest, upto = {}, [], {}
+    for row in rows:
+        span, cuts, (at, on) = spans[row["span"]], borders[row["span"]], divmod(row["part"], 2)
+        before = upto.get(row["span"], span.before)
+        upto[row["span"]] = before + row["count"]
+        ranks = tuple(rank for rank in span.ranks if before < rank <= upto[row["span"]])
+        if ranks and on:
+            found |= {(span.column, rank): cuts[at] for rank in ranks}
+        elif ranks:
+            low = cuts[at - 1] if at else span.low
+            high = cuts[at] if at < len(cuts) else span.high
+            rest.append(Span(span.column, low, high, before, row["count"], ranks))
+    return found, rest
+
+
+def values_at(
+    values: DataFrame, spans: Sequence[Span], borders: Sequence[Sequence[float]]
+) -> dict[tuple[str, int], float]:
+    """The value at each rank of the spans, by (column, rank), from the first `borders`.
+
+    Spans are narrowed, by even shares after the first round, until each holds up to
+    `RANKED` values, and only those are ranked.
+    """
+    shares = F.array(*[F.lit(i / CUTS) for i in range(CUTS + 1)])
+    found, spans = narrowed(values, spans, borders)
+    while wide := [span for span in spans if span.rows > RANKED]:
+        sketch = F.percentile_approx("value", shares, F.lit(10_000)).alias("at")
+        cuts = {r["span"]: r["at"] for r in _in_spans(values, wide).groupBy("span").agg(sketch).collect()}
+        more, inner = narrowed(values, wide, [cuts[i] for i in range(len(wide))])
+        found |= more
+        spans = [span for span in spans if span.rows <= RANKED] + inner
+    if not spans:
+        return found
+    folded = _in_spans(values, spans).groupBy("span", "value").count()
+    upto = F.sum("count").over(Window.partitionBy("span").orderBy("value"))
+    rows = [(i, rank, rank - span.before) for i, span in enumerate(spans) for rank in span.ranks]
+    wanted = local_frame(values.sparkSession, rows, "span int, rank long, place long")
+    hit = (F.col("place") > F.col("upto") - F.col("count")) & (F.col("place") <= F.col("upto"))
+    # A row for each rank that was asked for.
+    ranked = folded.withColumn("upto", upto).join(F.broadcast(wanted), "span").where(hit).collect()
+    return found | {(spans[row["span"]].column, row["rank"]): row["value"] for row in ranked}
+
+
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of each column, one row per column.
 
     A column without values has count 0 and NULL for the rest.
 
     Quartiles are exact and interpolated. Rather than sorting a column in one
-    task, approximate percentiles mark a narrow range around each quartile, and
-    only the values of the range it falls in are ranked, equal values folded.
+    task, approximate percentiles mark a narrow range around each quartile, which is
+    narrowed until it holds few enough values to rank (`values_at`).
     """
     entry = [
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
@@ -322,19 +419,17 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for share in quartiles
         for rank in around(row, share)[:2]
     }
-    borders = _local(stats, ["column", "_borders"], [(r["column"], r["_borders"]) for r in known.values()])
-    placed = values.join(F.broadcast(borders), "column").select(
-        "column",
-        "value",
-        F.size(F.filter("_borders", lambda b: b < F.col("value"))).alias("_bucket"),
-    )
-    at = rank_cuts(placed, ["column"], "_bucket", ["value"], sorted(wanted))
+    ranks: dict[str, set[int]] = {}
+    for name, rank in wanted:
+        ranks.setdefault(name, set()).add(rank)
+    spans = [Span(name, None, None, 0, known[name]["count"], tuple(sorted(ranks[name]))) for name in known]
+    at = values_at(values, spans, [known[name]["_borders"] for name in known]) if spans else {}
     rows = []
     for name, row in known.items():
         cells = []
         for share in quartiles:
             low, high, part = around(row, share)
-            (below,), (above,) = at[name, low], at[name, high]
+            below, above = at[name, low], at[name, high]
             cells.append(below + (above - below) * part)
         rows.append((name, row["count"], row["mean"], row["std"], row["min"], *cells, row["max"]))
     rows += [(name, 0, *[None] * 7) for name in columns if name not in known]

@@ -165,3 +165,52 @@ def test_a_column_without_values_is_described(spark):
     frame = spark.createDataFrame([(1.0, None), (3.0, None)], "x double, never double")
     got = {r["column"]: r for r in sampling.describe_numeric(frame, ["x", "never"]).collect()}
     assert got["x"]["p50"] == 2.0 and got["never"]["count"] == 0 and got["never"]["max"] is None
+
+
+def test_more_groups_than_the_driver_should_hold(spark):
+    """A size, a cut and folds for each of 200,000 groups, one of them with a third of the rows."""
+    group = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 199_999)
+    frame = spark.range(600_000).select(F.col("id").alias("tweet_id"), group.alias("g"))
+    sizes = {r["g"]: r["count"] for r in frame.groupBy("g").count().collect()}
+    assert len(sizes) > 190_000
+    got = sampling.sample_keys(frame, ["g"], 1, "tweet_id").groupBy("g").count()
+    assert got.count() == len(sizes) and got.where("count <> 1").isEmpty()
+    least = sampling.sample_keys(frame, ["g"], 1, "tweet_id").where("g = 7").first()["tweet_id"]
+    assert least == ordered(r["tweet_id"] for r in frame.where("g = 7").collect())[0]
+    folded = sampling.stratified_folds(frame, "g", 4)
+    folds = {r["fold"]: r["count"] for r in folded.groupBy("fold").count().collect()}
+    assert set(folds.values()) == {150_000}
+    hot = [r["count"] for r in folded.where("g = -1").groupBy("fold").count().collect()]
+    assert max(hot) - min(hot) <= 1 and sum(hot) == sizes[-1]
+
+
+def test_a_group_without_a_size_is_an_error(frame):
+    with pytest.raises(KeyError, match="without a size"):
+        sampling.balanced_sample(frame, "label", {("hot",): 7})
+
+
+def test_quantiles_are_narrowed_to_few_values(spark, monkeypatch):
+    """Distinct doubles, and a value that many rows share next to them: at most RANKED are ranked."""
+    monkeypatch.setattr(sampling, "RANKED", 40)
+    monkeypatch.setattr(sampling, "CUTS", 16)
+    rng = random.Random(3)
+    x = [rng.gauss(0, 1) for _ in range(20_000)]
+    y = [1.5 if i % 3 == 0 else rng.lognormvariate(0, 4) for i in range(20_000)]
+    z = [rng.choice([-math.inf, math.inf, 0.0, -0.0, 5.0]) for _ in range(20_000)]
+    ranked, original = [], sampling._in_spans
+
+    def watched(values, spans, borders=None):
+        if borders is None:
+            ranked.append([span.rows for span in spans])
+        return original(values, spans, borders)
+
+    monkeypatch.setattr(sampling, "_in_spans", watched)
+    frame = spark.createDataFrame(list(zip(x, y, z, strict=True)), "x double, y double, z double")
+    columns = {"x": sorted(x), "y": sorted(y), "z": sorted(z)}
+    wanted = (1, 2, 777, 4_321, 10_007, 13_338, 20_000)
+    values = frame.unpivot([], list(columns), "column", "value")
+    # First borders that narrow nothing: all the work is left to the rounds.
+    spans = [sampling.Span(name, None, None, 0, 20_000, wanted) for name in columns]
+    got = sampling.values_at(values, spans, [[own[0]] for own in columns.values()])
+    assert got == {(name, rank): own[rank - 1] for name, own in columns.items() for rank in wanted}
+    assert max(ranked[0]) > 10_000 and max(ranked[-1]) <= 40
