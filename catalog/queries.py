@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import standins as s
-from catalog.rules import INTERACTION_TREE
+from catalog.rules import INTERACTION_TREE, PRINTED_DEPTH
 from postpulse import plans
 from postpulse.functions import (
     META_FEATURES,
     upper_word_list,
     word_tokens,
 )
-from postpulse.operators import bow, evaluate, features, labels, ngrams, sampling, trees
+from postpulse.operators import bow, evaluate, features, labels, ngrams, rules, sampling, trees
 from postpulse.operators.joins import dedupe_first, pair_first_posts, pair_posts
 from postpulse.plans import Exploration, training
 from postpulse.sources import (
@@ -335,6 +335,29 @@ def explicit_flag_any_case(spark, d):
     return flagged.select("tweet_id", "isExplicit")
 
 
+def _openings(spark, d):
+    """The first two and the first three words of each benchmark text, as entries of a list."""
+    tokens = F.col("tokens")
+    texts = s.table(spark, d, "benchmark").select(word_tokens(F.col("text")).alias("tokens"))
+    return texts.select(
+        F.explode(F.array(*[F.array_join(F.slice(tokens, 1, n), " ") for n in (2, 3)])).alias("term")
+    )
+
+
+@query()
+def explicit_phrases(spark, d):
+    """Entries of several words, met as runs of neighbouring tokens."""
+    flagged = features.explicit_flag(_texts(spark, d), _openings(spark, d), phrases=True)
+    return flagged.select("tweet_id", "isExplicit")
+
+
+@query()
+def explicit_phrases_joined(spark, d):
+    """As `explicit_phrases`, with a list treated as too long for a constant."""
+    flagged = features.explicit_flag(_texts(spark, d), _openings(spark, d), phrases=True, limit=0)
+    return flagged.select("tweet_id", "isExplicit")
+
+
 @query()
 def explicit_flag_long_list(spark, d):
     """The dictionary as a word list, treated as too long for a literal."""
@@ -713,7 +736,17 @@ def score_rules(spark, d):
     """The published tree on the interaction matrix of every ticker."""
     matrix = _matrix(spark, d, "interaction_level")
     names = training.feature_columns("interaction_level", WORDS)
-    scored = trees.score_rules(matrix, INTERACTION_TREE, names)
+    scored = rules.score_rules(matrix, INTERACTION_TREE, names)
+    return scored.select("tweet_id", "ticker_symbol", "interaction_level", "predicted")
+
+
+@query()
+def score_printed_rules(spark, d):
+    """The same tree from a print that stops at the sixth test; what it cuts off is unknown."""
+    matrix = _matrix(spark, d, "interaction_level")
+    names = training.feature_columns("interaction_level", WORDS)
+    printed = rules.print_rules(INTERACTION_TREE, PRINTED_DEPTH)
+    scored = rules.score_rules(matrix, rules.read_rules(printed), names)
     return scored.select("tweet_id", "ticker_symbol", "interaction_level", "predicted")
 
 

@@ -41,3 +41,6 @@ INTERACTION_TREE = (
       "none")),
     (16, 0.50, "none", "low"),
 )
+
+# Tests on a way that the shortened print shows.
+PRINTED_DEPTH = 5

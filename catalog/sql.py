@@ -9,7 +9,7 @@ of hash-prefix histograms.
 from __future__ import annotations
 
 from catalog import standins as s
-from catalog.rules import INTERACTION_TREE
+from catalog.rules import INTERACTION_TREE, PRINTED_DEPTH
 from postpulse.operators.ngrams import DOMAIN_STOP_WORDS
 
 WORDS = 100
@@ -317,6 +317,48 @@ def rule_case(rules) -> str:
     )
 
 
+def node_values(rules, way: str = "") -> list[str]:
+    """Nodes named by the way from the root (l, h), cut off below the printed tests."""
+    if isinstance(rules, str):
+        return [f"('{way}', NULL, NULL, '{rules}')"]
+    if len(way) > PRINTED_DEPTH:
+        return [f"('{way}', NULL, NULL, 'unknown')"]
+    index, threshold, low, high = rules
+    own = f"('{way}', {index}, {threshold}::DOUBLE, NULL)"
+    return [own, *node_values(low, way + "l"), *node_values(high, way + "h")]
+
+
+def walked() -> str:
+    """Rows of the matrix walking a node table, one test a round."""
+    names = [
+        "round(polarity, 9)" if c == "polarity" else f'"{c}"'
+        for c in feature_columns("interaction_level", WORDS)
+    ]
+    return f"""SELECT tweet_id, ticker_symbol, interaction_level, predicted FROM (
+      WITH RECURSIVE nodes(way, feature, threshold, class) AS (VALUES {', '.join(node_values(INTERACTION_TREE))}),
+      valued AS MATERIALIZED (SELECT tweet_id, ticker_symbol, interaction_level,
+          [{', '.join(f'{name}::DOUBLE' for name in names)}] AS x
+        FROM matrix WHERE target = 'interaction_level'),
+      walk AS (
+        SELECT v.*, '' AS way FROM valued v
+        UNION ALL
+        SELECT w.tweet_id, w.ticker_symbol, w.interaction_level, w.x,
+          w.way || CASE WHEN w.x[n.feature + 1] <= n.threshold THEN 'l' ELSE 'h' END
+        FROM walk w JOIN nodes n USING (way) WHERE n.feature IS NOT NULL)
+      SELECT walk.*, class AS predicted FROM walk JOIN nodes USING (way) WHERE class IS NOT NULL)"""
+
+
+def phrase_flag() -> str:
+    run = "list_transform(range(1, len(t) - {0} + 2), lambda i: array_to_string(t[i:i + {0} - 1], ' '))"
+    return f"""WITH openings AS (SELECT {word_tokens('text')} AS t FROM benchmark),
+      entries AS (SELECT array_to_string(t[1:2], ' ') AS term FROM openings
+        UNION SELECT array_to_string(t[1:3], ' ') FROM openings),
+      listed AS (SELECT list(term) AS terms FROM entries),
+      texts AS (SELECT doc_id AS tweet_id, {word_tokens('text')} AS t FROM documents)
+      SELECT tweet_id, coalesce(list_has_any(list_concat(t, {run.format(2)}, {run.format(3)}), terms), false)::INT AS "isExplicit"
+      FROM texts, listed"""
+
+
 def gram_window(n: int, over: str) -> str:
     parts = ["w"] + [f"lead(w, {j}) OVER ({over})" for j in range(1, n)]
     return " || ' ' || ".join(parts)
@@ -761,6 +803,8 @@ ORACLES: dict[str, str] = {
       sums AS (SELECT k, sum((y - p) * (y - p)) AS res, sum(y) - sum(y) * sum(y) / count(*) AS tot,
           count(*) AS support FROM flat GROUP BY k)
       SELECT avg(1 - res / tot) AS r2, max(support) AS support FROM sums""",
+    "score_printed_rules": training(walked()),
+    "explicit_phrases": phrase_flag(),
     "score_rules": training(
         f"""SELECT tweet_id, ticker_symbol, interaction_level, {rule_case(INTERACTION_TREE)} AS predicted
       FROM matrix WHERE target = 'interaction_level'"""
@@ -769,6 +813,7 @@ ORACLES: dict[str, str] = {
 # The same answers by a join to the list instead of a literal, or from repeated posts.
 for name, same in (
     ("unknown_words_joined", "unknown_words"),
+    ("explicit_phrases_joined", "explicit_phrases"),
     ("lexicon_polarity_joined", "lexicon_polarity"),
     ("first_posts_repeated", "first_posts"),
 ):

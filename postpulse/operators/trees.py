@@ -529,62 +529,6 @@ def tree_rules(spark: SparkSession, tree: Tree, labels: Sequence[str], names: Se
     return local_frame(spark, out, "leaf_id int, rule string, prediction string, rows long")
 
 
-def read_rules(text: str) -> tuple | str:
-    """A printed tree as nested rules for `score_rules`; a branch cut off is "unknown".
-
-    Reads what `tree_text` writes: a line per test or class, indented by its depth, the
-    `<=` side of a test before its `>` side. Features are numbers.
-    """
-    lines = [line for line in text.splitlines() if line.strip()]
-    place = 0
-
-    def node() -> tuple | str:
-        nonlocal place
-        said = lines[place].split("|--- ", 1)[1].strip()
-        place += 1
-        if said.startswith("class: "):
-            return said.removeprefix("class: ")
-        if said.startswith("truncated branch"):
-            return "unknown"
-        feature, sign, threshold = said.split()
-        if sign != "<=":
-            raise ValueError(f"line {place}: expected a <= test, found {said!r}")
-        low = node()
-        other = lines[place].split("|--- ", 1)[1].split()
-        if other[:2] != [feature, ">"]:
-            raise ValueError(f"line {place + 1}: expected the > side of {feature}")
-        place += 1
-        return int(feature.rpartition("_")[2]), float(threshold), low, node()
-
-    return node()
-
-
-def rule_expression(rules: tuple | str, columns: Sequence[Column]) -> Column:
-    """Nested (feature, threshold, rules if <=, rules if >) as one expression.
-
-    Plain strings are classes. Each row meets exactly one leaf, as each test is
-    a two-way choice; a row with a missing feature on its way gets NULL.
-    """
-    if isinstance(rules, str):
-        return F.lit(rules)
-    index, threshold, low, high = rules
-    value = columns[index]
-    return F.when(value <= threshold, rule_expression(low, columns)).when(
-        value > threshold, rule_expression(high, columns)
-    )
-
-
-def score_rules(
-    df: DataFrame, rules: tuple | str, features: Sequence[str], name: str = "predicted"
-) -> DataFrame:
-    """Add the class a published tree gives each row, features by position.
-
-    One conditional expression per row, whatever the tree: meant for trees small
-    enough to print.
-    """
-    return df.withColumn(name, rule_expression(rules, [F.col(f) for f in features]))
-
-
 # ---- model selection -------------------------------------------------------
 
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalog.rules import INTERACTION_TREE
-from postpulse.operators import evaluate, sampling, trees
+from postpulse.operators import evaluate, rules, sampling, trees
 from postpulse.plans import feature_columns
 from postpulse.sources import materialise
 
@@ -86,11 +86,11 @@ def test_pruned_tree_object_matches_the_stand_ins(fit, data):
     alpha = trees.pruning_steps(fit.tree)[4][0]
     pruned = trees.prune(fit.tree, alpha)
     assert len(pruned.leaves()) == len(set(trees.cut_at(fit.tree, alpha)))
-    rules = trees.tree_rules(data.rows.sparkSession, pruned, fit.labels, NAMES).collect()
-    assert sum(r["rows"] for r in rules) == 900
+    listed = trees.tree_rules(data.rows.sparkSession, pruned, fit.labels, NAMES).collect()
+    assert sum(r["rows"] for r in listed) == 900
     got = {r["tweet_id"]: r["predicted"] for r in scored(fit.at(alpha), data).collect()}
     seen = 0
-    for rule in rules:
+    for rule in listed:
         for row in data.rows.where(rule["rule"]).select("tweet_id").collect():
             seen += 1
             assert got[row["tweet_id"]] == rule["prediction"]
@@ -228,8 +228,8 @@ def test_tree_text_and_nodes(spark, fit):
     assert nodes.where("feature IS NULL").count() == len(fit.tree.leaves())
 
 
-def leaves_of(rules):
-    return 1 if isinstance(rules, str) else leaves_of(rules[2]) + leaves_of(rules[3])
+def leaves_of(part):
+    return 1 if isinstance(part, str) else leaves_of(part[2]) + leaves_of(part[3])
 
 
 def test_published_rules_give_each_row_one_leaf(spark):
@@ -240,13 +240,13 @@ def test_published_rules_give_each_row_one_leaf(spark):
     rng = np.random.default_rng(0)
     values = np.column_stack([rng.normal(scale=20, size=(500, 15)), rng.integers(0, 2, (500, 100))])
     df = spark.createDataFrame([tuple(map(float, row)) for row in values], names)
-    got = [r["predicted"] for r in trees.score_rules(df, INTERACTION_TREE, names).collect()]
+    got = [r["predicted"] for r in rules.score_rules(df, INTERACTION_TREE, names).collect()]
 
-    def walk(rules, row):
-        while not isinstance(rules, str):
-            index, threshold, low, high = rules
-            rules = low if row[index] <= threshold else high
-        return rules
+    def walk(part, row):
+        while not isinstance(part, str):
+            index, threshold, low, high = part
+            part = low if row[index] <= threshold else high
+        return part
 
     assert got == [walk(INTERACTION_TREE, row) for row in values]
 
@@ -281,23 +281,35 @@ def test_grid(spark, data):
     assert {"numTrees", "maxDepth"} <= resolved
 
 
-def printed(rules, depth=0):
-    """The published form of nested rules."""
-    bar = f"{'|   ' * depth}|--- "
-    if isinstance(rules, str):
-        return [f"{bar}class: {rules}"]
-    index, threshold, low, high = rules
-    return [
-        f"{bar}feature_{index} <= {threshold:.2f}", *printed(low, depth + 1),
-        f"{bar}feature_{index} >  {threshold:.2f}", *printed(high, depth + 1),
-    ]
-
-
 def test_printed_rules_are_read_back(fit):
-    assert trees.read_rules("\n".join(printed(INTERACTION_TREE))) == INTERACTION_TREE
-    whole = trees.read_rules(trees.tree_text(fit.tree, fit.labels, max_depth=99))
+    assert rules.read_rules(rules.print_rules(INTERACTION_TREE, 99)) == INTERACTION_TREE
+    whole = rules.read_rules(trees.tree_text(fit.tree, fit.labels, max_depth=99))
     assert leaves_of(whole) == len(fit.tree.leaves())
-    cut = trees.read_rules(trees.tree_text(fit.tree, fit.labels, max_depth=1))
+    cut = rules.read_rules(trees.tree_text(fit.tree, fit.labels, max_depth=1))
     assert "unknown" in str(cut) and leaves_of(cut) < leaves_of(whole)
     with pytest.raises(ValueError, match="expected"):
-        trees.read_rules("|--- feature_0 <= 1.00\n|   |--- class: a\n|--- feature_1 >  1.00\n|   |--- class: b")
+        rules.read_rules("|--- feature_0 <= 1.00\n|   |--- class: a\n|--- feature_1 >  1.00\n|   |--- class: b")
+    with pytest.raises(ValueError, match="expected the end"):
+        rules.read_rules("|--- class: a\n|--- class: b")
+    with pytest.raises(ValueError, match="expected a test"):
+        rules.read_rules("|--- feature_0 <= 1.00\n")
+    named = rules.read_rules("|--- a b <= -1.50\n|   |--- class: x y\n|--- a b >  -1.50\n|   |--- class: z", ["c", "a b"])
+    assert named == (1, -1.5, "x y", "z")
+
+
+def test_rules_are_walked_as_a_table(spark):
+    """Cut-off branches, missing and odd features, a tree of one leaf, and one of 60 levels."""
+    cut = rules.read_rules(rules.print_rules((0, 1.0, (1, 2.0, (0, 0.0, "a", "b"), "c"), "d"), 1))
+    assert cut == (0, 1.0, (1, 2.0, rules.CUT_OFF, "c"), "d")
+    rows = [(0.5, 1), (0.5, 3), (1.5, None), (None, 1), (0.5, None), (float("nan"), 1), (1.0, 2)]
+    df = spark.createDataFrame(rows, "x double, y int")
+    got = [r["predicted"] for r in rules.score_rules(df, cut, ["x", "y"]).collect()]
+    assert got == ["unknown", "c", "d", None, None, "d", "unknown"]
+    assert {r["predicted"] for r in rules.score_rules(df, "only", ["x", "y"]).collect()} == {"only"}
+    deep = "end"
+    for level in reversed(range(60)):
+        deep = (0, float(level), f"at {level}", deep)
+    assert rules.rule_table(spark, deep).where("class is null").count() == 60
+    values = spark.range(62).select(F.col("id").alias("x"))
+    got = {r["x"]: r["predicted"] for r in rules.score_rules(values, deep, ["x"]).collect()}
+    assert got == {**{k: f"at {k}" for k in range(60)}, 60: "end", 61: "end"}
