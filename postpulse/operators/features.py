@@ -18,6 +18,7 @@ from postpulse.functions.text import (
     words,
 )
 from postpulse.operators.joins import fits_broadcast, join_by_size
+from postpulse.sources import local_frame
 
 # Word lists up to this many entries become a constant in the plan (`small_lookup`).
 # Longer ones are joined, with the same answers.
@@ -76,6 +77,60 @@ def _terms(terms: DataFrame, term: Column) -> DataFrame:
     return terms.select(term.alias("term")).where(F.col("term").isNotNull()).distinct()
 
 
+def word_lookup(terms: DataFrame, limit: int = LITERAL_TERMS) -> Callable[[Column], Column] | None:
+    """Whether an array of tokens holds one of up to `limit` terms; None if there are more."""
+    row_of = small_lookup(terms, "", limit)
+    if row_of is None:
+        return None
+    return lambda tokens: F.exists(tokens, lambda word: row_of(word).isNotNull())
+
+
+def _edge(state: Column | int, word: Column | str) -> Column | str:
+    """Name of the way out of a state by a word."""
+    if isinstance(word, str):
+        return f"{state} {word}"
+    return F.concat(state.cast("string"), F.lit(" "), word)
+
+
+def phrase_edges(entries: Sequence[str]) -> list[tuple[str, int]]:
+    """(edge, next state) of the tree of the entries' words; an entry's last word leads to -1."""
+    states: dict[tuple[str, ...], int] = {(): 0}
+    edges: dict[str, int] = {}
+    for entry in sorted(set(entries)):
+        words = tuple(entry.split(" "))
+        for i, word in enumerate(words):
+            edge = _edge(states[words[:i]], word)
+            if edges.get(edge) == -1:
+                break  # a shorter entry is met before
+            last = i + 1 == len(words)
+            # The way of a longer entry is never needed once a shorter one ends on it.
+            edges[edge] = -1 if last else states.setdefault(words[: i + 1], len(states))
+    return list(edges.items())
+
+
+def phrase_lookup(terms: DataFrame, limit: int = LITERAL_TERMS) -> Callable[[Column], Column] | None:
+    """Whether neighbouring tokens are one of up to `limit` entries; None if there are more.
+
+    The entries' words are a tree, its edges a constant. One fold over the tokens carries
+    the states that the last tokens lead to, which are fewer than the longest entry's words.
+    """
+    entries = [row["term"] for row in terms.select("term").limit(limit + 1).collect()]
+    if len(entries) > limit:
+        return None
+    edges = phrase_edges(entries)
+    table = local_frame(terms.sparkSession, edges, "term string, next int")
+    row_of = small_lookup(table, "next int", len(edges))
+    done = F.array(F.lit(-1))
+
+    def step(states: Column, word: Column) -> Column:
+        onward = F.transform(F.concat(F.array(F.lit(0)), states), lambda at: row_of(_edge(at, word))["next"])
+        reached = F.filter(onward, lambda at: at.isNotNull())
+        return F.when(F.array_contains(states, -1), done).otherwise(reached)
+
+    none = F.array().cast("array<int>")
+    return lambda tokens: F.array_contains(F.aggregate(tokens, none, step), -1)
+
+
 def explicit_flag(
     df: DataFrame,
     terms: DataFrame,
@@ -88,24 +143,22 @@ def explicit_flag(
     """Add `isExplicit`: 1 when a word token of the body equals an entry.
 
     Matching is case-sensitive, and an entry with a space in it never matches,
-    unless `case_insensitive` or `phrases` asks for more; `phrases` looks runs of
-    as many tokens up as some entry has words. NULL entries are left out. A list of
-    up to `limit` entries is a constant in the plan and the flag a row expression. A
-    longer list is joined to the distinct tokens instead.
+    unless `case_insensitive` or `phrases` asks for more; with `phrases`, neighbouring
+    tokens that are an entry's words, split at single spaces, match it. NULL entries are
+    left out. A list of up to `limit` entries is a constant in the plan and the flag a row
+    expression. A longer list is joined to the distinct tokens (and runs) instead.
     """
     terms = _terms(terms, F.lower("term") if case_insensitive else F.col("term"))
     text = F.lower(body) if case_insensitive else F.col(body)
     tokens = word_tokens(text)
+    holds = (phrase_lookup if phrases else word_lookup)(terms, limit)
+    if holds is not None:
+        hit = F.coalesce(holds(tokens), F.lit(False))
+        return df.withColumn("isExplicit", hit.cast("int"))
     looked_up = [tokens]
     if phrases:
         sizes = terms.select(F.size(F.split("term", " ")).alias("n")).where("n > 1").distinct()
         looked_up += [_runs(tokens, row["n"]) for row in sizes.collect()]
-    row_of = small_lookup(terms, "", limit)
-    if row_of is not None:
-        hit = F.lit(False)
-        for words_or_runs in looked_up:
-            hit = hit | F.exists(words_or_runs, lambda word: row_of(word).isNotNull())
-        return df.withColumn("isExplicit", F.coalesce(hit, F.lit(False)).cast("int"))
     every = F.array_distinct(F.concat(*looked_up))
     marked = df.withColumn("_text", F.xxhash64(body))
     found = marked.select(key, "_text", F.explode(every).alias("term"))
@@ -120,9 +173,14 @@ def explicit_flag(
 
 def _runs(tokens: Column, size: int) -> Column:
     """All runs of `size` neighbouring tokens, each joined by a space."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - size + 1, F.lit(1)))
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, size), " "))
-    return F.when(F.size(tokens) >= size, runs).otherwise(F.array().cast("array<string>"))
+
+    def runs(tokens: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(tokens) - size + 1, F.lit(1)))
+        return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, size), " "))
+
+    # As the element of an array the tokens are made once and not for each run.
+    every = F.get(F.transform(F.array(tokens), runs), F.lit(0))
+    return F.when(F.size(tokens) >= size, every).otherwise(F.array().cast("array<string>"))
 
 
 def _rows_with(marked: DataFrame, found: DataFrame, key: str, name: str, none: Column) -> DataFrame:

@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from postpulse.operators import features
 from postpulse.sources import (
@@ -45,6 +48,27 @@ def test_explicit_flag_options(posts, terms):
     assert flags(joined) == flags(features.explicit_flag(posts, terms, phrases=True))
 
 
+def test_phrases_are_met_wherever_they_stand(spark):
+    """Entries that begin, end or hold other entries, by brute force over short texts."""
+    rng = random.Random(8)
+    entries = ["a b", "a b c", "b a d", "a a b a", "d d", "e", "", "f ", " f", "f  f", None, "a b"]
+    texts = [" ".join(rng.choice("aabbcdf") for _ in range(rng.randint(0, 7))) for _ in range(300)] + ["e", "E", None]
+    posts = spark.createDataFrame(list(enumerate(texts)), "tweet_id long, body string")
+    listed = spark.createDataFrame([(e,) for e in entries], "term string")
+
+    def holds(text):
+        words = (text or "").split()
+        runs = {" ".join(words[i:j]) for i in range(len(words)) for j in range(i + 1, len(words) + 1)}
+        return int(bool(runs & {e for e in entries if e}))
+
+    for limit in (100, 0):
+        got = features.explicit_flag(posts, listed, phrases=True, limit=limit).collect()
+        assert {r["tweet_id"]: r["isExplicit"] for r in got} == {k: holds(t) for k, t in enumerate(texts)}
+    none = features.explicit_flag(posts, listed.limit(0), phrases=True).agg(F.sum("isExplicit")).first()[0]
+    assert none == 0
+    assert features.phrase_edges(["x y z", "x y"]) == [("0 x", 1), ("1 y", -1)]
+
+
 def test_rows_that_share_an_id_have_their_own_answers(spark):
     rows = spark.createDataFrame([(1, "bad day"), (1, "good day"), (2, None)], "tweet_id long, body string")
     words = spark.createDataFrame([("bad",), ("day",)], "term string")
