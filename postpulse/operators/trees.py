@@ -682,28 +682,35 @@ def _held_out_scores(
 ) -> dict[tuple[int, int], float]:
     """Accuracy of the forest's first trees, for each (number of trees, least split).
 
-    Rows that reach the same leaves of all trees and have the same label count as one,
-    so the driver adds up shares once for each such kind of row.
+    Rows that reach the same leaves of all trees and have the same label vote once. The votes
+    are added up in the tasks, and one row of counts comes back.
     """
     leaves = vector_to_array("leaf").cast("array<int>").alias("leaves")
     kinds = fit.model.transform(held).groupBy(leaves, "label_index").count()
-    right, total = dict.fromkeys(product(sizes, splits), 0), 0
-    tables = {
-        least: [
-            np.array([tree.shares(node) for node in collapse_small(tree, least)])
-            for tree in fit.trees
-        ]
-        for least in splits
-    }
-    for row in kinds.toLocalIterator():
-        total += row["count"]
-        for least, table in tables.items():
-            votes = np.array([shares[leaf] for shares, leaf in zip(table, row["leaves"], strict=True)])
-            sums = votes.cumsum(axis=0)
-            for size in sizes:
-                if sums[size - 1].argmax() == int(row["label_index"]):
-                    right[size, least] += row["count"]
-    return {point: count / total if total else 0.0 for point, count in right.items()}
+    none = F.array(*[F.lit(0.0) for _ in fit.labels])
+    start = F.struct(none.alias("sums"), F.array().cast("array<boolean>").alias("right"))
+
+    def step(state: Column, shares: Column) -> Column:
+        def counted(sums: Column) -> Column:
+            best = F.array_position(sums, F.array_max(sums)) - 1
+            right = F.concat(state["right"], F.array(best == F.col("label_index")))
+            return F.struct(sums.alias("sums"), right.alias("right"))
+
+        sums = F.zip_with(state["sums"], shares, lambda a, b: a + b)
+        # As the element of an array the sums are made once and not for each use.
+        return F.get(F.transform(F.array(sums), counted), F.lit(0))
+
+    def right_after(least: int) -> Column:
+        """Whether the first tree, the first two, … give a row's label."""
+        table = [[tree.shares(n).tolist() for n in collapse_small(tree, least)] for tree in fit.trees]
+        votes = F.transform("leaves", lambda leaf, t: F.get(F.get(_literal(table), t), leaf))
+        return F.aggregate(votes, start, step, lambda state: state["right"])
+
+    voted = kinds.select("count", *[right_after(least).alias(f"after_{least}") for least in splits])
+    points = list(product(sizes, splits))
+    hits = [F.sum(F.when(F.get(f"after_{least}", F.lit(n - 1)), F.col("count"))) for n, least in points]
+    total, *right = voted.agg(F.sum("count"), *hits).first()
+    return {point: (count or 0) / total if total else 0.0 for point, count in zip(points, right, strict=True)}
 
 
 def grid_search(

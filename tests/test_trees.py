@@ -297,6 +297,18 @@ def test_printed_rules_are_read_back(fit):
     assert named == (1, -1.5, "x y", "z")
 
 
+def test_votes_of_the_first_trees_are_counted_in_tasks(data):
+    fit = trees.fit_forest(data, 5, 3)
+    got = trees._held_out_scores(fit, data.rows, [1, 3, 5], [2, 100])
+    rows = fit.model.transform(data.rows).select("leaf", "label_index").collect()
+    for (size, least), score in got.items():
+        table = [[tree.shares(n) for n in trees.collapse_small(tree, least)] for tree in fit.trees]
+        votes = [sum(table[t][int(r["leaf"][t])] for t in range(size)).argmax() for r in rows]
+        assert score == pytest.approx(np.mean([v == r["label_index"] for v, r in zip(votes, rows, strict=True)]))
+    assert len(got) == 6
+    assert set(trees._held_out_scores(fit, data.rows.limit(0), [1], [2]).values()) == {0.0}
+
+
 def test_rules_are_walked_as_a_table(spark):
     """Cut-off branches, missing and odd features, a tree of one leaf, and one of 60 levels."""
     cut = rules.read_rules(rules.print_rules((0, 1.0, (1, 2.0, (0, 0.0, "a", "b"), "c"), "d"), 1))
