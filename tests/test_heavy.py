@@ -78,3 +78,13 @@ def test_loads_bound_every_term(spark, monkeypatch, rows):
     for g, own in least.items():
         tenth = sorted(Counter(t for k, _, t in rows if k == g).values(), reverse=True)[9:10]
         assert own == (tenth[0] if tenth else 0)
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 13])
+def test_terms_made_of_counted_rows(spark, monkeypatch, rows, buckets):
+    """Rows without a term, known by the hash of their parts, give the counts of their terms."""
+    monkeypatch.setattr(heavy, "BUCKETS", buckets)
+    df = spark.createDataFrame(rows, ROWS).select("g", F.substring("term", 1, 1).alias("a"), F.expr("substr(term, 2)").alias("b"))
+    got = heavy.most_frequent_of(df, ["g"], "term", 12, [F.col("a"), F.col("b")], F.concat("a", "b"))
+    found = {(r["g"], r["rank"], r["term"], r["count"]) for r in got.collect()}
+    assert found == wanted(rows, lambda g, h: (g,), 12)
