@@ -16,7 +16,7 @@ from postpulse.functions import (
     word_tokens,
     words,
 )
-from postpulse.functions.text import CLEANED_AWAY
+from postpulse.functions.text import CLEANED_AWAY, case_counts
 from postpulse.operators.features import add_meta_features, add_word_count, clean_body
 
 LITERAL = [
@@ -87,6 +87,25 @@ def test_tokenisers_match_plain_python(frame, samples):
         assert row["u"] == re.findall(r"\w+", text.upper())
 
 
+def test_latin_and_other_texts_agree(spark):
+    """A letter beyond the first 256 characters, in a word of its own, changes no other word."""
+    rows = [(f"a{chr(i)}b {chr(i)} B{chr(i)}c",) for i in range(1, 256)]
+    found = spark.createDataFrame(rows, "body string")
+    for read in (words, word_tokens, lambda body: F.split(clean_text(body), " ")):
+        latin, wide = read(F.col("body")), read(F.concat("body", F.lit(" \u0416")))
+        kept = F.array_remove(F.slice(wide, 1, F.size(wide) - 1), "")
+        assert found.where(F.array_remove(latin, "") != kept).count() == 0
+
+
+def test_lower_case_words_leave_before_others_are_matched(spark):
+    """Each match is made a string, so tokens and lower-case words are not counted by matches."""
+    df = spark.createDataFrame([("one two, Three FOUR x1 \u00e9t\u00e9 1.",), ("",)], "body string")
+    body = F.array_join(words(F.col("body")), " ")
+    assert [tuple(r) for r in df.select(*case_counts(body)).collect()] == [(1, 1, 4), (0, 0, 0)]
+    lower = df.select(case_counts(body)[2], word_tokens(F.col("body")))
+    assert "regexp_extract_all" not in lower._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_cleaning_matches_plain_python(frame, samples):
     stop = ["the", "me", "dont", "x"]
     rows = frame.select(
