@@ -7,9 +7,12 @@ from postpulse.plans.training import (
     feature_columns,
     feature_table,
     label_posts,
+    post_keys,
+    post_labels,
     training_matrix,
     training_samples,
     training_sets,
+    training_sets_of_labels,
     write_training_sets,
 )
 
@@ -19,10 +22,13 @@ __all__ = [
     "feature_columns",
     "feature_table",
     "label_posts",
+    "post_keys",
+    "post_labels",
     "set_cells",
     "set_models",
     "training_matrix",
     "training_samples",
     "training_sets",
+    "training_sets_of_labels",
     "write_training_sets",
 ]
