@@ -1,13 +1,16 @@
 """Row counts of the training sets that models are fitted and scored on, from small given tables."""
 
 import datetime as dt
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as contract
+from catalog import queries as catalog
 from check import connect, difference, duck_rows, spark_rows
+from postpulse.sources import scratch_dir
 
 TICKERS = ("1-URGENT", "2-HIGH", "3-MEDIUM")
 # The last ticker has one post, which is a test row of a set without training rows.
@@ -50,3 +53,14 @@ def test_set_model_rows_hold_sets_without_a_tree(spark, tables):
     assert difference(got, duck_rows(connect(tables), contract.oracle_sql()["set_model_rows"])) is None
     one = got[(got["ticker_symbol"] == TICKERS[2]) & (got["target"] == "interaction_level")]
     assert one[["part", "posts"]].values.tolist() == [["test", 1]]
+
+
+def test_model_sets_describe_sampled_posts_only(spark, tables):
+    """What a set stores of all posts has neither bodies nor counts of their words."""
+    folder = Path(scratch_dir(spark))
+    before = set(folder.iterdir())
+    catalog._set(spark, tables, "price_change", TICKERS[0])
+    stored = [p for p in set(folder.iterdir()) - before if p.name.split("-")[0] not in ("set", "vocabulary")]
+    kept = {p.name.split("-")[0]: spark.read.parquet(str(p)) for p in stored}
+    assert [name for name, table in kept.items() if {"body", "num_words"} & set(table.columns)] == ["sampled"]
+    assert (kept["labels"].count(), kept["sampled"].count()) == (sum(SIZES), SIZES[0])
