@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -32,6 +32,8 @@ LEAST = 30
 PORTION_BYTES = 3_000_000
 HELD_ROWS = 1_200_000
 TASK_ROWS = 250_000
+TASKS_PER_CORE = 2
+TEXT_BYTES = 256_000_000
 SKETCH_DEPTH = 2
 FEWEST_BITS, MOST_BITS = 20, 28
 END = re.compile(rb"[.,;:!?\x0A-\x0D]")
@@ -209,26 +211,44 @@ def suffixes(texts: DataFrame, least: int = LEAST) -> DataFrame:
             (salts, named.take(pa.array(shown)), pa.array([""] * len(shown), pa.string()), left_out[shown]),
         ]
 
-    def folded(held: list[tuple]) -> dict:
-        keys, first, place = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
-        n = np.bincount(place, np.concatenate([h[3] for h in held]), len(keys)).astype(np.int64)
-        lang, text = (pa.concat_arrays([h[k] for h in held]).take(pa.array(first)) for k in (1, 2))
-        # In their order neighbours begin alike, which stores and ships in fewer bytes.
-        order = pc.sort_indices(text)
-        return {"lang": lang.take(order), "suffix": text.take(order), "n": n[order.to_numpy()]}
-
     def rows(batches):
-        held = []
-        for batch in batches:
-            for portion in marked_words(batch):
-                held += of_portion(*portion)
-                if sum(len(h[0]) for h in held) >= HELD_ROWS:
-                    yield folded(held)
-                    held = []
-        if held:
-            yield folded(held)
-
-    return map_batches(texts, rows, "lang string, suffix string, n long")
+        parts = (part for batch in batches for portion in marked_words(batch) for part in of_portion(*portion))
+        for _, lang, text, n in folds(parts, HELD_ROWS):
+            # In their order neighbours begin alike, which stores and ships in fewer bytes.
+            order = pc.sort_indices(text)
+            yield {"lang": lang.take(order), "suffix": text.take(order), "n": n[order.to_numpy()]}
+
+    # A frequent suffix is in most tasks' texts and leaves each of them once, so tasks are few and large.
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    few = texts.coalesce(max(TASKS_PER_CORE * cores, size // TEXT_BYTES))
+    return map_batches(few, rows, "lang string, suffix string, n long")
+
+
+def folded(held: list[tuple]) -> tuple:
+    """(keys, languages, texts, counts) of several such parts as one, equal keys added up."""
+    keys, first, place = np.unique(np.concatenate([h[0] for h in held]), return_index=True, return_inverse=True)
+    n = np.bincount(place, np.concatenate([h[3] for h in held]), len(keys)).astype(np.int64)
+    lang, text = (pa.concat_arrays([h[k] for h in held]).take(pa.array(first)) for k in (1, 2))
+    return keys, lang, text, n
+
+
+def folds(parts: Iterable[tuple], most: int) -> Iterator[tuple]:
+    """`folded` parts, of which about `most` rows are held at a time.
+
+    What a fold leaves is held for the next one while that has room for a quarter of new rows.
+    """
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= most:
+            held = [folded(held)]
+            size = len(held[0][0])
+            if size > most * 3 // 4:
+                yield held.pop()
+                size = 0
+    if held:
+        yield folded(held)
 
 
 def slices(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> pa.Array:

@@ -8,6 +8,7 @@ from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -151,6 +152,38 @@ def test_quicksort_partitions_are_counts():
     assert got == {k: v for k, v in want.items() if v >= 12}
 
 
+def test_suffixes_leave_a_task_once(spark):
+    """The same texts in 64 pieces: rows are suffixes times tasks, of which there are two a core."""
+    text = F.lit("one two three four. one two")
+    docs = spark.range(0, 640, 1, 64).select(F.lit("en").alias("lang"), text.alias("text"))
+    found = phrases.suffixes(docs, least=30)
+    tasks = found.select(F.spark_partition_id().alias("task"), "*").collect()
+    counts = {}
+    for row in tasks:
+        counts[row["suffix"]] = counts.get(row["suffix"], 0) + row["n"]
+    assert counts == {
+        "one two three four": 640, "two three four": 640, "three four": 640, "four": 640, "one two": 640, "two": 640,
+    }
+    assert len(tasks) <= len(counts) * phrases.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+
+
+def test_folds_hold_what_they_left():
+    def part(keys):
+        names = pa.array([f"w{k}" for k in keys], pa.string())
+        return np.array(keys, np.uint64), pa.array(["en"] * len(keys), pa.string()), names, np.ones(len(keys), np.int64)
+
+    (keys, lang, text, n), *more = phrases.folds((part(range(10)) for _ in range(50)), 40)
+    assert not more and n.tolist() == [50] * 10 and text.to_pylist() == [f"w{k}" for k in keys.tolist()]
+    parts = list(phrases.folds((part(range(k, k + 7)) for k in range(0, 300, 5)), 40))
+    total = {}
+    for keys, _, _, n in parts:
+        assert len(keys) < 40 + 7
+        for key, times in zip(keys.tolist(), n.tolist(), strict=True):
+            total[key] = total.get(key, 0) + times
+    assert len(parts) > 1 and sum(total.values()) == 60 * 7 and total[5] == 2 and total[7] == 1
+    assert list(phrases.folds(iter([]), 40)) == []
+
+
 # Conversation repair
 
 
