@@ -42,6 +42,13 @@ def tables(tmp_path_factory):
     return str(folder)
 
 
+def test_tree_nodes_are_fitted_on_every_post(spark, tables):
+    nodes = contract.queries()["tree_nodes"](spark, tables).collect()
+    root = next(r for r in nodes if r["id"] == 0)
+    assert root["rawCount"] == sum(SIZES) and sum(root["impurityStats"]) == sum(SIZES)
+    assert sum(r["rawCount"] for r in nodes if r["leftChild"] < 0) == sum(SIZES)
+
+
 @pytest.mark.parametrize("name", ["pruned_tree", "pruned_tree_price", "pruned_tree_sentiment"])
 def test_pruned_tree_scores_a_fifth_of_all_posts(spark, tables, name):
     report = {r["label"]: r["support"] for r in contract.queries()[name](spark, tables).collect()}
