@@ -27,6 +27,7 @@ SHINGLE = 5
 NUM, DEN = 3, 4  # links: DEN * intersection >= NUM * union
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 LEAST_BITS, MOST_BITS = 20, 29
+MOST_FINE = 13  # a range's cells are numbered in 32 bits
 MARK_BITS = 26
 BUCKET_BYTES = 8 << 20
 LEAST_BUCKETS = 32
@@ -97,19 +98,23 @@ def rarity(texts: DataFrame, total: int, size: int) -> tuple[int, np.ndarray]:
     Any order of shingles gives right groups, and rare shingles first gives small ones.
     Counts are never too low, so a shingle at level 0, whose cell was met once, is in no
     other text. The sketch has one to two cells a word, and no more than
-    2 ** MOST_BITS: beyond that the levels are relative to what a cell holds on average.
+    2 ** MOST_BITS: beyond that shingles are counted in finer cells, and a cell has the
+    highest of its cells' levels. So many words may share a cell, and only those that are met
+    again count; the finer cells are enough that at most one cell in eight has two different
+    shingles in one of them.
     """
     bits = int(np.clip(np.ceil(np.log2(max(total / 6, 1))), LEAST_BITS, MOST_BITS))
     load = total / 6 / (1 << bits)
-    steps = np.array([1, 3, 15]) if load <= 1 else np.array([1, 3 + 2 * load, 15 + 2 * load])
+    fine = 0 if load <= 1 else min(int(np.ceil(2 + 2 * np.log2(load))), MOST_FINE)
+    steps = np.array([1, 3, 15])
 
     def hashes(batch):
         for at in range(0, batch.num_rows, DOCS_AT_ONCE):
             yield sets_of(texts_of(batch.slice(at, DOCS_AT_ONCE)), size)[0]
 
-    lists = sketch_lists(texts, hashes, bits, 1)
+    lists = sketch_lists(texts, hashes, bits, 1, fine)
     level = lambda n: np.digitize(n, steps, right=True).astype(np.uint8)
-    return bits, merged_flags(lists, bits, 1, level, 2)[0]
+    return bits, merged_flags(lists, bits, 1, level, 2, fine)[0]
 
 
 def _by_part(kind: int, part: np.ndarray, parts: int, keys, sids) -> dict:

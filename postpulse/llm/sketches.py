@@ -23,7 +23,8 @@ LISTS = "row int, range int, blob binary"
 def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     """The cell of each hash in a row of a sketch with 2 ** bits cells."""
     salted = hashes if row == 0 else mixed(hashes + np.uint64(row))
-    return (salted >> np.uint64(64 - bits)).astype(np.uint32)
+    found = salted >> np.uint64(64 - bits)
+    return found.astype(np.uint32) if bits <= 32 else found
 
 
 def varint(ascending: np.ndarray) -> bytes:
@@ -57,8 +58,10 @@ def sketch_lists(
     hashes_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]],
     bits: int,
     depth: int,
+    fine: int = 0,
 ) -> DataFrame:
-    """(row, range, blob): the cells that each partition's hashes fall into."""
+    """(row, range, blob): the cells, of 2 ** (bits + fine), that each partition's hashes fall into."""
+    span = RANGE_BITS + fine
 
     def parts(batches):
         held, size = [[] for _ in range(depth)], 0
@@ -68,19 +71,19 @@ def sketch_lists(
             for row in range(depth):
                 found = np.sort(np.concatenate(held[row]))
                 held[row].clear()
-                ranges = found >> np.uint32(RANGE_BITS)
+                ranges = found >> found.dtype.type(span)
                 borders = np.searchsorted(ranges, np.arange((1 << bits - RANGE_BITS) + 1))
                 for k in np.flatnonzero(np.diff(borders)).tolist():
                     own = found[borders[k] : borders[k + 1]].astype(np.int64)
                     out["row"].append(row)
                     out["range"].append(k)
-                    out["blob"].append(varint(own - (k << RANGE_BITS)))
+                    out["blob"].append(varint(own - (k << span)))
             return out
 
         for batch in batches:
             for hashes in hashes_of(batch):
                 for row in range(depth):
-                    held[row].append(cells(hashes, row, bits))
+                    held[row].append(cells(hashes, row, bits + fine))
                 size += len(hashes)
                 if size >= CHUNK_VALUES:
                     yield flush()
@@ -92,11 +95,18 @@ def sketch_lists(
 
 
 def merged_flags(
-    lists: DataFrame, bits: int, depth: int, flags: Callable[[np.ndarray], np.ndarray], width: int
+    lists: DataFrame,
+    bits: int,
+    depth: int,
+    flags: Callable[[np.ndarray], np.ndarray],
+    width: int,
+    fine: int = 0,
 ) -> list[np.ndarray]:
     """`flags` of the merged counts, `width` bits a cell (packed), for each row.
 
     Lists of a range are added one after the other, so a task holds one range's counts.
+    Of lists of finer cells, a task holds one range's values, and a cell has the largest of its
+    2 ** fine cells' flags, which must be 0 for a count of 0.
     The driver holds depth * 2 ** bits * width / 8 bytes.
     """
     dealt = lists.repartition("row", "range").sortWithinPartitions("row", "range")
@@ -105,7 +115,7 @@ def merged_flags(
         own, counts = None, None
 
         def done():
-            bits_ = flags(counts)
+            bits_ = largest_flags(counts, flags, fine) if fine else flags(counts)
             planes = [np.packbits((bits_ >> k) & 1) for k in range(width)]
             blob = np.concatenate(planes).tobytes()
             return {"row": [own[0]], "range": [own[1]], "blob": [blob]}
@@ -115,8 +125,11 @@ def merged_flags(
                 if own != (row, part):
                     if own:
                         yield done()
-                    own, counts = (row, part), np.zeros(1 << RANGE_BITS, np.uint32)
+                    own, counts = (row, part), [] if fine else np.zeros(1 << RANGE_BITS, np.uint32)
                 found = unvarint(blob)
+                if fine:
+                    counts.append(found.astype(np.uint32))
+                    continue
                 counts += np.bincount(found, minlength=1 << RANGE_BITS).astype(np.uint32)
         if own:
             yield done()
@@ -130,6 +143,20 @@ def merged_flags(
     return merged
 
 
+def largest_flags(
+    found: list[np.ndarray], flags: Callable[[np.ndarray], np.ndarray], fine: int
+) -> np.ndarray:
+    """For each cell of a range, the largest flag of its 2 ** fine cells, from the lists of these."""
+    values = np.sort(np.concatenate(found))
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    own = flags(np.diff(np.append(first, len(values))))
+    cell = values[first] >> np.uint32(fine)
+    new = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+    out = np.zeros(1 << RANGE_BITS, own.dtype)
+    out[cell[new]] = np.maximum.reduceat(own, new)
+    return out
+
+
 def look_up(plane: np.ndarray, cell: np.ndarray) -> np.ndarray:
     """The bit of each cell in a packed plane."""
     return (plane[cell >> np.uint32(3)] >> (~cell & np.uint32(7)).astype(np.uint8)) & np.uint8(1)

@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from postpulse.llm import decontaminate, graph, jaccard, lines, substrings
-from postpulse.sources import local_frame
+from postpulse.llm import decontaminate, graph, jaccard, lines, sketches, substrings
+from postpulse.sources import local_frame, materialise
 
 DOCS = "doc_id long, text string, id string, key string"
 
@@ -271,3 +271,34 @@ def test_short_items_with_changed_words(spark):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = {r["doc_id"]: r["item_id"] for r in decontaminate.contamination(docs, benchmark).collect()}
     assert got == wanted
+
+
+def test_largest_flags_are_those_of_the_finer_cells():
+    rng = np.random.default_rng(5)
+    fine, level = 3, lambda n: np.digitize(n, [1, 3], right=True).astype(np.uint8)
+    lists = [np.sort(rng.integers(0, 4_000, 700)).astype(np.uint32) for _ in range(3)]
+    want = np.zeros(1 << sketches.RANGE_BITS, np.uint8)
+    for value, n in zip(*np.unique(np.concatenate(lists), return_counts=True), strict=True):
+        want[value >> fine] = max(want[value >> fine], level(n))
+    got = sketches.largest_flags(lists, level, fine)
+    assert got.dtype == want.dtype and (got == want).all() and set(want) == {0, 1, 2}
+
+
+def test_a_full_sketch_still_tells_which_shingles_are_alone(spark, monkeypatch):
+    """Of twice as many words as the sketch has cells, those met once stay where they are."""
+    monkeypatch.setattr(jaccard, "MOST_BITS", 20)
+    rng = np.random.default_rng(6)
+    words = rng.integers(100_000, 1_000_000, (2_000, 1_050))
+    texts = [" ".join(map(str, row)) for row in words.tolist()]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(2_000 + i, texts[i] + " end") for i in range(0, 60, 3)]
+    docs = materialise(spark.createDataFrame(rows, "doc_id long, text string").repartition(8))
+    total = sum(len(text) for _, text in rows)
+    bits, planes = jaccard.rarity(docs.select("text"), total, jaccard.SHINGLE)
+    hashes, own = jaccard.sets_of([text.encode() for text in texts[:60]])
+    cell = sketches.cells(hashes, 0, bits)
+    level = sketches.look_up(planes[0], cell) + 2 * sketches.look_up(planes[1], cell)
+    copied = own % 3 == 0
+    assert bits == 20 and (level[copied] > 0).all()
+    assert (level[~copied] == 0).mean() > 0.8
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert found == {i: i if i < 2_000 else i - 2_000 for i, _ in rows}
